@@ -1,4 +1,5 @@
 from fleetpulse.functions.columns import (
+    exact_mean,
     exact_round,
     ratio,
     recency,
@@ -10,6 +11,7 @@ from fleetpulse.functions.columns import (
 )
 
 __all__ = [
+    "exact_mean",
     "exact_round",
     "ratio",
     "recency",

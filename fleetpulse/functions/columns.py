@@ -21,6 +21,15 @@ def ratio(numerator: Column, denominator: Column, places: int) -> Column:
     )
 
 
+def exact_mean(value: Column) -> Column:
+    """Mean over a group from an exact decimal sum: the same whatever the order of the rows.
+
+    Not rounded; Spark's own mean of a decimal keeps four more places only, so rounding
+    it again could round twice.
+    """
+    return F.sum(value.cast("decimal(14,4)")) / F.nullif(F.count(value), F.lit(0))
+
+
 def weighted_sum(weights: dict[str, str], places: int) -> Column:
     """Sum of weight x column, a NULL reading counting as zero. Weights are decimal text."""
     total = F.lit(0).cast("decimal(18,6)")

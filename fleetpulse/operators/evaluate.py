@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.functions import exact_round, ratio, surrogate_key
+from fleetpulse.functions import exact_mean, exact_round, ratio, surrogate_key
 from fleetpulse.schema import FACT_KEYS
 from fleetpulse.session import RunContext, timestamp
 
@@ -120,7 +120,7 @@ def metric_trend(log: DataFrame, ctx: RunContext, days: int = 90) -> DataFrame:
     return (
         recent.groupBy("model_name", "metric_name")
         .agg(
-            exact_round(F.avg(value), 4).alias("avg_metric"),
+            exact_round(exact_mean(value), 4).alias("avg_metric"),
             F.min(value).alias("min_metric"),
             F.max(value).alias("max_metric"),
             F.count(F.lit(1)).alias("samples"),

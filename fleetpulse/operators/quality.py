@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fleetpulse.functions import exact_round, severity_rank, surrogate_key
 from fleetpulse.operators.joins import member_flag
@@ -64,21 +63,16 @@ RULES = [
 # The key column of the fact may not be NULL, which the seven rules leave unchecked.
 MISSING_RECORD_ID = Rule("missing_record_id", "Completeness", "Critical", "record_id IS NULL")
 
-CATALOG_SCHEMA = T.StructType.fromDDL(
-    "rule_id bigint, rule_name string, rule_category string, target_table string, "
-    "rule_sql string, severity string, is_active boolean"
-)
-
-
 def catalog(spark: SparkSession, rules: list[Rule], target: str = "extract") -> DataFrame:
     """The rules as a table."""
     rows = [
         (r.name, r.category, target, r.fails or f"{r.unique} is repeated", r.severity, r.active) for r in rules
     ]
-    columns = "rule_name string, rule_category string, target_table string, rule_sql string, severity string, is_active boolean"
-    return spark.createDataFrame(rows, columns).select(
-        surrogate_key(F.col("rule_name")).alias("rule_id"), "*"
-    ).to(CATALOG_SCHEMA)
+    columns = (
+        "rule_name string, rule_category string, target_table string, rule_sql string, "
+        "severity string, is_active boolean"
+    )
+    return spark.createDataFrame(rows, columns).select(surrogate_key(F.col("rule_name")).alias("rule_id"), "*")
 
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.functions import exact_round, ratio
+from fleetpulse.functions import exact_mean, exact_round, ratio
 from fleetpulse.operators.joins import latest_per_key, lookup_join
 from fleetpulse.operators.quality import newest_run
 from fleetpulse.schema import FACT_KEYS
@@ -72,7 +72,7 @@ def aircraft_summary(risk: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("total_components"),
             F.sum(F.when(F.col("risk_tier") == "High", 1).otherwise(0)).alias("high_risk_count"),
             F.sum(F.when(F.col("risk_tier") == "Elevated", 1).otherwise(0)).alias("elevated_risk_count"),
-            exact_round(F.avg("predicted_rul_days"), 1).alias("avg_rul_days"),
+            exact_round(exact_mean(F.col("predicted_rul_days")), 1).alias("avg_rul_days"),
         )
         .orderBy(F.desc("high_risk_count"), "aircraft_tail_number", "aircraft_model")
     )

@@ -7,7 +7,6 @@ by every later query of the session, as in production.
 
 from __future__ import annotations
 
-from datetime import datetime
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +19,7 @@ from fleetpulse.operators.scoring import prediction_rows
 from fleetpulse.schema import EXTRACT, typed
 from fleetpulse.session import RunContext, stage, work_dir
 from fleetpulse.sources import months
+from fleetpulse.sources.extract import spread
 from fleetpulse.testbed import mapping
 
 
@@ -38,7 +38,7 @@ class Bed:
         """The 49-column extract, typed."""
         orders = self.source("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         rows = lookup_join(
-            self.source("lineitem"), orders.withColumnRenamed("o_orderkey", "l_orderkey"), ["l_orderkey"]
+            spread(self.source("lineitem")), orders.withColumnRenamed("o_orderkey", "l_orderkey"), ["l_orderkey"]
         )
         for table, key, foreign in (
             ("customer", "c_custkey", "o_custkey"),
@@ -53,8 +53,7 @@ class Bed:
     @cached_property
     def staging(self) -> DataFrame:
         """The landed extract with the rules each row breaks."""
-        landed = stage(self.extract, "extract")
-        return stage(quality.tag_failures(landed, quality.RULES), "tagged")
+        return stage(quality.tag_failures(self.extract, quality.RULES), "tagged")
 
     @cached_property
     def landed(self) -> DataFrame:
@@ -123,6 +122,3 @@ def bed(spark: SparkSession, sf_dir: str) -> Bed:
         _beds[key] = Bed(spark, str(sf_dir))
     return _beds[key]
 
-
-def at(year: int, month: int, day: int) -> datetime:
-    return datetime(year, month, day)

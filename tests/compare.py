@@ -1,0 +1,92 @@
+"""Run queries and their oracles side by side: ``python tests/compare.py SF_DIR [name ...]``."""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+    "embeddings", "pages", "benchmark", "labels", "conversations",
+]
+
+
+def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    db = duckdb.connect()
+    for table in TABLES:
+        db.execute(f"create view {table} as select * from read_parquet('{sf_dir}/{table}.parquet')")
+    return db
+
+
+def normal(value):
+    if value is None or (isinstance(value, float) and math.isnan(value)):
+        return None
+    if isinstance(value, bool):
+        return value
+    return value
+
+
+def difference(df, db, sql: str) -> str:
+    """Empty if the two results hold the same rows and column types, else what differs."""
+    columns = sorted(df.columns)
+    result = db.execute(sql)
+    theirs_columns = [d[0] for d in result.description]
+    if sorted(theirs_columns) != columns:
+        return f"columns {sorted(set(columns) ^ set(theirs_columns))}"
+    place = [theirs_columns.index(c) for c in columns]
+    theirs = [tuple(normal(row[i]) for i in place) for row in result.fetchall()]
+    ours = [tuple(normal(v) for v in row) for row in df.select(*columns).collect()]
+    if len(ours) != len(theirs):
+        return f"rows {len(ours)} against {len(theirs)}"
+
+    def kinds(rows):
+        return [sorted({type(row[i]).__name__ for row in rows if row[i] is not None}) for i in range(len(columns))]
+
+    if kinds(ours) != kinds(theirs):
+        return f"types {[(c, a, b) for c, a, b in zip(columns, kinds(ours), kinds(theirs)) if a != b]}"
+
+    def order(row):
+        return [(v is None, str(v)) for v in row]
+
+    differing = [(a, b) for a, b in zip(sorted(ours, key=order), sorted(theirs, key=order)) if a != b]
+    if differing:
+        a, b = differing[0]
+        return f"{len(differing)} of {len(ours)} rows, e.g. {[(c, x, y) for c, x, y in zip(columns, a, b) if x != y]}"
+    return ""
+
+
+def main() -> int:
+    import __spark_entry__ as contract
+    from fleetpulse.session import local_session
+
+    sf_dir, wanted = sys.argv[1], sys.argv[2:]
+    spark = local_session()
+    spark.sparkContext.setLogLevel("ERROR")
+    db, oracles = oracle_connection(sf_dir), contract.oracle_sql()
+    bad = 0
+    for name, query in contract.queries().items():
+        if wanted and name not in wanted:
+            continue
+        start = time.time()
+        try:
+            df = query(spark, sf_dir)
+            if name in oracles:
+                verdict = difference(df, db, oracles[name]) or "ok"
+            else:
+                verdict = f"ok, rows only: {df.count()}"
+        except Exception as error:  # report and go on to the next query
+            verdict = f"{type(error).__name__}: {str(error)[:1500]}"
+        bad += not verdict.startswith("ok")
+        print(f"{name:28s} {time.time() - start:6.1f}s {verdict}", flush=True)
+    print(f"{bad} bad")
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main())
