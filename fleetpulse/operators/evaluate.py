@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,72 +16,110 @@ from fleetpulse.session import RunContext, timestamp
 DECISION = "0.5"
 SWEEP = ["0.2", "0.3", "0.4", "0.5"]
 METRIC = "decimal(10,4)"
+PROBABILITY = "decimal(6,4)"
 
 
-def with_outcomes(predictions: DataFrame, truth: DataFrame, outcome: str, run_id: str | None = None, version: str | None = None) -> DataFrame:
-    """Predictions joined to their outcome on record and date, which are unique on both
-    sides within a run. A run or a model version given here really filters."""
+@dataclass(frozen=True)
+class Target:
+    """What to evaluate: a model, the prediction column it filled and its outcome column."""
+
+    model: str
+    task: str
+    output: str
+    label: str
+
+    @property
+    def metrics(self) -> list[str]:
+        return ["RMSE", "MAE"] if self.task == "regression" else ["Precision", "Recall"]
+
+
+def with_outcomes(
+    predictions: DataFrame, truth: DataFrame, labels: list[str], run_id: str | None = None, version: str | None = None
+) -> DataFrame:
+    """Predictions joined to their outcomes on record and date, unique on both sides
+    within a run. A run or a model version given here really filters."""
     if run_id is not None:
         predictions = predictions.filter(F.col("run_id") == run_id)
     if version is not None:
         predictions = predictions.filter(F.col("model_version") == version)
-    return predictions.join(truth.select(*FACT_KEYS, F.col(outcome).alias("_outcome")), FACT_KEYS)
+    outcomes = truth.select(*FACT_KEYS, *[F.col(c).alias(f"true_{c}") for c in dict.fromkeys(labels)])
+    return predictions.join(outcomes, FACT_KEYS)
 
 
-def evaluate_regression(
+def evaluate(
     predictions: DataFrame,
     truth: DataFrame,
-    model: str,
+    targets: list[Target],
     ctx: RunContext,
     *,
-    pred_col: str = "predicted_rul_days",
-    label_col: str = "remaining_useful_life_days",
     run_id: str | None = None,
     version: str | None = "v1",
+    threshold: str = DECISION,
     by: list[Column] = (),
 ) -> DataFrame:
-    """RMSE and MAE as log rows.
+    """Log rows, two metrics per target, all from one join and one aggregation.
 
-    ``sample_size`` counts the joined rows, ``n_scored`` those with both values. ``by``
-    gives one evaluation per group, e.g. per month.
+    RMSE and MAE for a regression; precision and recall at a strict threshold for a
+    classifier, NULL where nothing was flagged or nothing failed. ``sample_size`` counts
+    the joined rows, ``n_scored`` those the target has a prediction (and for a regression
+    an outcome) for. Rows are chosen by run and version only, since one scoring run keeps
+    the output of all models in one row. ``by`` gives one evaluation per group.
     """
-    joined = with_outcomes(predictions, truth, label_col, run_id, version)
-    error = F.col(pred_col).cast("double") - F.col("_outcome").cast("double")
-    totals = _totals(
-        joined, by,
-        F.sqrt(F.avg(error * error)).alias("RMSE"),
-        F.avg(F.abs(error)).alias("MAE"),
-        F.count(error).alias("n_scored"),
+    joined = with_outcomes(predictions, truth, [t.label for t in targets], run_id, version)
+    aggregates, rows = [], []
+    for i, target in enumerate(targets):
+        first, second, scored = _metrics(target, threshold)
+        aggregates += [first.alias(f"a{i}"), second.alias(f"b{i}"), scored.alias(f"n{i}")]
+        rows += [
+            F.struct(
+                F.lit(target.model).alias("model_name"),
+                F.lit(name).alias("metric_name"),
+                exact_round(F.col(f"{column}{i}"), 4).cast(METRIC).alias("metric_value"),
+                F.col(f"n{i}").alias("n_scored"),
+            )
+            for name, column in zip(target.metrics, "ab")
+        ]
+    totals = joined.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("sample_size"),
+        F.min("snapshot_date").alias("evaluation_window_start"),
+        F.max("snapshot_date").alias("evaluation_window_end"),
+        *aggregates,
+    )
+    groups = totals.columns[: len(by)]
+    window = ["evaluation_window_start", "evaluation_window_end"]
+    return totals.select(*groups, *window, "sample_size", F.inline(F.array(*rows))).select(
+        surrogate_key(F.col("model_name"), F.col("metric_name"), F.col(window[0]), F.lit(ctx.run_id)).alias("log_id"),
+        "model_name",
+        F.lit(version).cast("string").alias("model_version"),
+        *groups,
+        *window,
+        "metric_name",
+        "metric_value",
+        "sample_size",
+        "n_scored",
+        ctx.time.alias("logged_at"),
     )
-    return _log(totals, by, ["RMSE", "MAE"], model, version, ctx)
 
 
-def evaluate_classifier(
+def evaluate_regression(
     predictions: DataFrame,
     truth: DataFrame,
     model: str,
-    prob_col: str,
-    label_col: str,
     ctx: RunContext,
     *,
-    threshold: str = DECISION,
-    run_id: str | None = None,
-    version: str | None = "v1",
-    by: list[Column] = (),
+    pred_col: str = "predicted_rul_days",
+    label_col: str = "remaining_useful_life_days",
+    **options,
 ) -> DataFrame:
-    """Precision and recall as log rows; NULL where nothing was flagged or nothing failed.
+    """RMSE and MAE of one model."""
+    return evaluate(predictions, truth, [Target(model, "regression", pred_col, label_col)], ctx, **options)
 
-    The model name is only attributed: rows are chosen by run and version, as one scoring
-    run stores the output of all models in one row.
-    """
-    joined = with_outcomes(predictions, truth, label_col, run_id, version)
-    flagged = F.col(prob_col) > F.lit(threshold).cast("decimal(6,4)")
-    totals = _totals(
-        joined, by,
-        *_precision_recall(flagged, "Precision", "Recall"),
-        F.count(F.col(prob_col)).alias("n_scored"),
-    )
-    return _log(totals, by, ["Precision", "Recall"], model, version, ctx)
+
+def evaluate_classifier(
+    predictions: DataFrame, truth: DataFrame, model: str, prob_col: str, label_col: str, ctx: RunContext, **options
+) -> DataFrame:
+    """Precision and recall of one model."""
+    return evaluate(predictions, truth, [Target(model, "classification", prob_col, label_col)], ctx, **options)
 
 
 def threshold_sweep(
@@ -96,21 +134,19 @@ def threshold_sweep(
 ) -> DataFrame:
     """Precision and recall per threshold: one pass with a pair of aggregates each, rather
     than every row once per threshold."""
-    joined = with_outcomes(predictions, truth, label_col, run_id, version)
-    pairs = [
-        pair
-        for i, t in enumerate(thresholds)
-        for pair in _precision_recall(F.col(prob_col) > F.lit(t).cast("decimal(6,4)"), f"p{i}", f"r{i}")
-    ]
-    rows = [
-        F.struct(
-            F.lit(t).cast("decimal(6,4)").alias("threshold"),
-            F.col(f"p{i}").alias("precision"),
-            F.col(f"r{i}").alias("recall"),
+    joined = with_outcomes(predictions, truth, [label_col], run_id, version)
+    aggregates, rows = [], []
+    for i, threshold in enumerate(thresholds):
+        precision, recall = _precision_recall(prob_col, label_col, threshold)
+        aggregates += [precision.alias(f"p{i}"), recall.alias(f"r{i}")]
+        rows.append(
+            F.struct(
+                F.lit(threshold).cast(PROBABILITY).alias("threshold"),
+                F.col(f"p{i}").alias("precision"),
+                F.col(f"r{i}").alias("recall"),
+            )
         )
-        for i, t in enumerate(thresholds)
-    ]
-    return joined.agg(*pairs).select(F.inline(F.array(*rows))).orderBy("threshold")
+    return joined.agg(*aggregates).select(F.inline(F.array(*rows))).orderBy("threshold")
 
 
 def metric_trend(log: DataFrame, ctx: RunContext, days: int = 90) -> DataFrame:
@@ -129,46 +165,15 @@ def metric_trend(log: DataFrame, ctx: RunContext, days: int = 90) -> DataFrame:
     )
 
 
-def _precision_recall(flagged: Column, precision: str, recall: str) -> list[Column]:
-    hit = F.count_if(flagged & (F.col("_outcome") == 1))
-    return [
-        ratio(hit, F.count_if(flagged), 4).alias(precision),
-        ratio(hit, F.count_if(F.col("_outcome") == 1), 4).alias(recall),
-    ]
-
-
-def _totals(joined: DataFrame, by: list[Column], *metrics: Column) -> DataFrame:
-    grouped = joined.groupBy(*by) if by else joined.groupBy()
-    return grouped.agg(
-        *metrics,
-        F.count(F.lit(1)).alias("sample_size"),
-        F.min("snapshot_date").alias("evaluation_window_start"),
-        F.max("snapshot_date").alias("evaluation_window_end"),
-    )
-
-
-def _log(totals: DataFrame, by: list[Column], metrics: list[str], model: str, version: str | None, ctx: RunContext) -> DataFrame:
-    rows = [F.struct(F.lit(m).alias("metric_name"), exact_round(F.col(m), 4).cast(METRIC).alias("metric_value")) for m in metrics]
-    plain = {"evaluation_window_start", "evaluation_window_end", "sample_size", "n_scored", *metrics}
-    groups = [c for c in totals.columns if c not in plain]
-    return totals.select(
-        F.lit(model).alias("model_name"),
-        F.lit(version).cast("string").alias("model_version"),
-        *groups,
-        "evaluation_window_start",
-        "evaluation_window_end",
-        "sample_size",
-        "n_scored",
-        F.inline(F.array(*rows)),
-    ).select(
-        surrogate_key(
-            F.col("model_name"), F.col("metric_name"), F.col("evaluation_window_start"), F.lit(ctx.run_id)
-        ).alias("log_id"),
-        "*",
-        ctx.time.alias("logged_at"),
-    )
+def _metrics(target: Target, threshold: str) -> tuple[Column, Column, Column]:
+    if target.task == "regression":
+        error = F.col(target.output).cast("double") - F.col(f"true_{target.label}").cast("double")
+        return F.sqrt(F.avg(error * error)), F.avg(F.abs(error)), F.count(error)
+    return *_precision_recall(target.output, target.label, threshold), F.count(F.col(target.output))
 
 
-def combine(*logs: DataFrame) -> DataFrame:
-    """One log from several evaluations."""
-    return reduce(DataFrame.unionByName, logs)
+def _precision_recall(prob_col: str, label_col: str, threshold: str) -> tuple[Column, Column]:
+    flagged = F.col(prob_col) > F.lit(threshold).cast(PROBABILITY)
+    failed = F.col(f"true_{label_col}") == 1
+    hits = F.count_if(flagged & failed)
+    return ratio(hits, F.count_if(flagged), 4), ratio(hits, F.count_if(failed), 4)

@@ -4,77 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from fleetpulse.session import stage
+# A lookup table of at most this size is broadcast: one copy per executor.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
-# A lookup table of at most this many rows is broadcast; the fleet's dimensions are
-# narrow, so this is some tens of MB per executor.
-BROADCAST_ROWS = 200_000
-# A key with more rows than this is joined without a shuffle; at most HOT_KEYS of them.
-HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
+_TEXT_BYTES = 40
 
 
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether a frame has at most that many rows; for a stored table a look at its footers."""
-    return df.limit(rows + 1).count() <= rows
+def row_bytes(df: DataFrame) -> int:
+    """Rough width of a row in memory."""
+    return sum(
+        _TEXT_BYTES if isinstance(field.dataType, T.StringType) else 16 if isinstance(field.dataType, T.DecimalType) else 8
+        for field in df.schema
+    )
+
+
+def fits(stored: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether a stored table is small enough to broadcast; counting it only reads footers."""
+    return stored.count() * row_bytes(stored) <= limit
 
 
 def lookup_join(
-    many: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    *,
-    broadcast_rows: int = BROADCAST_ROWS,
-    hot_rows: int = HOT_ROWS,
+    many: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", *, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Join rows to a table that holds one row per key (``how`` is inner or left).
 
-    ``lookup`` should be a stored table, since its row count decides the strategy:
-
-    * small enough: broadcast, no shuffle of ``many``;
-    * otherwise a shuffle join for ordinary keys, while the rows of hot keys, found by a
-      map-side combined count, meet a broadcast of just their lookup rows. A key that
-      owns a third of the data thus never gathers in one task, even if its rows are
-      exact copies. Rows without a key bypass the shuffle as well.
+    ``lookup`` is a stored table, as its row count decides the strategy. Small enough, it
+    is broadcast and ``many`` is not shuffled. Otherwise both sides are sort-merge joined:
+    adaptive execution then splits a partition swollen by a hot key (or, in a left join,
+    by NULL keys) into slices by map output, each meeting its own copy of the few lookup
+    rows. That needs no second pass to find the hot keys, and unlike a salt computed from
+    the row it also spreads exact copies.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, got {how!r}")
-    if fits(lookup, broadcast_rows):
+    if fits(lookup, broadcast_bytes):
         return many.join(F.broadcast(lookup), on, how)
-
-    has_key = _all_present(on)
-    hot = stage(
-        many.filter(has_key)
-        .groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(HOT_KEYS)
-        .select(*on),
-        "hot_keys",
-    )
-    keyed = many.filter(has_key)
-    if hot.isEmpty():
-        parts = [keyed.join(lookup, on, how)]
-    else:
-        hot_lookup = lookup.join(F.broadcast(hot), on, "left_semi")  # one row per hot key
-        parts = [
-            keyed.join(F.broadcast(hot), on, "left_anti").join(lookup, on, how),
-            keyed.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_lookup), on, how),
-        ]
-    if how == "left":
-        parts.append(many.filter(~has_key).join(F.broadcast(lookup.limit(0)), on, "left"))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return many.join(lookup.hint("merge"), on, how)
 
 
 def member_flag(many: DataFrame, keys: DataFrame, on: list[str], flag: str, **strategy) -> DataFrame:
-    """Mark the rows whose key is in ``keys`` (one row per key). A NULL key is not a member."""
+    """Mark the rows whose key is in ``keys`` (stored, one row per key). A NULL key is no member."""
     marked = lookup_join(many, keys.select(*on, F.lit(True).alias(flag)), on, "left", **strategy)
     return marked.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).select(*many.columns, flag)
 
@@ -88,10 +60,3 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
     """
     rank = W.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(rank)).filter("_rank = 1").drop("_rank")
-
-
-def _all_present(columns: list[str]) -> Column:
-    present = F.lit(True)
-    for name in columns:
-        present = present & F.col(name).isNotNull()
-    return present

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from fleetpulse.functions import exact_round, risk_tier, surrogate_key
+from fleetpulse.operators.evaluate import Target
 from fleetpulse.operators.merge import insert_if_absent
 from fleetpulse.schema import LOG_DOMAINS, PREDICTIONS, names, require
 from fleetpulse.session import RunContext
@@ -68,6 +69,10 @@ class ModelSpec:
         require(self.task, LOG_DOMAINS["problem_type"], "task")
         require(self.risk_classification, LOG_DOMAINS["risk_classification"], "risk_classification")
 
+    @property
+    def target(self) -> Target:
+        return Target(self.name, self.task, self.output, self.label)
+
     @property
     def hyperparameters(self) -> str:
         return json.dumps({"n_estimators": self.rounds, "max_depth": self.depth, "learning_rate": self.rate})

@@ -65,14 +65,8 @@ def run_weekly(spark: SparkSession, layout: Layout, ctx: RunContext, limits=tupl
     """Evaluate the newest scoring run of all three models, log the metrics, raise alerts."""
     truth = spark.read.parquet(layout.path(f"features_{features.VERSION}"))
     newest = newest_run(spark.read.parquet(layout.path("predictions")), "scored_at")
-    metrics = evaluate.combine(
-        evaluate.evaluate_regression(newest, truth, scoring.RUL.name, ctx),
-        *[
-            evaluate.evaluate_classifier(newest, truth, spec.name, spec.output, spec.label, ctx)
-            for spec in (scoring.FAILURE_90D, scoring.FAILURE_30D)
-        ],
-    )
-    metrics = stage(metrics, "metrics")
+    models = [spec.target for spec in scoring.MODELS]
+    metrics = stage(evaluate.evaluate(newest, truth, models, ctx), "metrics")
     extract.append_log(metrics, layout.path("performance_log"))
     extract.append_log(monitor.alerts_from_metrics(metrics, ctx, list(limits)), layout.path("alerts"))
     return metrics

@@ -15,7 +15,7 @@ from fleetpulse.operators import constraints, evaluate, features, merge, monitor
 from fleetpulse.operators import dimensions as dims
 from fleetpulse.operators.joins import lookup_join
 from fleetpulse.plans import load, marts
-from fleetpulse.schema import DOMAINS, EXTRACT, FACT, FACT_REFRESHED, NOT_NULL, POSITIVE, RANGES, names
+from fleetpulse.schema import DOMAINS, EXTRACT, FACT, NOT_NULL, POSITIVE, RANGES, names
 from fleetpulse.session import RunContext, stage, timestamp
 from fleetpulse.sources import extract, months
 from fleetpulse.testbed import mapping
@@ -48,9 +48,9 @@ def plain(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, (T.DecimalType, T.IntegerType, T.ShortType)):
             column = column.cast("double")
         elif isinstance(field.dataType, T.DateType):
-            column = F.date_format(column, "yyyy-MM-dd")
+            column = column.cast("string")
         elif isinstance(field.dataType, T.TimestampNTZType):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+            column = F.substring(column.cast("string"), 1, 19)
         shown.append(column.alias(field.name))
     return df.select(*shown)
 
@@ -275,7 +275,7 @@ def _redelivery(b: Bed) -> merge.Merged:
             "failure_within_30_days": F.lit(None).cast("int"),
         }
     )
-    return load.promote_rows(known, changed, b.scored("r2"), FACT_REFRESHED, strict=False)
+    return load.promote_rows(known, changed, b.scored("r2"), strict=False)
 
 
 @query
@@ -389,9 +389,9 @@ def eval_rul(b: Bed) -> DataFrame:
     return evaluate.evaluate_regression(b.predictions, b.features, scoring.RUL.name, b.ctx, run_id="r2").select(*LOG)
 
 
-def _classifier(b: Bed, spec: scoring.ModelSpec, **options) -> DataFrame:
+def _classifier(b: Bed, spec: scoring.ModelSpec) -> DataFrame:
     return evaluate.evaluate_classifier(
-        b.predictions, b.features, spec.name, spec.output, spec.label, b.ctx, run_id="r2", **options
+        b.predictions, b.features, spec.name, spec.output, spec.label, b.ctx, run_id="r2"
     )
 
 
@@ -415,11 +415,8 @@ def threshold_sweep(b: Bed) -> DataFrame:
 def _monthly_log(b: Bed) -> DataFrame:
     """A metric history: each month evaluated on its own and logged when it is over."""
     month = [F.trunc("snapshot_date", "MM").alias("month")]
-    log = evaluate.combine(
-        evaluate.evaluate_regression(b.predictions, b.features, scoring.RUL.name, b.ctx, run_id="r2", by=month),
-        _classifier(b, scoring.FAILURE_30D, by=month),
-        _classifier(b, scoring.FAILURE_90D, by=month),
-    )
+    models = [spec.target for spec in (scoring.RUL, scoring.FAILURE_30D, scoring.FAILURE_90D)]
+    log = evaluate.evaluate(b.predictions, b.features, models, b.ctx, run_id="r2", by=month)
     return log.withColumn("logged_at", F.add_months("month", 1).cast("timestamp_ntz")).drop("month")
 
 
