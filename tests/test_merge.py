@@ -1,0 +1,115 @@
+from datetime import datetime
+
+import pytest
+from conftest import values
+from pyspark.sql import functions as F
+
+from fleetpulse.operators import dimensions as dims
+from fleetpulse.operators.merge import DuplicateKey, delete_rows, insert_if_absent, newest_audit, upsert
+from fleetpulse.session import RunContext
+
+R1, R2 = RunContext(datetime(2024, 1, 1), "r1"), RunContext(datetime(2024, 1, 2), "r2")
+COLUMNS = "k string, a string, frozen string"
+
+
+def stamped(df, ctx):
+    return df.withColumns({"created_at": ctx.time, "updated_at": ctx.time})
+
+
+def test_upsert_updates_listed_columns_only(spark):
+    target = stamped(spark.createDataFrame([("x", "old", "f1"), ("y", "old", "f1")], COLUMNS), R1)
+    source = spark.createDataFrame([("x", None, "f2"), ("z", "new", "f2")], COLUMNS)
+    merged = upsert(target, source, ["k"], ["a"], R2, table="t", created="created_at", touch="updated_at")
+    d1, d2 = R1.as_of, R2.as_of
+    assert values(merged.table) == [
+        ("x", None, "f1", d1, d2),  # an incoming NULL overwrites, the frozen column stays
+        ("y", "old", "f1", d1, d1),
+        ("z", "new", "f2", d2, d2),
+    ]
+    assert values(merged.changes, "operation", "row_pk") == [("INSERT", "z"), ("UPDATE", "x")]
+
+
+def test_upsert_twice_is_upsert_once(spark):
+    target = stamped(spark.createDataFrame([("x", "old", "f1")], COLUMNS), R1)
+    source = spark.createDataFrame([("x", "new", "f2"), ("z", "new", "f2")], COLUMNS)
+    options = dict(keys=["k"], update_cols=["a"], ctx=R2, created="created_at", touch="updated_at")
+    once = upsert(target, source, **options).table
+    assert values(upsert(once, source, **options).table) == values(once)
+
+
+def test_upsert_touches_even_equal_rows(spark):
+    target = stamped(spark.createDataFrame([("x", "same", "f")], COLUMNS), R1)
+    merged = upsert(target, target.select("k", "a", "frozen"), ["k"], ["a"], R2, created="created_at", touch="updated_at")
+    assert values(merged.table, "updated_at") == [(R2.as_of,)]
+    assert values(merged.changes, "operation") == [("UPDATE",)]
+
+
+def test_strict_upsert_refuses_repeated_keys(spark):
+    target = spark.createDataFrame([], COLUMNS)
+    source = spark.createDataFrame([("x", "1", "f"), ("x", "2", "f")], COLUMNS)
+    with pytest.raises(DuplicateKey):
+        upsert(target, source, ["k"], ["a"], R1)
+
+
+def test_two_scores_of_one_supplier(rows, ctx):
+    batch = rows({"record_id": 1, "supplier_quality_score": 50}, {"record_id": 2, "supplier_quality_score": 60},
+                 {"record_id": 3, "supplier_id": None})
+    assert [float(v) for _, v in values(dims.supplier_rows(batch))] == [60.0]
+    literal = dims.supplier_rows(batch, distinct_only=True)
+    assert literal.count() == 2
+    with pytest.raises(DuplicateKey):
+        upsert(literal.limit(0), literal, dims.SUPPLIER_KEY, dims.SUPPLIER_UPDATES, ctx)
+
+
+def test_newest_row_wins_and_unknown_id_ranks_first(rows):
+    batch = rows({"record_id": 5, "aircraft_model": "old"}, {"record_id": 9, "aircraft_model": "new"})
+    assert values(dims.aircraft_rows(batch), "aircraft_model") == [("new",)]
+    batch = batch.unionByName(rows({"record_id": None, "aircraft_model": "unknown"}))
+    assert values(dims.aircraft_rows(batch), "aircraft_model") == [("unknown",)]
+
+
+def test_no_firmware_marker_becomes_null(rows):
+    batch = rows({"firmware_version": "N/A - Non-Electronic"})
+    assert values(dims.component_rows(batch), "firmware_version") == [(None,)]
+
+
+def test_installation_date_is_frozen():
+    assert "installation_date" not in dims.COMPONENT_UPDATES
+    assert "firmware_version" in dims.COMPONENT_UPDATES
+
+
+def test_fact_rows_default_the_flag_and_round(rows):
+    fact = dims.fact_rows(rows({"data_quality_flag": None, "cumulative_flight_hours": "12.25"}, {"data_quality_flag": ""}))
+    assert values(fact, "data_quality_flag") == [("",), ("Complete",)]
+    assert str(fact.filter("data_quality_flag = 'Complete'").first().cumulative_flight_hours) == "12.3"
+
+
+def test_insert_if_absent(spark):
+    target = spark.createDataFrame([("x", "old", "f")], COLUMNS)
+    source = spark.createDataFrame([("x", "new", "f"), ("z", "new", "f"), ("z", "new", "f")], COLUMNS)
+    assert values(insert_if_absent(target, source, ["k"])) == [("z", "new", "f")]
+
+
+def test_delete_logs_and_keeps_null_keys(spark):
+    target = spark.createDataFrame([("x", "1", "f"), (None, "2", "f"), ("y", "3", "f")], COLUMNS)
+    doomed = spark.createDataFrame([("x",), (None,)], "k string")
+    result = delete_rows(target, doomed, ["k"], R1, table="t")
+    assert values(result.table, "a") == [("2",), ("3",)]
+    assert values(result.changes, "operation", "row_pk") == [("DELETE", "x")]
+
+
+def test_row_hash_sees_null_against_empty(spark):
+    from fleetpulse.functions import row_digest
+
+    df = spark.createDataFrame([("a", None), ("a", ""), ("a", "b")], "x string, y string")
+    assert df.select(row_digest([F.col("x"), F.col("y")])).distinct().count() == 3
+
+
+def test_newest_audit_is_limited_and_ordered(spark):
+    source = spark.range(150).select(F.col("id").cast("string").alias("k"), F.lit("a").alias("a"), F.lit("f").alias("frozen"))
+    log = upsert(spark.createDataFrame([], COLUMNS), source, ["k"], ["a"], R1, table="t").changes
+    log = log.unionByName(upsert(spark.createDataFrame([], COLUMNS), source.limit(3), ["k"], ["a"], R2, table="t").changes)
+    newest = newest_audit(log, "t").collect()
+    assert len(newest) == 100
+    assert [r.event_time for r in newest[:4]] == [R2.as_of] * 3 + [R1.as_of]
+    assert newest_audit(log, "other").count() == 0
