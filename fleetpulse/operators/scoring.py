@@ -105,22 +105,24 @@ def train(
     """Fit a boosted-tree pipeline on the rows with a label.
 
     Missing numbers get the training median plus a flag column, unseen categories a bucket
-    of their own. ``balanced`` weights each class by its inverse frequency. The assembled
+    of their own; a column without any value in training is left out. ``balanced`` weights each class by its inverse frequency. The assembled
     rows are kept while fitting, since boosting reads them once per tree level.
     """
     rows = _inputs(df.filter(F.col(spec.label).isNotNull()), spec).withColumn("label", F.col(spec.label).cast("double"))
     weight = None
-    if balanced:
+    if balanced and spec.task == "classification":
         rows, weight = rows.withColumn("weight", class_weight(rows, "label")), "weight"
 
+    known = rows.agg(*[F.count(c).alias(c) for c in spec.numeric]).first()
+    numeric = [c for c in spec.numeric if known[c]]
     prepared = Pipeline(stages=[
-        Imputer(strategy="median", inputCols=spec.numeric, outputCols=[f"{c}_filled" for c in spec.numeric]),
+        Imputer(strategy="median", inputCols=numeric, outputCols=[f"{c}_filled" for c in numeric]),
         StringIndexer(
             inputCols=spec.categorical, outputCols=[f"{c}_index" for c in spec.categorical], handleInvalid="keep"
         ),
         VectorAssembler(
-            inputCols=[f"{c}_filled" for c in spec.numeric]
-            + [f"{c}_missing" for c in spec.numeric]
+            inputCols=[f"{c}_filled" for c in numeric]
+            + [f"{c}_missing" for c in numeric]
             + [f"{c}_index" for c in spec.categorical],
             outputCol="features",
         ),

@@ -1,0 +1,35 @@
+"""Every registered query against its SQL oracle on the smallest test tables."""
+
+import pytest
+from compare import difference, oracle_connection
+
+import __spark_entry__ as contract
+
+SF = "/root/testdata/sf0.001"
+NO_SQL = {"train_score_rul", "train_score_90", "train_score_30"}
+
+
+@pytest.fixture(scope="module")
+def db():
+    return oracle_connection(SF)
+
+
+def test_only_trained_models_lack_an_oracle():
+    assert set(contract.queries()) - set(contract.oracle_sql()) == NO_SQL
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+def test_query_equals_oracle(spark, db, name):
+    assert difference(contract.queries()[name](spark, SF), db, contract.oracle_sql()[name]) == ""
+
+
+@pytest.mark.parametrize("name", sorted(NO_SQL))
+def test_trained_model_scores_every_test_row(spark, name):
+    scored = contract.queries()[name](spark, SF)
+    assert scored.count() == contract.queries()["split_test"](spark, SF).count()
+    assert scored.filter(f"{scored.columns[-1]} is null").count() == 0
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
