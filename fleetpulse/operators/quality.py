@@ -159,8 +159,8 @@ def tag_failures(df: DataFrame, rules: list[Rule], **strategy) -> DataFrame:
             broken = F.col(f"_dup{i}")
         else:
             broken = F.expr(rule.fails)
-        flags.append(F.when(broken, F.lit(rule.name)))
-    return tagged.select(*df.columns, F.array_compact(F.array(*flags)).alias("failed_rules"))
+        flags.append(F.when(broken, rule.name).otherwise(""))
+    return tagged.select(*df.columns, F.array_remove(F.array(*flags), "").alias("failed_rules"))
 
 
 def breaks(rules: list[Rule]) -> Column:

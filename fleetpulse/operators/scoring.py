@@ -127,19 +127,21 @@ def train(
             outputCol="features",
         ),
     ]).fit(rows)
+    # A tree bins each category separately, so the widest text column sets the number of bins.
+    bins = max(32, *[len(labels) + 1 for labels in prepared.stages[1].labelsArray])
     wanted = ["features", "label"] + ([weight] if weight else [])
     assembled = prepared.transform(rows).select(*wanted).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return PipelineModel(prepared.stages + [_estimator(spec, rounds or spec.rounds, weight, seed).fit(assembled)])
+        return PipelineModel(prepared.stages + [_estimator(spec, rounds or spec.rounds, bins, weight, seed).fit(assembled)])
     finally:
         assembled.unpersist()
 
 
-def _estimator(spec: ModelSpec, rounds: int, weight: str | None, seed: int):
+def _estimator(spec: ModelSpec, rounds: int, bins: int, weight: str | None, seed: int):
     kind = GBTRegressor if spec.task == "regression" else GBTClassifier
     trees = kind(
         featuresCol="features", labelCol="label", maxIter=rounds, maxDepth=spec.depth, stepSize=spec.rate,
-        seed=seed, checkpointInterval=10, maxMemoryInMB=512,
+        maxBins=bins, seed=seed, checkpointInterval=10, maxMemoryInMB=512,
     )
     return trees.setWeightCol(weight) if weight else trees
 

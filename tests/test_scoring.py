@@ -105,6 +105,13 @@ def test_unseen_category_and_missing_numbers_still_score(trained, spark):
     assert scoring.predict(odd, model, scoring.RUL).filter("predicted_rul_days is not null").count() == 3
 
 
+def test_more_categories_than_default_bins(trained, spark):
+    layout, _ = trained
+    table = spark.read.parquet(layout.path("features_v1"))
+    many = table.withColumn("component_type", F.concat(F.lit("kind "), F.col("record_id") % 70))
+    assert scoring.predict(many, scoring.train(many, scoring.RUL, rounds=1), scoring.RUL).count() == table.count()
+
+
 def test_inputs_hold_no_answer():
     leaks = {"record_id", "snapshot_date", "component_serial_number", "aircraft_tail_number", "computed_at",
              "remaining_useful_life_days", "failure_within_30_days", "failure_within_90_days"}
