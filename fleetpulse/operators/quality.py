@@ -64,17 +64,21 @@ RULES = [
 MISSING_RECORD_ID = Rule("missing_record_id", "Completeness", "Critical", "record_id IS NULL")
 
 def catalog(spark: SparkSession, rules: list[Rule], target: str = "extract") -> DataFrame:
-    """The rules as a table."""
-    rows = [
-        (r.name, r.category, target, r.fails or f"{r.unique} is repeated", r.severity, r.active) for r in rules
-    ]
+    """The rules as a table, to store, extend and switch on or off."""
+    rows = [(r.name, r.category, target, r.fails or None, r.unique or None, r.severity, r.active) for r in rules]
     columns = (
-        "rule_name string, rule_category string, target_table string, rule_sql string, "
+        "rule_name string, rule_category string, target_table string, rule_sql string, unique_key string, "
         "severity string, is_active boolean"
     )
     return spark.createDataFrame(rows, columns).select(surrogate_key(F.col("rule_name")).alias("rule_id"), "*")
 
 
+def read_rules(stored: DataFrame, target: str = "extract") -> list[Rule]:
+    """The active rules of a catalog table for one target. A catalog is a few rows people write."""
+    rows = stored.filter(F.col("is_active") & (F.col("target_table") == target)).orderBy("rule_name").collect()
+    return [Rule(r.rule_name, r.rule_category, r.severity, r.rule_sql or "", r.unique_key or "") for r in rows]
+
+
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys held by more than one row, with the number of copies. Counts combine map-side."""
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])

@@ -46,6 +46,10 @@ NUMERIC = [
 ]
 
 
+# Fixed value: the use case all cards name.
+USE_CASE = "Component Health Assessment & RUL Estimation"
+
+
 @dataclass(frozen=True)
 class ModelSpec:
     """A model's target and settings, and the card the registry keeps of it."""
@@ -60,7 +64,7 @@ class ModelSpec:
     intended_use: str
     known_limitations: str
     version: str = "v1"
-    use_case: str = "Component Health Assessment & RUL Estimation"
+    use_case: str = USE_CASE
     risk_classification: str = "High"
     numeric: list[str] = field(default_factory=lambda: list(NUMERIC))
     categorical: list[str] = field(default_factory=lambda: list(CATEGORICAL))
@@ -104,8 +108,8 @@ def train(
 ) -> PipelineModel:
     """Fit a boosted-tree pipeline on the rows with a label.
 
-    Missing numbers get the training median plus a flag column, unseen categories a bucket
-    of their own; a column without any value in training is left out. ``balanced`` weights each class by its inverse frequency. The assembled
+    Missing numbers get the training median, plus a flag column where training has gaps;
+    unseen categories get a bucket of their own; a column without any value is left out. ``balanced`` weights each class by its inverse frequency. The assembled
     rows are kept while fitting, since boosting reads them once per tree level.
     """
     rows = _inputs(df.filter(F.col(spec.label).isNotNull()), spec).withColumn("label", F.col(spec.label).cast("double"))
@@ -113,8 +117,9 @@ def train(
     if balanced and spec.task == "classification":
         rows, weight = rows.withColumn("weight", class_weight(rows, "label")), "weight"
 
-    known = rows.agg(*[F.count(c).alias(c) for c in spec.numeric]).first()
-    numeric = [c for c in spec.numeric if known[c]]
+    total, *known = rows.agg(F.count(F.lit(1)), *[F.count(c) for c in spec.numeric]).first()
+    numeric = [c for c, n in zip(spec.numeric, known) if n]
+    gaps = [c for c, n in zip(spec.numeric, known) if 0 < n < total]
     prepared = Pipeline(stages=[
         Imputer(strategy="median", inputCols=numeric, outputCols=[f"{c}_filled" for c in numeric]),
         StringIndexer(
@@ -122,7 +127,7 @@ def train(
         ),
         VectorAssembler(
             inputCols=[f"{c}_filled" for c in numeric]
-            + [f"{c}_missing" for c in numeric]
+            + [f"{c}_missing" for c in gaps]
             + [f"{c}_index" for c in spec.categorical],
             outputCol="features",
         ),
@@ -177,15 +182,19 @@ def score(df: DataFrame, models: dict[str, tuple[ModelSpec, PipelineModel]], ctx
 
     The tier comes from the unrounded probabilities, the stored values are rounded.
     """
-    scored = df
+    scored, factors = df, {}
     for spec, model in models.values():
         scored = predict(scored, model, spec)
-    return prediction_rows(scored, ctx)
+        factors[spec.output] = json.loads(contributing_factors(model, spec))
+    return prediction_rows(scored, ctx, factors=json.dumps(factors))
 
 
-def prediction_rows(scored: DataFrame, ctx: RunContext, model: str = RUL.name, version: str = RUL.version) -> DataFrame:
+def prediction_rows(
+    scored: DataFrame, ctx: RunContext, model: str = RUL.name, version: str = RUL.version, factors: str | None = None
+) -> DataFrame:
     """Stored form of scored rows: tier, rounded outputs, run id and time."""
     return scored.select(
+        surrogate_key(F.col("record_id"), F.col("snapshot_date"), F.lit(ctx.run_id)).alias("prediction_id"),
         "record_id",
         "component_serial_number",
         "snapshot_date",
@@ -195,13 +204,14 @@ def prediction_rows(scored: DataFrame, ctx: RunContext, model: str = RUL.name, v
         exact_round(F.col("predicted_failure_prob_30d"), 4, 6).alias("predicted_failure_prob_30d"),
         exact_round(F.col("predicted_failure_prob_90d"), 4, 6).alias("predicted_failure_prob_90d"),
         risk_tier(F.col("predicted_failure_prob_30d"), F.col("predicted_failure_prob_90d")).alias("risk_tier"),
+        F.lit(factors).cast("string").alias("top_contributing_factors"),
         F.lit(ctx.run_id).alias("run_id"),
         ctx.time.alias("scored_at"),
     ).select(*names(PREDICTIONS))
 
 
 def contributing_factors(model: PipelineModel, spec: ModelSpec, top: int = 5) -> str:
-    """The model's strongest inputs as JSON, for the factors column of its predictions."""
+    """The model's strongest inputs as JSON, for the factors column of the predictions."""
     inputs = model.stages[-2].getInputCols()
     ranked = sorted(zip(inputs, model.stages[-1].featureImportances.toArray()), key=lambda pair: (-pair[1], pair[0]))
     clean = {name.removesuffix("_filled").removesuffix("_index"): round(float(gain), 4) for name, gain in ranked[:top]}
@@ -225,6 +235,7 @@ def registry_rows(spark: SparkSession, specs: list[ModelSpec], training_rows: in
     return spark.createDataFrame(rows, columns).withColumns(
         {
             "training_data_summary": F.to_json(F.struct(F.lit(training_rows).cast("bigint").alias("training_rows"))),
+            "performance_metrics": F.lit(None).cast("string"),
             "trained_at": ctx.time,
             "trained_by": F.lit(ctx.user),
             "model_id": surrogate_key(F.col("model_name"), F.col("model_version")),

@@ -169,6 +169,7 @@ FEATURES: Layout = [
 ]
 
 PREDICTIONS: Layout = [
+    ("prediction_id", "bigint"),
     ("record_id", "bigint"),
     ("component_serial_number", "string"),
     ("snapshot_date", "date"),
@@ -178,6 +179,7 @@ PREDICTIONS: Layout = [
     ("predicted_failure_prob_30d", "decimal(6,4)"),
     ("predicted_failure_prob_90d", "decimal(6,4)"),
     ("risk_tier", "string"),
+    ("top_contributing_factors", "string"),
     ("run_id", "string"),
     ("scored_at", "timestamp_ntz"),
 ]

@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The months the reference layout creates, end exclusive.
+# The months a new installation opens, end exclusive.
 SPINE_START = date(2023, 6, 1)
 SPINE_END = date(2025, 12, 1)
 

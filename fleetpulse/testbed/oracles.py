@@ -392,7 +392,10 @@ oracle(
 
 # ---- predictions and their evaluation ----
 
-oracle("risk_tiers", f"select {show(PREDICTIONS)} from pred")
+oracle(
+    "risk_tiers",
+    f"select {show([c for c in PREDICTIONS if c[0] not in ('prediction_id', 'top_contributing_factors')])} from pred",
+)
 oracle(
     "tier_summary",
     """select count(*) as total_predictions, count(case when risk_tier = 'High' then 1 end) as high_risk,

@@ -372,7 +372,7 @@ def split_sizes(b: Bed) -> DataFrame:
 
 @query
 def risk_tiers(b: Bed) -> DataFrame:
-    return b.predictions
+    return b.predictions.drop("prediction_id", "top_contributing_factors")
 
 
 @query

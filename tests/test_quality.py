@@ -137,6 +137,16 @@ def test_rule_needs_a_known_category_and_one_test():
         quality.Rule("x", "Validity", "Critical")
 
 
+def test_rules_live_in_a_table(rows, ctx, spark):
+    extra = quality.Rule("old_part", "Validity", "Warning", "part_cost_usd > 50")
+    off = quality.Rule("off", "Validity", "Critical", "true", active=False)
+    stored = quality.catalog(spark, [*quality.RULES, extra, off]).unionByName(quality.catalog(spark, [extra], "elsewhere"))
+    rules = quality.read_rules(stored)
+    assert sorted(r.name for r in rules) == sorted([r.name for r in quality.RULES] + ["old_part"])
+    results = failed(quality.run_checks(rows(*BAD), rules, ctx))
+    assert results["old_part"] == 12 and results["duplicate_record_id"] == 2
+
+
 def test_constraints_let_null_pass(rows):
     batch = rows({"fleet_type": None}, {"fleet_type": "Glider"}, {"humidity_avg_pct": None}, {"humidity_avg_pct": 101},
                  {"design_mtbf_hours": 0}, {"prior_removal_count": None})

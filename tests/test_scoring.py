@@ -58,6 +58,8 @@ def test_scores_are_probabilities_for_every_test_row(trained, spark):
     )
     assert out.count() == 0
     assert values(predictions.select("run_id", "scored_at").distinct()) == [(ctx.run_id, ctx.as_of)]
+    factors = json.loads(predictions.first().top_contributing_factors)
+    assert set(factors) == {"predicted_rul_days", "predicted_failure_prob_30d", "predicted_failure_prob_90d"}
 
 
 def test_models_beat_a_constant_guess(trained, spark):
