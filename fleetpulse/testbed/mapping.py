@@ -10,7 +10,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 # Whole numbers kept as double in the test tables are taken as integers: exact and cheap.
-QUANTITY = "cast(round(l_quantity) as int)"
+QUANTITY = "cast(floor(l_quantity+0.5) as int)"
 
 # One expression per extract column, over lineitem x orders x customer x part x supplier.
 EXPRESSIONS: dict[str, str] = {
@@ -46,10 +46,10 @@ EXPRESSIONS: dict[str, str] = {
     "inspection_finding_severity": "case l_linenumber%4 when 0 then 'None' when 1 then 'Minor' when 2 then 'Major' else 'Critical' end",
     "inspection_technician_id": "concat('T', cast(l_suppkey%20 as string))",
     "work_order_number": "concat('W', cast(l_orderkey as string))",
-    "sensor_vibration_index": "case when l_linenumber=5 then null else cast(round(l_discount*100) as int) end",
+    "sensor_vibration_index": "case when l_linenumber=5 then null else cast(floor(l_discount*100+0.5) as int) end",
     "sensor_temperature_avg_c": f"{QUANTITY}+40",
     "sensor_pressure_avg_psi": f"{QUANTITY}*20",
-    "sensor_oil_debris_index": "cast(round(l_tax*100) as int)",
+    "sensor_oil_debris_index": "cast(floor(l_tax*100+0.5) as int)",
     "health_monitoring_score": f"100-{QUANTITY}*cast(2.01 as decimal(3,2))",
     "anomaly_count_last_30_days": "l_linenumber",
     "ambient_temperature_avg_c": "c_nationkey",
