@@ -50,9 +50,9 @@ def test_landing_replaces_and_stamps_once(rows, ctx, tmp_path):
     assert values(landed, "record_id", "load_batch_id", "loaded_at") == [(3, "run", ctx.as_of), (4, "run", ctx.as_of)]
 
 
-def test_spread_leaves_many_files_alone(spark, tmp_path):
+def test_spread_leaves_many_splits_alone(spark, tmp_path):
     spark.range(100).repartition(1).write.parquet(str(tmp_path / "one"))
-    spark.range(100).repartition(9).write.parquet(str(tmp_path / "many"))
+    spark.range(100).repartition(16).write.parquet(str(tmp_path / "many"))
     assert extract.spread(spark.read.parquet(str(tmp_path / "one"))).rdd.getNumPartitions() == 4
     many = spark.read.parquet(str(tmp_path / "many"))
     assert extract.spread(many) is many
