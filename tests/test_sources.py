@@ -97,6 +97,11 @@ def test_overwrite_replaces_touched_months_only(spark, tmp_path):
     assert values(months.read_months(spark, path), "day") == [(date(2024, 1, 5),), (date(2024, 2, 6),), (date(2024, 2, 7),), (date(2030, 1, 1),)]
 
 
+def test_writes_are_rebalanced_by_size(spark):
+    plan = routed(spark, date(2024, 1, 5)).hint("rebalance", months.PARTITION)._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
 def test_reads_prune_months(spark, tmp_path):
     path = str(tmp_path / "t")
     months.write_months(routed(spark, date(2024, 1, 31), date(2024, 2, 5), date(2024, 3, 5)), path)
