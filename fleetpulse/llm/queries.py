@@ -6,10 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetpulse.llm import sharding, simhash
+from fleetpulse.llm import decontaminate, langid, mixing, pii, quality, secrets, sharding, simhash, spotsigs, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
+    "op2_fingerprints": spotsigs.op2_fingerprints,
     "op3_simhash": simhash.op3_simhash,
+    "op4_quality": quality.op4_quality,
+    "op5_warc": warc.op5_warc,
+    "op6_mixing": mixing.op6_mixing,
+    "op7_personal_data": pii.op7_personal_data,
+    "op8_decontamination": decontaminate.op8_decontamination,
+    "op9_secrets": secrets.op9_secrets,
+    "op10_language": langid.op10_language,
+}
+# The others are tested against brute force, an exact round trip or held-out accuracy in tests/llm.
+ORACLES: dict[str, str] = {
+    "op2_fingerprints": spotsigs.ORACLE,
+    "op5_warc": warc.ORACLE,
+    "op6_mixing": mixing.ORACLE,
+    "op7_personal_data": pii.ORACLE,
+    "op8_decontamination": decontaminate.ORACLE,
+    "op9_secrets": secrets.ORACLE,
 }
-ORACLES: dict[str, str] = {}

@@ -136,3 +136,26 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select(
         F.col("doc.doc_id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs``, but of each near-duplicate group only the one with the smallest id.
+
+    Of equal ids the row with the smallest hash stays, of rows equal in every column any one;
+    null ids come after all others. Groups are worked out on hashes; texts are shuffled once,
+    to meet the rows that stay.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    hashed = docs.select(
+        packed_columns(docs), F.col(key).alias("id"), F.col(text).alias("text"),
+        F.xxhash64(*columns).alias("h1"), F.xxhash64(F.lit(1), *columns).alias("h2"),
+    )
+    grouped = near_duplicates(hashed, key="id", text="text", words=words, max_bits=max_bits, carry=["id", "h1", "h2"])
+    rows = grouped.select("root", "doc.*").groupBy("root", "id", "h1", "h2").agg(F.count("*").alias("copies"))
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "h1", "h2", "copies"))
+    stay = stage(rows.groupBy("root").agg(first.alias("s")).select("s.h1", "s.h2", "s.copies"), "simhash_stay")
+    met = hashed.select("doc", "h1", "h2").join(stay.hint("merge"), ["h1", "h2"])
+    if stay.filter("copies > 1").isEmpty():
+        return met.select("doc.*")
+    single = met.filter("copies = 1").select("doc.*")
+    return single.unionByName(met.filter("copies > 1").dropDuplicates(["h1", "h2"]).select("doc.*"))
