@@ -26,7 +26,7 @@ from fleetpulse.testbed.tables import bed  # noqa: E402
 HEADLINE = [
     "dq_results", "quarantine_critical", "good_rows", "upsert_two_batches", "promote_fact", "rolling_rate",
     "features_v1", "split_sizes", "eval_rul", "threshold_sweep", "metric_trend", "drift_log", "retraining_required",
-    "latest_component_risk", "risk_ranking_top50", "aircraft_summary", "supplier_risk", "train_score_90",
+    "latest_component_risk", "risk_ranking_top50", "aircraft_summary", "supplier_risk",
 ]
 
 

@@ -14,20 +14,22 @@ def exact_round(value: Column, places: int, precision: int = 20) -> Column:
     return F.round(value.cast("decimal(30,12)"), places).cast(f"decimal({precision},{places})")
 
 
-def ratio(numerator: Column, denominator: Column, places: int) -> Column:
-    """Exact quotient; NULL where the denominator is zero or either side is NULL."""
-    return exact_round(
-        numerator.cast("decimal(18,4)") / F.nullif(denominator.cast("decimal(18,4)"), F.lit(0)), places
-    )
+def ratio(numerator: Column, denominator: Column, places: int, kind: str = "decimal(18,4)") -> Column:
+    """Exact quotient; NULL where the denominator is zero or either side is NULL.
+
+    ``kind`` is the decimal type both sides are held in; give it more digits or places where
+    they have more, as a value that does not fit it is rounded or refused.
+    """
+    return exact_round(numerator.cast(kind) / F.nullif(denominator.cast(kind), F.lit(0)), places)
 
 
-def exact_mean(value: Column) -> Column:
+def exact_mean(value: Column, kind: str = "decimal(14,4)") -> Column:
     """Mean over a group from an exact decimal sum: the same whatever the order of the rows.
 
-    Not rounded; Spark's own mean of a decimal keeps four more places only, so rounding
-    it again could round twice.
+    ``kind`` is the decimal type the values are held in. The mean is not rounded; Spark's own
+    mean of a decimal keeps four more places only, so rounding it again could round twice.
     """
-    return F.sum(value.cast("decimal(14,4)")) / F.nullif(F.count(value), F.lit(0))
+    return F.sum(value.cast(kind)) / F.nullif(F.count(value), F.lit(0))
 
 
 def weighted_sum(weights: dict[str, str], places: int) -> Column:

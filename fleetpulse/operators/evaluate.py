@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ DECISION = "0.5"
 SWEEP = ["0.2", "0.3", "0.4", "0.5"]
 METRIC = "decimal(10,4)"
 PROBABILITY = "decimal(6,4)"
+DAYS = "decimal(12,4)"
 
 
 @dataclass(frozen=True)
@@ -53,7 +54,9 @@ def evaluate(
     ctx: RunContext,
     *,
     run_id: str | None = None,
-    version: str | None = "v1",
+    version: str | None = None,
+    since: date | None = None,
+    until: date | None = None,
     threshold: str = DECISION,
     by: list[Column] = (),
 ) -> DataFrame:
@@ -62,9 +65,14 @@ def evaluate(
     RMSE and MAE for a regression; precision and recall at a strict threshold for a
     classifier, NULL where nothing was flagged or nothing failed. ``sample_size`` counts
     the joined rows, ``n_scored`` those the target has a prediction (and for a regression
-    an outcome) for. Rows are chosen by run and version only, since one scoring run keeps
-    the output of all models in one row. ``by`` gives one evaluation per group.
+    an outcome) for. Rows are chosen by run, version and date (``since`` and ``until``
+    included), since one scoring run keeps the output of all models in one row. Every
+    model version present is evaluated on its own. ``by`` gives one evaluation per group.
     """
+    if since is not None:
+        predictions = predictions.filter(F.col("snapshot_date") >= F.lit(since))
+    if until is not None:
+        predictions = predictions.filter(F.col("snapshot_date") <= F.lit(until))
     joined = with_outcomes(predictions, truth, [t.label for t in targets], run_id, version)
     aggregates, rows = [], []
     for i, target in enumerate(targets):
@@ -79,18 +87,24 @@ def evaluate(
             )
             for name, column in zip(target.metrics, "ab")
         ]
-    totals = joined.groupBy(*by).agg(
+    # A version asked for gives its row even if nothing was scored; else each version found has its own.
+    each = [*by, "model_version"] if version is None else list(by)
+    totals = joined.groupBy(*each).agg(
         F.count(F.lit(1)).alias("sample_size"),
         F.min("snapshot_date").alias("evaluation_window_start"),
         F.max("snapshot_date").alias("evaluation_window_end"),
         *aggregates,
     )
     groups = totals.columns[: len(by)]
+    if version is not None:
+        totals = totals.withColumn("model_version", F.lit(version))
     window = ["evaluation_window_start", "evaluation_window_end"]
-    return totals.select(*groups, *window, "sample_size", F.inline(F.array(*rows))).select(
-        surrogate_key(F.col("model_name"), F.col("metric_name"), F.col(window[0]), F.lit(ctx.run_id)).alias("log_id"),
+    return totals.select(*groups, "model_version", *window, "sample_size", F.inline(F.array(*rows))).select(
+        surrogate_key(
+            F.col("model_name"), F.col("model_version"), F.col("metric_name"), F.col(window[0]), F.lit(ctx.run_id)
+        ).alias("log_id"),
         "model_name",
-        F.lit(version).cast("string").alias("model_version"),
+        "model_version",
         *groups,
         *window,
         "metric_name",
@@ -167,8 +181,11 @@ def metric_trend(log: DataFrame, ctx: RunContext, days: int = 90) -> DataFrame:
 
 def _metrics(target: Target, threshold: str) -> tuple[Column, Column, Column]:
     if target.task == "regression":
-        error = F.col(target.output).cast("double") - F.col(f"true_{target.label}").cast("double")
-        return F.sqrt(F.avg(error * error)), F.avg(F.abs(error)), F.count(error)
+        # Exact sums, so that the order of the rows does not show.
+        error = F.col(target.output).cast(DAYS) - F.col(f"true_{target.label}").cast(DAYS)
+        square, size = F.sum((error * error).cast("decimal(28,8)")), F.sum(F.abs(error))
+        n = F.nullif(F.count(error), F.lit(0))
+        return F.sqrt(square.cast("double") / n), size.cast("double") / n, F.count(error)
     return *_precision_recall(target.output, target.label, threshold), F.count(F.col(target.output))
 
 

@@ -4,26 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 # A lookup table of at most this size is broadcast: one copy per executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-_TEXT_BYTES = 40
+# Rows in memory against the files they are read from, which are encoded and compressed.
+UNPACKED = 5
 
 
-def row_bytes(df: DataFrame) -> int:
-    """Rough width of a row in memory."""
-    return sum(
-        _TEXT_BYTES if isinstance(field.dataType, T.StringType) else 16 if isinstance(field.dataType, T.DecimalType) else 8
-        for field in df.schema
-    )
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files and other sources a frame reads, known from listing them; no job runs."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
 def fits(stored: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether a stored table is small enough to broadcast; counting it only reads footers."""
-    return stored.count() * row_bytes(stored) <= limit
+    """Whether a stored table is small enough to broadcast, all of its columns counted, long texts included."""
+    return stored_bytes(stored) * UNPACKED <= limit
 
 
 def lookup_join(
@@ -31,7 +29,7 @@ def lookup_join(
 ) -> DataFrame:
     """Join rows to a table that holds one row per key (``how`` is inner or left).
 
-    ``lookup`` is a stored table, as its row count decides the strategy. Small enough, it
+    ``lookup`` is a stored table, as the bytes of its files decide the strategy. Small enough, it
     is broadcast and ``many`` is not shuffled. Otherwise both sides are sort-merge joined:
     adaptive execution then splits a partition swollen by a hot key (or, in a left join,
     by NULL keys) into slices by map output, each meeting its own copy of the few lookup

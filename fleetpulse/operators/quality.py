@@ -116,8 +116,12 @@ def run_checks(df: DataFrame, rules: list[Rule], ctx: RunContext) -> DataFrame:
             counts.append(_unpivot(totals, [rule]))
     if not counts:
         counts.append(_unpivot(df.agg(F.count(F.lit(1)).alias("rows_checked")), []))
+    return _results(reduce(DataFrame.unionByName, counts), ctx)
+
+
+def _results(counts: DataFrame, ctx: RunContext) -> DataFrame:
     checked, failed = F.col("rows_checked"), F.col("rows_failed")
-    return reduce(DataFrame.unionByName, counts).select(
+    return counts.select(
         surrogate_key(F.col("rule_name"), F.lit(ctx.run_id)).alias("result_id"),
         "rule_name",
         "rule_category",
@@ -133,6 +137,16 @@ def run_checks(df: DataFrame, rules: list[Rule], ctx: RunContext) -> DataFrame:
     )
 
 
+def results_of_tags(tagged: DataFrame, rules: list[Rule], ctx: RunContext) -> DataFrame:
+    """As ``run_checks``, counted from the tags of ``tag_failures`` in one aggregation of the tagged rows."""
+    active = [r for r in rules if r.active]
+    totals = tagged.agg(
+        F.count(F.lit(1)).alias("rows_checked"),
+        *[F.count_if(F.array_contains("failed_rules", r.name)).alias(r.name) for r in active],
+    )
+    return _results(_unpivot(totals, active), ctx)
+
+
 def _unpivot(totals: DataFrame, rules: list[Rule]) -> DataFrame:
     rows = [
         F.struct(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -180,13 +180,16 @@ def predict(df: DataFrame, model: PipelineModel, spec: ModelSpec) -> DataFrame:
 def score(df: DataFrame, models: dict[str, tuple[ModelSpec, PipelineModel]], ctx: RunContext) -> DataFrame:
     """Prediction rows of one scoring run; each model runs once per row.
 
-    The tier comes from the unrounded probabilities, the stored values are rounded.
+    The tier comes from the unrounded probabilities, the stored values are rounded. Rows
+    carry the name and version of the regression, which stands for the run; the first model
+    does if there is none.
     """
     scored, factors = df, {}
     for spec, model in models.values():
         scored = predict(scored, model, spec)
         factors[spec.output] = json.loads(contributing_factors(model, spec))
-    return prediction_rows(scored, ctx, factors=json.dumps(factors))
+    named = models[RUL.name][0] if RUL.name in models else next(iter(models.values()))[0]
+    return prediction_rows(scored, ctx, named.name, named.version, json.dumps(factors))
 
 
 def prediction_rows(
@@ -210,11 +213,14 @@ def prediction_rows(
     ).select(*names(PREDICTIONS))
 
 
-def contributing_factors(model: PipelineModel, spec: ModelSpec, top: int = 5) -> str:
-    """The model's strongest inputs as JSON, for the factors column of the predictions."""
+def contributing_factors(model: PipelineModel, spec: ModelSpec) -> str:
+    """The weight of each of the model's inputs as JSON, strongest first, for the factors column of the predictions.
+
+    These are the model's own weights, the same for all rows of a run.
+    """
     inputs = model.stages[-2].getInputCols()
     ranked = sorted(zip(inputs, model.stages[-1].featureImportances.toArray()), key=lambda pair: (-pair[1], pair[0]))
-    clean = {name.removesuffix("_filled").removesuffix("_index"): round(float(gain), 4) for name, gain in ranked[:top]}
+    clean = {name.removesuffix("_filled").removesuffix("_index"): round(float(gain), 4) for name, gain in ranked}
     return json.dumps(clean)
 
 
@@ -250,6 +256,25 @@ def register(registry: DataFrame | None, cards: DataFrame) -> DataFrame:
     return insert_if_absent(registry, cards, ["model_name", "model_version"])
 
 
+def next_versions(registry: DataFrame | None, specs: list[ModelSpec]) -> list[ModelSpec]:
+    """The specs with the version that a new training gets: one above the highest registered, v1 at first."""
+    if registry is None:
+        return [replace(s, version="v1") for s in specs]
+    number = F.regexp_extract("model_version", r"^v([0-9]+)$", 1).try_cast("int")
+    # One row per model.
+    highest = {r.model_name: r.n for r in registry.groupBy("model_name").agg(F.coalesce(F.max(number), F.lit(0)).alias("n")).collect()}
+    return [replace(s, version=f"v{highest.get(s.name, 0) + 1}") for s in specs]
+
+
+def promote_versions(registry: DataFrame | None, cards: DataFrame) -> DataFrame:
+    """The registry with new cards, which take over as the active versions of their models."""
+    if registry is None:
+        return cards
+    replaced = cards.select("model_name", F.lit(True).alias("_new")).distinct()
+    older = registry.join(replaced, "model_name", "left").withColumn("is_active", F.col("is_active") & F.col("_new").isNull())
+    return older.select(*registry.columns).unionByName(register(registry, cards))
+
+
 def active_models(registry: DataFrame) -> DataFrame:
     return registry.filter("is_active").select("model_name", "model_version", "is_active")
 

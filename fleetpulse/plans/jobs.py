@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.ml import PipelineModel
@@ -31,9 +32,9 @@ def run_nightly(spark: SparkSession, layout: Layout, ctx: RunContext) -> DataFra
     """
     built = refresh_features(spark, layout, ctx)
     drift = stage(monitor.drift(built, ctx), "drift")
-    extract.append_log(drift, layout.path("drift_log"))
-    extract.append_log(monitor.alerts_from_drift(drift, ctx), layout.path("alerts"))
-    if months.read_if_exists(spark, layout.path("model_registry")) is not None:
+    extract.write_log(drift, layout.path("drift_log"), ctx)
+    extract.write_log(monitor.alerts_from_drift(drift, ctx), layout.path("alerts/drift"), ctx)
+    if months.read_version(spark, layout.path("model_registry")) is not None:
         score_test_split(spark, layout, ctx)
     return drift
 
@@ -41,34 +42,49 @@ def run_nightly(spark: SparkSession, layout: Layout, ctx: RunContext) -> DataFra
 def train_models(
     spark: SparkSession, layout: Layout, ctx: RunContext, specs=tuple(scoring.MODELS), rounds: int | None = None, balanced: bool = False
 ) -> None:
-    """Train on the train split, save the pipelines and register versions not yet known."""
+    """Train on the train split, save the pipelines under new versions and make those the active ones.
+
+    A version is registered only after its model is saved, and a registered one is never
+    overwritten.
+    """
     table = spark.read.parquet(layout.path(f"features_{features.VERSION}"))
     split = features.temporal_split(table)["train"]
+    registry = months.read_version(spark, layout.path("model_registry"))
+    specs = scoring.next_versions(registry, list(specs))
     for spec in specs:
         scoring.train(split, spec, rounds=rounds, balanced=balanced).write().overwrite().save(
             layout.path(f"models/{spec.name}/{spec.version}")
         )
-    cards = scoring.registry_rows(spark, list(specs), split.count(), f"features_{features.VERSION}", ctx)
-    known = months.read_if_exists(spark, layout.path("model_registry"))
-    extract.append_log(stage(scoring.register(known, cards), "cards"), layout.path("model_registry"))
+    cards = scoring.registry_rows(spark, specs, split.count(), f"features_{features.VERSION}", ctx)
+    months.write_version(stage(scoring.promote_versions(registry, cards), "registry"), layout.path("model_registry"))
 
 
 def score_test_split(spark: SparkSession, layout: Layout, ctx: RunContext, specs=tuple(scoring.MODELS)) -> None:
-    """Score the newest rows with the saved models and append the predictions."""
+    """Score the newest rows with the active versions of the saved models and log the predictions."""
     table = spark.read.parquet(layout.path(f"features_{features.VERSION}"))
-    models = {s.name: (s, PipelineModel.load(layout.path(f"models/{s.name}/{s.version}"))) for s in specs}
+    registry = months.read_version(spark, layout.path("model_registry"))
+    # One row per model.
+    active = {r.model_name: r.model_version for r in scoring.active_models(registry).collect()}
+    models = {}
+    for spec in specs:
+        if spec.name in active:
+            spec = replace(spec, version=active[spec.name])
+            models[spec.name] = (spec, PipelineModel.load(layout.path(f"models/{spec.name}/{spec.version}")))
     rows = scoring.score(features.temporal_split(table)["test"], models, ctx)
-    extract.append_log(rows, layout.path("predictions"))
+    extract.write_log(rows, layout.path("predictions"), ctx)
 
 
 def run_weekly(spark: SparkSession, layout: Layout, ctx: RunContext, limits=tuple(monitor.LIMITS)) -> DataFrame:
     """Evaluate the newest scoring run of all three models, log the metrics, raise alerts."""
     truth = spark.read.parquet(layout.path(f"features_{features.VERSION}"))
-    newest = newest_run(spark.read.parquet(layout.path("predictions")), "scored_at")
+    # The newest run is among the newest day's, which prunes all other days.
+    log = spark.read.parquet(layout.path("predictions"))
+    day = log.agg(F.max("run_day")).first()[0]
+    newest = newest_run(log.filter(F.col("run_day") == F.lit(day)).drop("run_day", "run"), "scored_at")
     models = [spec.target for spec in scoring.MODELS]
     metrics = stage(evaluate.evaluate(newest, truth, models, ctx), "metrics")
-    extract.append_log(metrics, layout.path("performance_log"))
-    extract.append_log(monitor.alerts_from_metrics(metrics, ctx, list(limits)), layout.path("alerts"))
+    extract.write_log(metrics, layout.path("performance_log"), ctx)
+    extract.write_log(monitor.alerts_from_metrics(metrics, ctx, list(limits)), layout.path("alerts/metrics"), ctx)
     return metrics
 
 
@@ -76,9 +92,9 @@ def run_monthly(spark: SparkSession, layout: Layout, ctx: RunContext) -> Layout:
     """Open next month's partition ahead of its first load."""
     month = ctx.as_of.year * 12 + ctx.as_of.month + 1
     after = date(month // 12, month % 12 + 1, 1)
-    return extend_spine(layout, max(after, layout.spine_end), spark)
+    return extend_spine(layout, after, spark)
 
 
 def retraining_signal(spark: SparkSession, layout: Layout, ctx: RunContext) -> DataFrame:
     """Models and features with open alerts of the last week."""
-    return monitor.retraining_required(spark.read.parquet(layout.path("alerts")), ctx).orderBy(F.col("entity"))
+    return monitor.retraining_required(extract.read_log(spark, layout.path("alerts")), ctx).orderBy(F.col("entity"))

@@ -24,6 +24,9 @@ def local_session(cores: int | str = 8, memory: str = "8g", **conf: str) -> Spar
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
+        # A small file is read in as many splits as there are cores.
+        .config("spark.sql.files.openCostInBytes", "262144")
+        .config("spark.sql.files.minPartitionNum", str(cores))
         # The JVM never compiles a method above 8000 bytes of bytecode; wide rows fall back
         # to code per operator instead, which it does compile.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")

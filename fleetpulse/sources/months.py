@@ -6,6 +6,7 @@ A partitioned table is a Parquet folder with one ``partition_name=`` directory p
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -98,21 +99,87 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
 def archive_month(spark: SparkSession, path: str, archive_path: str, name: str, drop: bool = False) -> DataFrame:
     """Copy one month to the archive and return the archived rows.
 
-    With ``drop`` the month's directory is removed from the live table, after the copy
-    has been read back and counted.
+    The copy is written aside, read back and compared by count and checksum before it takes
+    the archive's place. Rows already archived are kept: late rows of a month that was
+    dropped before are added to them, and a month without live rows leaves its archive as
+    it is. With ``drop`` the month's directory is then removed from the live table.
     """
-    live = read_months(spark, path, [name])
-    target = f"{archive_path}/{PARTITION}={name}"
-    live.drop(PARTITION).write.mode("overwrite").parquet(target)
-    archived = spark.read.parquet(target).withColumn(PARTITION, F.lit(name))
+    target, aside = f"{archive_path}/{PARTITION}={name}", f"{archive_path}/_writing-{name}-{uuid.uuid4().hex}"
+    live, kept = read_months(spark, path, [name]).drop(PARTITION), read_if_exists(spark, target)
+    if live.isEmpty():
+        if kept is None:
+            raise ValueError(f"{name} has no rows to archive")
+        return kept.withColumn(PARTITION, F.lit(name))
+    # Rows that an earlier call copied but did not drop are in both places.
+    whole = live if kept is None else kept.unionByName(live.exceptAll(kept))
+    wanted = _fingerprint(whole)
+    whole.write.parquet(aside)
+    if _fingerprint(spark.read.parquet(aside)) != wanted:
+        raise RuntimeError(f"archive of {name} is incomplete, live partition kept")
+    _move(spark, aside, target)
     if drop:
-        if archived.count() != live.count():
-            raise RuntimeError(f"archive of {name} is incomplete, live partition kept")
         drop_partition(spark, path, name)
-    return archived
+    return spark.read.parquet(target).withColumn(PARTITION, F.lit(name))
+
+
+def _fingerprint(df: DataFrame) -> tuple:
+    """Rows and a checksum that does not depend on their order."""
+    columns = [F.col(c) for c in sorted(df.columns)]
+    return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))).first())
+
+
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a complete folder in the place of another."""
+    new, files = _folder(spark, source)
+    old = _folder(spark, target)[0]
+    before = _folder(spark, f"{target.rpartition('/')[0]}/_before-{uuid.uuid4().hex}")[0]
+    replaced = files.exists(old) and files.rename(old, before)
+    if not files.rename(new, old):
+        raise RuntimeError(f"{source} could not be moved to {target}")
+    if replaced:
+        files.delete(before, True)
 
 
 def drop_partition(spark: SparkSession, path: str, name: str) -> None:
     """Remove one partition's directory from a table."""
-    gone = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{PARTITION}={name}")
-    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    gone, files = _folder(spark, f"{path}/{PARTITION}={name}")
+    files.delete(gone, True)
+
+
+# ---- tables that are replaced as a whole ----
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Complete versions of a table, oldest first. A version counts once Spark has marked it as written."""
+    place, files = _folder(spark, path)
+    if not files.exists(place):
+        return []
+    names = [f.getPath().getName() for f in files.listStatus(place)]
+    return sorted(n for n in names if n.startswith("v") and files.exists(_folder(spark, f"{path}/{n}/_SUCCESS")[0]))
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest complete version of a table, or None if there is none."""
+    known = versions(spark, path)
+    return spark.read.parquet(f"{path}/{known[-1]}") if known else None
+
+
+def write_version(df: DataFrame, path: str) -> DataFrame:
+    """Replace a whole table and return it.
+
+    The new version is a folder of its own beside the old one, so a writer lost half-way
+    leaves the old version in force. The version before is kept, older ones are removed.
+    """
+    spark = df.sparkSession
+    known = versions(spark, path)
+    name = f"v{int(known[-1][1:9]) + 1 if known else 1:08d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(f"{path}/{name}")
+    for old in known[:-1]:
+        gone, files = _folder(spark, f"{path}/{old}")
+        files.delete(gone, True)
+    return spark.read.parquet(f"{path}/{name}")

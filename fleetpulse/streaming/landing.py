@@ -17,10 +17,11 @@ from fleetpulse.sources.extract import EXTRACT_CSV
 from fleetpulse.sources.months import read_if_exists
 
 
-def load_new_files(spark: SparkSession, inbox: str, layout: Layout, ctx: RunContext, files_per_batch: int = 1000, **options) -> None:
+def load_new_files(spark: SparkSession, inbox: str, layout: Layout, ctx: RunContext, **options) -> None:
     """Load every file of a folder not loaded before, then stop.
 
-    Each micro-batch is one load with its own run id. A finished load is noted, so a
+    All files that wait when the call starts are one load with its own run id, so what is
+    quarantined does not depend on how they are dealt out. A finished load is noted, so a
     micro-batch replayed after a failure is not loaded twice; one that failed half-way is
     loaded again, which the curated tables absorb. ``ctx.run_id`` must therefore stay the
     same for one inbox.
@@ -34,7 +35,6 @@ def load_new_files(spark: SparkSession, inbox: str, layout: Layout, ctx: RunCont
 
     stream = (
         spark.readStream.options(**EXTRACT_CSV)
-        .option("maxFilesPerTrigger", files_per_batch)
         .schema(struct_type(EXTRACT))
         .csv(inbox)
     )

@@ -16,7 +16,7 @@ QUANTITY = "cast(floor(l_quantity+0.5) as int)"
 EXPRESSIONS: dict[str, str] = {
     "record_id": "l_orderkey*10+l_linenumber",
     "snapshot_date": "cast(l_shipdate as date)",
-    "aircraft_tail_number": "c_name",
+    "aircraft_tail_number": "case when l_orderkey%991=0 then null else c_name end",
     "aircraft_model": "c_mktsegment",
     "fleet_type": "case c_nationkey%3 when 0 then 'Narrowbody' when 1 then 'Regional' else 'Specialized-Mission' end",
     "aircraft_age_years": "c_nationkey",
@@ -33,7 +33,7 @@ EXPRESSIONS: dict[str, str] = {
     "part_cost_usd": "p_retailprice",
     "installation_date": "cast(o_orderdate as date)",
     "design_mtbf_hours": "p_size*100",
-    "cumulative_flight_hours": "l_extendedprice/20",
+    "cumulative_flight_hours": "case when l_orderkey%983=0 then cast(-1 as double) else l_extendedprice/20 end",
     "cumulative_flight_cycles": f"case when l_linenumber=7 then 0 else {QUANTITY}*10 end",
     "flight_hours_since_last_overhaul": "l_extendedprice/20*(l_tax+cast(0 as double))*15",
     "flight_cycles_since_last_overhaul": f"{QUANTITY}*2",
@@ -55,9 +55,10 @@ EXPRESSIONS: dict[str, str] = {
     "ambient_temperature_avg_c": "c_nationkey",
     "humidity_avg_pct": "c_nationkey*4",
     "corrosion_risk_index": "c_nationkey*3",
-    "supplier_id": "concat('S', cast(l_suppkey as string))",
+    # A supplier that only rows with negative hours name, so that no good row brings it into its dimension.
+    "supplier_id": "case when l_orderkey%983=0 then 'SX' else concat('S', cast(l_suppkey as string)) end",
     "supplier_quality_score": "cast(round(cast((s_acctbal+1000)/110 as decimal(20,10)),1) as double)",
-    "warranty_status": "case l_linenumber%3 when 0 then 'In Warranty' when 1 then 'Out of Warranty' else 'Extended Warranty' end",
+    "warranty_status": "case when l_orderkey%977=0 then 'Expired' when l_linenumber%3=0 then 'In Warranty' when l_linenumber%3=1 then 'Out of Warranty' else 'Extended Warranty' end",
     "firmware_version": "case when p_size%4=0 then 'N/A - Non-Electronic' else concat('fw-', cast(p_size as string)) end",
     "data_quality_flag": "case when l_linenumber=4 then null else 'Complete' end",
     "remaining_useful_life_days": f"{QUANTITY}*cast(7.5 as decimal(2,1))",
@@ -67,8 +68,15 @@ EXPRESSIONS: dict[str, str] = {
 }
 
 # Stand-in model outputs over the snapshot rows, per scoring run.
-RUNS = {"r1": datetime(2001, 12, 1), "r2": datetime(2001, 12, 2)}
+RUNS = {"r0": datetime(2001, 11, 1), "r1": datetime(2001, 12, 1), "r2": datetime(2001, 12, 2)}
+# The model version of each run: the last run's model was trained anew.
+VERSIONS = {"r0": "v1", "r1": "v1", "r2": "v2"}
 OUTPUTS = {
+    "r0": {
+        "predicted_rul_days": "cast(remaining_useful_life_days as double)*cast(0.7 as double)+30",
+        "predicted_failure_prob_30d": "cast((record_id*41+3)%100 as double)/100",
+        "predicted_failure_prob_90d": "cast((record_id*41+18)%100 as double)/100",
+    },
     "r1": {
         "predicted_rul_days": "cast(remaining_useful_life_days as double)*cast(0.9 as double)+10",
         "predicted_failure_prob_30d": "cast((record_id*37+7)%100 as double)/100",
@@ -85,5 +93,7 @@ AS_OF = datetime(2001, 12, 2, 12)
 # First and last month of the fact's spine; some test rows lie outside on purpose.
 SPINE_START = date(1995, 1, 1)
 SPINE_END = date(2001, 7, 1)
+# To here the spine is extended later.
+LATER_END = date(2001, 10, 1)
 # A batch boundary that puts rows of every size of test data on both sides.
 BATCH_DAY = date(1998, 7, 1)

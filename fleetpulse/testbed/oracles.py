@@ -78,7 +78,7 @@ def _prediction(run: str) -> str:
     out = mapping.OUTPUTS[run]
     p30, p90 = out["predicted_failure_prob_30d"], out["predicted_failure_prob_90d"]
     return f"""
-      select record_id, component_serial_number, snapshot_date, 'component_rul_regression' as model_name, 'v1' as model_version,
+      select record_id, component_serial_number, snapshot_date, 'component_rul_regression' as model_name, '{mapping.VERSIONS[run]}' as model_version,
         {rounded(out["predicted_rul_days"], 1)} as predicted_rul_days,
         {rounded(p30, 4)} as predicted_failure_prob_30d, {rounded(p90, 4)} as predicted_failure_prob_90d,
         case when {p30} > 0.5 then 'High' when {p90} > 0.5 then 'Elevated' when {p90} > 0.2 then 'Watch' else 'Low' end as risk_tier,
@@ -136,7 +136,7 @@ BASE = {
     + ", ".join(as_type(n, t, FEATURE_EXPRESSIONS.get(n, f"f.{n}")) for n, t in FEATURES)
     + """ from fact f join comp c on c.component_serial_number = f.component_serial_number
       join air a on a.aircraft_tail_number = f.aircraft_tail_number left join sup s on s.supplier_id = c.supplier_id""",
-    "pred": _prediction("r1") + " union all " + _prediction("r2"),
+    "pred": " union all ".join(_prediction(run) for run in mapping.OUTPUTS),
     "scored": """select p.*, f.remaining_useful_life_days as rul, f.failure_within_30_days as y30, f.failure_within_90_days as y90
       from pred p join feat f on f.record_id = p.record_id and f.snapshot_date = p.snapshot_date where p.run_id = 'r2'""",
 }
@@ -155,13 +155,17 @@ def oracle(name: str, body: str, **more: str) -> None:
                 needed.add(cte)
                 pending.append(ctes[cte])
     chain = ",\n".join(f"{cte} as ({ctes[cte]})" for cte in order if cte in needed)
-    ORACLES[name] = f"with {chain}\n{body}"
+    ORACLES[name] = f"with {chain}\n{body}" if chain else body
 
 
 # ---- sources and partitions ----
 
 oracle("extract_map", f"select {show(EXTRACT)} from e")
-oracle("extract_csv_roundtrip", f"select {show(EXTRACT)} from e")
+oracle(
+    "extract_csv_roundtrip",
+    f"""select {show(EXTRACT)} from (select * replace (work_order_number || case record_id % 4 when 0 then '"' when 1 then ', "a", b'
+      when 2 then 'c, ' || chr(92) else chr(10) || 'next "line"' end as work_order_number) from e)""",
+)
 oracle(
     "month_spine",
     """select strftime(m, '%Y_%m') as partition_name, strftime(m, '%Y-%m-%d') as lo,
@@ -194,6 +198,14 @@ oracle(
     f"""select case when {ROUTED} = '1996_03' then 'archive' else 'live' end as side, {ROUTED} as partition_name, count(*) as rows
     from fact group by 1, 2""",
 )
+# All rows of a month move when it opens, those that arrived before and those that arrived after.
+oracle(
+    "spine_extended",
+    f"""select case when snapshot_date >= date '{mapping.SPINE_START}' and snapshot_date < date '{mapping.LATER_END}'
+        then strftime(snapshot_date, '%Y_%m') else 'default' end as partition_name, count(*) as rows,
+      cast(sum(cumulative_flight_hours) as double) as hours
+    from fact group by 1""",
+)
 oracle(
     "export_recent",
     f"""select record_id, component_serial_number, cast(predicted_failure_prob_30d as double) as predicted_failure_prob_30d, risk_tier,
@@ -422,7 +434,7 @@ def metric_rows(by: str = "") -> str:
     group = f"group by {by}" if by else ""
     extra = f", {by} as month" if by else ""
     return " union all ".join(
-        f"""select '{model}' as model_name, 'v1' as model_version, '{metric}' as metric_name,
+        f"""select '{model}' as model_name, max(model_version) as model_version, '{metric}' as metric_name,
         cast({value} as decimal(10,4)) as metric_value, count(*) as sample_size, count({scored}) as n_scored,
         min(snapshot_date) as evaluation_window_start, max(snapshot_date) as evaluation_window_end{extra} from scored {group}"""
         for model, metric, value, scored in rows
@@ -432,6 +444,16 @@ def metric_rows(by: str = "") -> str:
 LOG = """select model_name, model_version, metric_name, cast(metric_value as double) as metric_value, sample_size, n_scored,
     strftime(evaluation_window_start, '%Y-%m-%d') as evaluation_window_start,
     strftime(evaluation_window_end, '%Y-%m-%d') as evaluation_window_end from ({}) where model_name = '{}'"""
+oracle(
+    "eval_versions",
+    f"""select model_version, metric_name, cast(metric_value as double) as metric_value, sample_size, n_scored from (
+      select run_id, max(model_version) as model_version, 'RMSE' as metric_name, {rounded(f"sqrt(avg({ERROR} * {ERROR}))", 4)} as metric_value,
+        count(*) as sample_size, count(predicted_rul_days) as n_scored from every_run group by run_id
+      union all select run_id, max(model_version), 'MAE', {rounded(f"avg(abs({ERROR}))", 4)}, count(*), count(predicted_rul_days)
+      from every_run group by run_id)""",
+    every_run=f"""select p.*, f.remaining_useful_life_days as rul from pred p join feat f on f.record_id = p.record_id
+      and f.snapshot_date = p.snapshot_date where p.run_id in ('r1', 'r2') and p.snapshot_date between date '1996-01-01' and {BATCH}""",
+)
 oracle("eval_rul", LOG.format(metric_rows(), RUL))
 oracle("eval_classifier_30", LOG.format(metric_rows(), P30))
 oracle("eval_classifier_90", LOG.format(metric_rows(), P90))
@@ -567,6 +589,18 @@ oracle(
     where exists (select 1 from fact h where h.record_id = f.record_id and h.inspection_finding_severity = 'Critical')
     order by md5(concat_ws('|', cast(record_id as varchar), cast(snapshot_date as varchar))), record_id, snapshot_date limit 500""",
 )
+oracle(
+    "registry_versions",
+    f"""select model_name, version as model_version, version = newest as is_active
+    from (values ('{RUL}', 'v2'), ('{P90}', 'v1'), ('{P30}', 'v1')) m(model_name, newest), (values ('v1'), ('v2')) v(version)
+    where version <= newest""",
+)
+TRAINED = f"""select record_id, strftime(snapshot_date, '%Y-%m-%d') as snapshot_date, cast({{0}} as double) as {{0}},
+  component_type is not null as scored, {{1}} as in_range, (select count(distinct {{0}}) > 1 from feat cross join m where {SPLITS["test"]}) as better
+  from feat cross join m where {SPLITS["test"]}"""
+oracle("train_score_rul", TRAINED.format("remaining_useful_life_days", "remaining_useful_life_days >= 0"), **_last)
+oracle("train_score_90", TRAINED.format("failure_within_90_days", "failure_within_90_days between 0 and 1"), **_last)
+oracle("train_score_30", TRAINED.format("failure_within_30_days", "failure_within_30_days between 0 and 1"), **_last)
 oracle(
     "registry_rows",
     f"""select model_name, 'v1' as model_version, problem_type, target_column,

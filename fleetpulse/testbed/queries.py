@@ -65,9 +65,11 @@ def extract_map(b: Bed) -> DataFrame:
 
 @query
 def extract_csv_roundtrip(b: Bed) -> DataFrame:
+    # Quotes, commas, backslashes and line ends, as standard CSV quotes them.
+    odd = F.element_at(F.array(*map(F.lit, ['"', ', "a", b', "c, \\", '\nnext "line"'])), (F.col("record_id") % 4 + 1).cast("int"))
     path = f"{b.root}/csv-{uuid.uuid4().hex}"
-    extract.write_csv(b.landed, path)
-    return extract.read_extract(b.spark, path)
+    extract.write_csv(b.landed.withColumn("work_order_number", F.concat("work_order_number", odd)), path)
+    return extract.read_extract(b.spark, path, multi_line=True)
 
 
 @query
@@ -110,12 +112,35 @@ def fact_between_days(b: Bed) -> DataFrame:
 
 @query
 def archive_month(b: Bed) -> DataFrame:
-    archived = months.archive_month(b.spark, b.fact_path, f"{b.root}/archive", ARCHIVED)
-    live = b.fact.filter(F.col(months.PARTITION) != ARCHIVED)
+    # The month is detached from a copy of its own, twice, as a repeated job would.
+    root = f"{b.root}/archive-{uuid.uuid4().hex}"
+    months.write_months(b.fact.filter(F.col(months.PARTITION).startswith("1996") | (F.col(months.PARTITION) == months.DEFAULT)), f"{root}/fact")
+    for _ in range(2):
+        archived = months.archive_month(b.spark, f"{root}/fact", f"{root}/archive", ARCHIVED, drop=True)
+    untouched = ~F.col(months.PARTITION).startswith("1996") & (F.col(months.PARTITION) != months.DEFAULT)
+    live = months.read_months(b.spark, f"{root}/fact").unionByName(b.fact.filter(untouched))
     sides = [df.select(F.lit(side).alias("side"), months.PARTITION) for side, df in (("archive", archived), ("live", live))]
     return reduce(DataFrame.unionByName, sides).groupBy("side", months.PARTITION).agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query
+def spine_extended(b: Bed) -> DataFrame:
+    # Two loads, a later end of the spine, and the second load once more; every job builds its layout anew.
+    root = f"{b.root}/spine-{uuid.uuid4().hex}"
+
+    def layout() -> load.Layout:
+        return load.Layout(root, mapping.SPINE_START, mapping.SPINE_END)
+
+    first, second = (stage(batch, "batch") for batch in _batches(b))
+    load.promote(first, layout(), b.scored("r0"), strict=False)
+    load.promote(second, layout(), b.scored("r1"), strict=False)
+    load.extend_spine(layout(), mapping.LATER_END, b.spark)
+    load.promote(second, layout(), b.scored("r2"), strict=False)
+    return months.read_months(b.spark, layout().path("fact")).groupBy(months.PARTITION).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("cumulative_flight_hours").alias("hours")
+    )
+
+
 @query
 def export_recent(b: Bed) -> DataFrame:
     path = f"{b.root}/export-{uuid.uuid4().hex}"
@@ -384,6 +409,15 @@ LOG = ["model_name", "model_version", "metric_name", "metric_value", "sample_siz
        "evaluation_window_start", "evaluation_window_end"]
 
 
+@query
+def eval_versions(b: Bed) -> DataFrame:
+    # Two versions in one log, each evaluated on its own, for the snapshots of a window.
+    runs = b.predictions.filter(F.col("run_id").isin("r1", "r2"))
+    window = {"since": datetime(1996, 1, 1).date(), "until": mapping.BATCH_DAY}
+    log = evaluate.evaluate_regression(runs, b.features, scoring.RUL.name, b.ctx, **window)
+    return log.select("model_version", "metric_name", "metric_value", "sample_size", "n_scored")
+
+
 @query
 def eval_rul(b: Bed) -> DataFrame:
     return evaluate.evaluate_regression(b.predictions, b.features, scoring.RUL.name, b.ctx, run_id="r2").select(*LOG)
@@ -529,13 +563,23 @@ def override_sample(b: Bed) -> DataFrame:
 
 # ---- models ----
 
-QUICK_ROUNDS = 5  # the specs' own 250 to 300 rounds are for production
-
-
 def _train_score(b: Bed, spec: scoring.ModelSpec, balanced: bool) -> DataFrame:
+    """Every test row with its label, and what holds of its score: that there is one, that it is in range, and that
+    the model does better than a constant guess, by squared error or by telling failures from the rest."""
     parts = features.temporal_split(b.features)
-    model = scoring.train(parts["train"], spec, rounds=QUICK_ROUNDS, balanced=balanced)
-    return scoring.predict(parts["test"], model, spec).select("record_id", "snapshot_date", spec.label, spec.output)
+    model = scoring.train(parts["train"], spec, balanced=balanced)
+    rows = stage(scoring.predict(parts["test"], model, spec), f"scored_{spec.label}")
+    label, output = F.col(spec.label).cast("double"), F.col(spec.output)
+    if spec.task == "regression":
+        guess = parts["train"].agg(F.avg(spec.label)).first()[0] or 0
+        gain = F.sum((label - F.lit(float(guess))) ** 2) - F.sum((label - output) ** 2)
+        in_range = output >= 0
+    else:
+        gain = F.avg(F.when(label == 1, output)) - F.avg(F.when(label == 0, output))
+        in_range = output.between(0, 1)
+    better = rows.agg(gain.alias("gain")).select(F.coalesce(F.col("gain") > 0, F.lit(False)).alias("better"))
+    checked = rows.select("record_id", "snapshot_date", spec.label, output.isNotNull().alias("scored"), in_range.alias("in_range"))
+    return checked.crossJoin(F.broadcast(better))  # one row
 
 
 @query
@@ -553,6 +597,17 @@ def train_score_30(b: Bed) -> DataFrame:
     return _train_score(b, scoring.FAILURE_30D, True)
 
 
+@query
+def registry_versions(b: Bed) -> DataFrame:
+    # All models are registered; one is trained again and takes over under its next version.
+    rows = features.temporal_split(b.features)["train"].count()
+    registry = None
+    for specs in (scoring.MODELS, [scoring.RUL]):
+        cards = scoring.registry_rows(b.spark, scoring.next_versions(registry, specs), rows, "features_v1", b.ctx)
+        registry = stage(scoring.promote_versions(registry, cards), "registry")
+    return registry.select("model_name", "model_version", "is_active")
+
+
 @query
 def registry_rows(b: Bed) -> DataFrame:
     rows = features.temporal_split(b.features)["train"].count()

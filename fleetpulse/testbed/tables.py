@@ -19,7 +19,6 @@ from fleetpulse.operators.scoring import prediction_rows
 from fleetpulse.schema import EXTRACT, typed
 from fleetpulse.session import RunContext, stage, work_dir
 from fleetpulse.sources import months
-from fleetpulse.sources.extract import spread
 from fleetpulse.testbed import mapping
 
 
@@ -38,7 +37,7 @@ class Bed:
         """The 49-column extract, typed."""
         orders = self.source("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         rows = lookup_join(
-            spread(self.source("lineitem")), orders.withColumnRenamed("o_orderkey", "l_orderkey"), ["l_orderkey"]
+            self.source("lineitem"), orders.withColumnRenamed("o_orderkey", "l_orderkey"), ["l_orderkey"]
         )
         for table, key, foreign in (
             ("customer", "c_custkey", "o_custkey"),
@@ -53,7 +52,8 @@ class Bed:
     @cached_property
     def staging(self) -> DataFrame:
         """The landed extract with the rules each row breaks."""
-        return stage(quality.tag_failures(self.extract, quality.RULES), "tagged")
+        # Stored first, as a load lands it: the repeated ids and the tags each read it.
+        return stage(quality.tag_failures(stage(self.extract, "extract"), quality.RULES), "tagged")
 
     @cached_property
     def landed(self) -> DataFrame:
@@ -103,10 +103,11 @@ class Bed:
 
     @property
     def predictions(self) -> DataFrame:
-        """Two scoring runs of a stand-in model over the snapshots."""
+        """Scoring runs of a stand-in model over the snapshots."""
         runs = [
             prediction_rows(
-                self.fact.withColumns({name: F.expr(sql) for name, sql in outputs.items()}), self.scored(run)
+                self.fact.withColumns({name: F.expr(sql) for name, sql in outputs.items()}), self.scored(run),
+                version=mapping.VERSIONS[run],
             )
             for run, outputs in mapping.OUTPUTS.items()
         ]

@@ -2,7 +2,7 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from fleetpulse.operators.joins import fits, latest_per_key, lookup_join, member_flag
+from fleetpulse.operators.joins import UNPACKED, fits, latest_per_key, lookup_join, member_flag, stored_bytes
 from fleetpulse.session import stage
 
 
@@ -28,7 +28,10 @@ def test_both_strategies_agree(skewed, how):
 
 def test_strategy_follows_measured_size(skewed):
     many, lookup = skewed
-    assert fits(lookup, 300_000 * 16) and not fits(lookup, 300_000 * 16 - 1)
+    size = stored_bytes(lookup) * UNPACKED
+    assert fits(lookup, size) and not fits(lookup, size - 1)
+    # One column of a table with long texts counts like all of it.
+    assert not fits(many.select("k"), stored_bytes(many))
     small = lookup_join(many, lookup, ["k"])._jdf.queryExecution().executedPlan().toString()
     large = lookup_join(many, lookup, ["k"], broadcast_bytes=0)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in small

@@ -2,12 +2,13 @@ from datetime import date, datetime
 
 import pytest
 from conftest import values
+from pyspark.sql import functions as F
 
 from fleetpulse.operators import quality
 from fleetpulse.operators.merge import DuplicateKey
 from fleetpulse.plans import jobs, load
-from fleetpulse.session import RunContext
-from fleetpulse.sources import months
+from fleetpulse.session import RunContext, stage
+from fleetpulse.sources import extract, months
 
 FIRST, SECOND = RunContext(datetime(2024, 7, 1), "b1", "loader"), RunContext(datetime(2024, 7, 2), "b2", "loader")
 BATCH = [
@@ -60,9 +61,9 @@ def test_redelivery_refreshes_five_measures(rows, layout, spark):
     fact = months.read_months(spark, layout.path("fact")).first()
     assert (float(fact.cumulative_flight_hours), fact.last_maintenance_type, fact.health_monitoring_score, fact.ingested_at) == (
         999, None, None, SECOND.as_of)
-    assert values(spark.read.parquet(layout.path("dim_component")), "installation_date", "created_at", "updated_at") == [
+    assert values(load.curated(spark, layout)["dim_component"], "installation_date", "created_at", "updated_at") == [
         (date(2020, 1, 1), FIRST.as_of, SECOND.as_of)]
-    assert values(spark.read.parquet(layout.path("dim_aircraft")), "aircraft_model") == [("M2",)]
+    assert values(load.curated(spark, layout)["dim_aircraft"], "aircraft_model") == [("M2",)]
 
 
 def test_untouched_months_keep_their_files(rows, layout, spark, tmp_path):
@@ -121,7 +122,82 @@ def test_monthly_job_opens_next_month(rows, layout, spark):
     wider = jobs.run_monthly(spark, layout, RunContext(datetime(2024, 12, 1)))
     assert wider.spine_end == date(2025, 2, 1)
     assert values(months.read_months(spark, layout.path("fact")), "partition_name") == [("2025_01",)]
-    assert jobs.run_monthly(spark, wider, RunContext(datetime(2024, 3, 1))).spine_end == date(2025, 2, 1)
+    assert jobs.run_monthly(spark, layout, RunContext(datetime(2024, 3, 1))).spine_end == date(2025, 2, 1)
+
+
+def test_loads_after_an_extension_keep_every_row(rows, layout, spark):
+    """Each job builds its layout anew, as after a restart."""
+    january = {"snapshot_date": date(2025, 1, 15)}
+
+    def fresh():
+        return load.Layout(layout.root, layout.spine_start, layout.spine_end)
+
+    def fact():
+        return values(months.read_months(spark, layout.path("fact")), "record_id", "partition_name")
+
+    load.load_and_promote(rows({"record_id": 1, **january}), fresh(), FIRST)
+    assert fact() == [(1, "default")]
+    load.extend_spine(fresh(), date(2025, 2, 1), spark)
+    load.load_and_promote(rows({"record_id": 2, **january}, {"record_id": 3, "snapshot_date": date(2025, 2, 2)}), fresh(), SECOND)
+    assert fact() == [(1, "2025_01"), (2, "2025_01"), (3, "default")]
+    load.extend_spine(fresh(), date(2025, 3, 1), spark)
+    load.load_and_promote(rows({"record_id": 1, **january}, {"record_id": 3, "snapshot_date": date(2025, 2, 2)}), fresh(), SECOND)
+    assert fact() == [(1, "2025_01"), (2, "2025_01"), (3, "2025_02")]
+
+
+def test_move_that_broke_off_is_completed(rows, layout, spark):
+    late = {"record_id": 1, "snapshot_date": date(2025, 1, 15)}
+    load.load_and_promote(rows(late, {"record_id": 2, "snapshot_date": date(2031, 1, 1)}), layout, FIRST)
+    wider = load.Layout(layout.root, layout.spine_start, date(2025, 2, 1))
+    load._open(spark, wider)  # the month is open and written, but default still holds the row
+    copy = months.read_months(spark, layout.path("fact"), ["default"]).filter("record_id = 1").drop("partition_name")
+    months.write_months(months.route(stage(copy, "copy"), "snapshot_date", wider.spine_start, wider.spine_end), layout.path("fact"))
+    assert months.read_months(spark, layout.path("fact")).count() == 3
+    load.load_and_promote(rows(late), layout, SECOND)
+    assert values(months.read_months(spark, layout.path("fact")), "record_id", "partition_name") == [(1, "2025_01"), (2, "default")]
+
+
+def test_a_lost_dimension_is_not_rebuilt_from_one_batch(rows, layout, spark, tmp_path):
+    load.load_and_promote(rows(*BATCH), layout, FIRST)
+    (marker,) = (tmp_path / "wh/dim_component").glob("v*/_SUCCESS")
+    marker.unlink()
+    with pytest.raises(RuntimeError, match="dim_component"):
+        load.load_and_promote(rows(*BATCH), layout, SECOND)
+
+
+def test_half_written_dimension_leaves_the_old_one(rows, layout, spark, tmp_path):
+    load.load_and_promote(rows(*BATCH), layout, FIRST)
+    before = values(load.curated(spark, layout)["dim_component"])
+    (tmp_path / "wh/dim_component/v00000002-broken").mkdir()
+    assert values(load.curated(spark, layout)["dim_component"]) == before
+    load.load_and_promote(rows(*BATCH), layout, SECOND)
+    assert load.curated(spark, layout)["dim_component"].count() == 2
+
+
+def test_repeated_load_leaves_each_log_unchanged(rows, layout, spark):
+    logs = ["quarantine", "quality_results"]
+    load.load_and_promote(rows(*BATCH), layout, FIRST)
+    before = {log: values(extract.read_log(spark, layout.path(log))) for log in logs}
+    load.load_and_promote(rows(*BATCH), layout, FIRST)
+    assert {log: values(extract.read_log(spark, layout.path(log))) for log in logs} == before
+    assert extract.read_log(spark, layout.path("audit_log")).count() == 3
+
+
+def test_stored_catalog_drives_the_load(rows, layout, spark):
+    load.load_and_promote(rows(*BATCH), layout, FIRST)
+    catalog = months.read_version(spark, layout.path("rule_catalog"))
+    assert catalog.count() == 7
+    off = F.when(F.col("rule_name") == "missing_component_serial", False).otherwise(F.col("is_active"))
+    months.write_version(stage(catalog.withColumn("is_active", off), "catalog"), layout.path("rule_catalog"))
+    with pytest.raises(ValueError, match="component_serial_number"):
+        load.load_and_promote(rows(*BATCH), layout, SECOND)
+
+
+def test_checks_from_tags_equal_checks_of_rows(rows, spark):
+    batch = rows(*BATCH, {"record_id": None}, {"record_id": 9, "health_monitoring_score": 101}, {"record_id": 10, "cumulative_flight_hours": -1})
+    direct = quality.run_checks(batch, quality.RULES, FIRST)
+    tagged = quality.results_of_tags(stage(quality.tag_failures(batch, quality.RULES), "tagged"), quality.RULES, FIRST)
+    assert values(tagged) == values(direct)
 
 
 def test_inactive_rules_do_not_quarantine(rows, layout):

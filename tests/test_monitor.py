@@ -29,7 +29,7 @@ def metrics(log):
 
 
 def test_regression_filters_run_and_version(scored, ctx):
-    log = evaluate.evaluate_regression(*scored, "m", ctx, run_id="r")
+    log = evaluate.evaluate_regression(*scored, "m", ctx, run_id="r", version="v1")
     assert metrics(log) == {"RMSE": (12.9099, 4, 3), "MAE": (10.0, 4, 3)}
     assert values(log, "evaluation_window_start", "evaluation_window_end") == [(DAY, DAY)] * 2
 
@@ -43,15 +43,38 @@ def test_metrics_without_cases_are_null_and_raise_no_alert(scored, ctx):
     predictions, truth = scored
     log = evaluate.evaluate_classifier(predictions.withColumn("p", F.lit(0.0)), truth.withColumn("y", F.lit(0)), "m", "p", "y", ctx)
     assert {m: v[0] for m, v in metrics(log).items()} == {"Precision": None, "Recall": None}
-    empty = evaluate.evaluate_regression(predictions.limit(0), truth, "m", ctx)
+    empty = evaluate.evaluate_regression(predictions.limit(0), truth, "m", ctx, version="v1")
     assert metrics(empty) == {"RMSE": (None, 0, 0), "MAE": (None, 0, 0)}
     assert monitor.alerts_from_metrics(log.unionByName(empty), ctx).count() == 0
 
 
+def test_every_version_is_evaluated_on_its_own(scored, ctx):
+    log = evaluate.evaluate_regression(*scored, "m", ctx, run_id="r")
+    found = {r.model_version for r in scored[0].filter("run_id = 'r'").collect()}
+    assert len(found) > 1 and values(log.select("model_version").distinct()) == sorted((v,) for v in found)
+    one = evaluate.evaluate_regression(*scored, "m", ctx, run_id="r", version="v1")
+    assert values(log.filter("model_version = 'v1'").drop("log_id")) == values(one.drop("log_id"))
+
+
+def test_evaluation_window_has_both_ends(scored, ctx):
+    inside = evaluate.evaluate_regression(*scored, "m", ctx, version="v1", since=DAY, until=DAY)
+    assert metrics(inside)["MAE"][1] > 0
+    before = evaluate.evaluate_regression(*scored, "m", ctx, version="v1", until=date(2000, 1, 1))
+    assert metrics(before) == {"RMSE": (None, 0, 0), "MAE": (None, 0, 0)}
+
+
+def test_errors_do_not_depend_on_partitions(spark, ctx):
+    rows = [(i, DAY, "r", "v1", 0.1 * (i * 7919 % 1000), 0.5) for i in range(500)]
+    predictions = spark.createDataFrame(rows, "record_id long, snapshot_date date, run_id string, model_version string, predicted_rul_days double, p double")
+    truth = predictions.select("record_id", "snapshot_date", (F.col("predicted_rul_days") * 0.7).alias("remaining_useful_life_days"))
+    got = {str(values(evaluate.evaluate_regression(predictions.repartition(n), truth, "m", ctx), "metric_name", "metric_value")) for n in (1, 3, 7)}
+    assert len(got) == 1
+
+
 def test_all_models_in_one_join(scored, ctx):
     targets = [evaluate.Target("a", "regression", "predicted_rul_days", "remaining_useful_life_days"),
                evaluate.Target("b", "classification", "p", "y")]
-    log = evaluate.evaluate(*scored, targets, ctx, run_id="r")
+    log = evaluate.evaluate(*scored, targets, ctx, run_id="r", version="v1")
     assert values(log, "model_name", "metric_name") == [("a", "MAE"), ("a", "RMSE"), ("b", "Precision"), ("b", "Recall")]
     assert log._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
 

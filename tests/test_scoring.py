@@ -74,10 +74,10 @@ def test_models_beat_a_constant_guess(trained, spark):
 
 def test_registry_keeps_the_first_card_of_a_version(trained, spark):
     layout, ctx = trained
-    before = values(spark.read.parquet(layout.path("model_registry")), "model_name", "training_data_summary")
+    before = values(months.read_version(spark, layout.path("model_registry")), "model_name", "training_data_summary")
     assert len(before) == 3
     cards = scoring.registry_rows(spark, scoring.MODELS, 5, "features_v1", ctx)
-    registry = months.read_if_exists(spark, layout.path("model_registry"))
+    registry = months.read_version(spark, layout.path("model_registry"))
     assert scoring.register(registry, cards).count() == 0
     assert scoring.register(None, cards).count() == 3
     assert scoring.active_models(registry).count() == 3
@@ -93,7 +93,7 @@ def test_training_is_repeatable_and_names_its_strongest_inputs(trained, spark):
     a, b = [values(scoring.predict(split["test"], m, scoring.FAILURE_90D), "record_id", "predicted_failure_prob_90d") for m in models]
     assert a == b
     top = list(json.loads(scoring.contributing_factors(models[0], scoring.FAILURE_90D)))
-    assert len(top) == 5 and top[0] in ("sensor_oil_debris_index", "sensor_composite_risk_score")
+    assert len(top) >= 5 and top[0] in ("sensor_oil_debris_index", "sensor_composite_risk_score")
 
 
 def test_unseen_category_and_missing_numbers_still_score(trained, spark):

@@ -43,6 +43,24 @@ def test_csv_round_trip(rows, spark, tmp_path):
     assert values(extract.read_extract(spark, str(tmp_path / "out"))) == values(batch)
 
 
+QUOTED = {"aircraft_model": '"12"" fan"', "route_type": '"said ""a, b"", c"', "part_number": '"a, b\\"', "supplier_id": '"\\"'}
+
+
+@pytest.mark.parametrize("columns", [None, ["record_id", "aircraft_model", "supplier_id"]])
+def test_quoted_text_is_read_as_standard_csv(spark, tmp_path, columns):
+    path = write(tmp_path / "x.csv", line(record_id="1", **QUOTED), line(record_id="2", route_type="plain"))
+    got = {r.record_id: r for r in extract.read_extract(spark, path).select(*(columns or names(EXTRACT))).collect()}
+    assert (got[1].aircraft_model, got[1].supplier_id) == ('12" fan', "\\")
+    if columns is None:
+        assert (got[1].route_type, got[1].part_number, got[2].route_type) == ('said "a, b", c', "a, b\\", "plain")
+
+
+def test_line_ends_inside_quotes(spark, tmp_path):
+    path = write(tmp_path / "x.csv", line(record_id="1", aircraft_model='"two\nlines, ""q"""'), line(record_id="2"))
+    got = values(extract.read_extract(spark, path, multi_line=True), "record_id", "aircraft_model")
+    assert got == [(1, 'two\nlines, "q"'), (2, None)]
+
+
 def test_landing_replaces_and_stamps_once(rows, ctx, tmp_path):
     path = str(tmp_path / "stg")
     extract.land(rows({}, {"record_id": 2}), path, ctx)
@@ -50,14 +68,6 @@ def test_landing_replaces_and_stamps_once(rows, ctx, tmp_path):
     assert values(landed, "record_id", "load_batch_id", "loaded_at") == [(3, "run", ctx.as_of), (4, "run", ctx.as_of)]
 
 
-def test_spread_leaves_many_splits_alone(spark, tmp_path):
-    spark.range(100).repartition(1).write.parquet(str(tmp_path / "one"))
-    spark.range(100).repartition(16).write.parquet(str(tmp_path / "many"))
-    assert extract.spread(spark.read.parquet(str(tmp_path / "one"))).rdd.getNumPartitions() == 4
-    many = spark.read.parquet(str(tmp_path / "many"))
-    assert extract.spread(many) is many
-
-
 def test_defaults_fill_absent_columns_only(spark):
     df = spark.createDataFrame([(None,)], "a int")
     assert values(with_defaults(df, {"a": F.lit(1), "b": F.lit(2)})) == [(None, 2)]
@@ -120,6 +130,30 @@ def test_archive_copies_then_drops(spark, tmp_path):
     assert values(months.read_months(spark, path), "day") == [(date(2024, 2, 5),)]
 
 
+def test_second_archive_call_keeps_the_archive(spark, tmp_path):
+    path, cold = str(tmp_path / "t"), str(tmp_path / "cold")
+    months.write_months(routed(spark, date(2024, 1, 5), date(2024, 2, 5)), path)
+    for _ in range(2):
+        archived = months.archive_month(spark, path, cold, "2024_01", drop=True)
+        assert values(archived, "day", "partition_name") == [(date(2024, 1, 5), "2024_01")]
+    late = spark.createDataFrame([(7, date(2024, 1, 9))], "id int, day date")
+    months.write_months(months.route(late, "day", START, END), path)
+    for drop in (False, False, True, True):
+        assert values(months.archive_month(spark, path, cold, "2024_01", drop=drop), "id") == [(0,), (7,)]
+    assert values(months.read_months(spark, path), "id") == [(1,)]
+    with pytest.raises(ValueError, match="2024_03"):
+        months.archive_month(spark, path, cold, "2024_03")
+
+
+def test_versions_replace_a_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert months.read_version(spark, path) is None
+    for n in range(1, 5):
+        months.write_version(spark.range(n), path)
+        assert months.read_version(spark, path).count() == n
+    assert len(months.versions(spark, path)) == 2
+
+
 def test_missing_table_is_none(spark, tmp_path):
     assert months.read_if_exists(spark, str(tmp_path / "nothing")) is None
 
