@@ -350,14 +350,14 @@ oracle(
     + f""", {text(mapping.RUNS["r2"])} as ingested_at from fact f
     join g on g.record_id = f.record_id and g.snapshot_date = f.snapshot_date""",
 )
-AUDIT = f"""select {text(mapping.RUNS["r2"])} as event_time, 'pipeline' as db_user, 'fact' as table_name,
+AUDIT = f"""select {text(mapping.RUNS["r2"])} as event_time, 'pipeline' as db_user, 'curated' as schema_name, 'fact' as table_name,
       case when snapshot_date < {BATCH} then 'UPDATE' else 'INSERT' end as operation, cast(record_id as varchar) as row_pk from g
-    union all select {text(mapping.AS_OF)} as event_time, 'pipeline' as db_user, 'fact' as table_name,
+    union all select {text(mapping.AS_OF)} as event_time, 'pipeline' as db_user, 'curated' as schema_name, 'fact' as table_name,
       'DELETE' as operation, cast(record_id as varchar) as row_pk from g where failure_within_30_days = 1"""
 oracle("audit_ops", AUDIT)
 oracle(
     "audit_recent",
-    f"select event_time, db_user, operation, row_pk from ({AUDIT}) order by event_time desc, row_pk, operation limit 100",
+    f"select event_time, db_user, schema_name, operation, row_pk from ({AUDIT}) order by event_time desc, row_pk, operation limit 100",
 )
 COUNTS = """select 'dim_aircraft' as tbl, count(*) as rows from air union all select 'dim_component', count(*) from comp
     union all select 'dim_supplier', count(*) from sup union all select 'fact', count(*) from fact
@@ -583,6 +583,14 @@ oracle(
     "supplier_risk_distinct",
     _supplier("count(distinct c.component_serial_number)", f"count(distinct {_at_risk.format('c.component_serial_number')})"),
 )
+oracle(
+    "override_log",
+    f"""select record_id, cast(1 as bigint) as model_id, '{{"risk_tier": "High", "record_id": ' || record_id || '}}' as original_prediction,
+      ['Confirmed', 'Overridden', 'Escalated'][n] as reviewer_decision, 'rev-' || (n - 1) as reviewer_id, 'seen' as reviewer_comment,
+      {text(mapping.AS_OF)} as reviewed_at
+    from (select record_id, row_number() over (order by record_id, snapshot_date) as n from pred where run_id = 'r2' and risk_tier = 'High')
+    where n <= 3""",
+)
 oracle(
     "override_sample",
     """select record_id, strftime(snapshot_date, '%Y-%m-%d') as snapshot_date, component_type from feat f

@@ -155,7 +155,7 @@ def export_recent(b: Bed) -> DataFrame:
 
 @query
 def dq_results(b: Bed) -> DataFrame:
-    return quality.run_checks(b.landed, quality.RULES, b.ctx).drop("result_id", "run_at")
+    return quality.results_of_tags(b.staging, quality.RULES, b.ctx).drop("result_id", "run_at")
 
 
 @query
@@ -316,12 +316,12 @@ def _audit(b: Bed) -> DataFrame:
 
 @query
 def audit_ops(b: Bed) -> DataFrame:
-    return _audit(b).select("event_time", "db_user", "table_name", "operation", "row_pk")
+    return _audit(b).select("event_time", "db_user", "schema_name", "table_name", "operation", "row_pk")
 
 
 @query
 def audit_recent(b: Bed) -> DataFrame:
-    return merge.newest_audit(_audit(b), "fact").select("event_time", "db_user", "operation", "row_pk")
+    return merge.newest_audit(_audit(b), "fact").select("event_time", "db_user", "schema_name", "operation", "row_pk")
 
 
 @query
@@ -551,6 +551,19 @@ def supplier_risk_distinct(b: Bed) -> DataFrame:
     return marts.supplier_risk(b.dim_supplier, b.dim_component, b.predictions, distinct=True)
 
 
+@query
+def override_log(b: Bed) -> DataFrame:
+    # The three snapshots with the smallest ids are reviewed; each verdict keeps the prediction it is about.
+    reviewed = b.predictions.filter((F.col("run_id") == "r2") & (F.col("risk_tier") == "High")).orderBy("record_id", "snapshot_date").limit(3)
+    rows = [
+        scoring.override_row(
+            b.spark, r.record_id, 1, {"risk_tier": r.risk_tier, "record_id": r.record_id}, decision, f"rev-{i}", "seen", b.ctx
+        )
+        for i, (r, decision) in enumerate(zip(reviewed.collect(), ("Confirmed", "Overridden", "Escalated")))
+    ]
+    return reduce(DataFrame.unionByName, rows).drop("override_id")
+
+
 @query
 def override_sample(b: Bed) -> DataFrame:
     # A technician's finding stands for a reviewer's verdict on the snapshot.
