@@ -148,14 +148,15 @@ def with_next(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> Da
     # A null id must meet itself, so keys are compared as never-null columns.
     shown = [F.col("id").isNull().alias("k0"), F.coalesce(F.col("id").cast("string"), F.lit("")).alias("k1"), F.col("h1").alias("k2"), F.col("h2").alias("k3")]
     at = ["k0", "k1", "k2", "k3"]
-    texts = rows.select(*shown, "id", "text").groupBy(*at).agg(F.first("id").alias("id"), F.first("text").alias("text"))
+    # Both joins read the same columns, so that one shuffle of the texts serves them.
+    texts = rows.select(*shown, "text").groupBy(*at).agg(F.first("text").alias("text"))
 
     def keyed(struct: str) -> list[Column]:
         s = F.col(struct)
         return [s["id"].isNull().alias("k0"), F.coalesce(s["id"].cast("string"), F.lit("")).alias("k1"), s["h1"].alias("k2"), s["h2"].alias("k3")]
 
     gifts = texts.join(wishes.select(*keyed("next"), "me", "n", "times"), at).select(
-        *keyed("me"), "times", F.col("n").alias("n_chars"),
+        *keyed("me"), F.col("me.id").alias("id"), "times", F.col("n").alias("n_chars"),
         F.substring(F.col("text"), F.lit(1), F.expr("n div 2")).alias("next_half"),
         signatures(F.col("text")).alias("next_sigs"),
     )
