@@ -1,0 +1,93 @@
+import duckdb
+import pytest
+
+import corpus_pipeline as pipeline
+from fleetpulse.llm import decontaminate, mixing, simhash
+from fleetpulse.session import stage
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = [docs]
+    for name, apply in pipeline.STAGES:
+        out.append(stage(apply(spark, out[-1], SF), name))
+    return [d.collect() for d in out]
+
+
+def test_stages_return_documents(steps):
+    assert [len(s) for s in steps][0] == 200 and all(steps)
+    assert all(set(s[0].asDict()) == {"doc_id", "text", "lang", "source", "n_chars"} for s in steps[:-1])
+    assert set(steps[-1][0].asDict()) == {"doc_id", "text", "lang", "source", "n_chars", "shard", "slot"}
+    assert all(r.n_chars == len(r.text) for s in steps[1:] for r in s)
+
+
+def test_judge_keeps_what_labels_call_good(steps):
+    labels = dict(duckdb.sql(f"select doc_id, quality from '{SF}/labels.parquet'").fetchall())
+    kept = {r.doc_id for r in steps[1]}
+    wrong = [i for i, q in labels.items() if (i in kept) != (q == 1)]
+    assert len(wrong) <= 0.05 * len(labels)
+
+
+def test_one_document_of_each_group_stays(steps):
+    prints = [(r.doc_id, simhash.simhash(r.text)) for r in steps[1]]
+    kept = {r.doc_id for r in steps[2]}
+    linked = {i: {j for j, p in prints if ((p ^ q) & (1 << 64) - 1).bit_count() <= 2} for i, q in prints}
+    todo = set(linked)
+    while todo:
+        group, grow = set(), {todo.pop()}
+        while grow:
+            i = grow.pop()
+            group.add(i)
+            grow |= linked[i] - group
+        todo -= group
+        assert group & kept == {min(group)}
+
+
+def test_contaminated_documents_go_and_clean_ones_stay_unchanged(spark, steps):
+    items = duckdb.sql(f"select cast(item_id as varchar), text from '{SF}/benchmark.parquet'").fetchall()
+    automaton = decontaminate.SuffixAutomaton([(i, decontaminate.words_of(t)) for i, t in items], 13)
+    after = {r.doc_id: r.text for r in steps[3]}
+    for r in steps[2]:
+        words = decontaminate.words_of(r.text)
+        hit, _ = automaton.scan(words)
+        n = int(hit.sum())
+        assert (r.doc_id in after) == (not (n and 20 * n >= len(words)))
+        if not n:
+            assert after[r.doc_id] == r.text
+        elif r.doc_id in after:
+            assert len(decontaminate.words_of(after[r.doc_id])) == len(words) - n
+
+
+def test_mix_and_shards(steps):
+    words = sum(len(r.text.split()) for r in steps[3])
+    assert sum(len(r.text.split()) for r in steps[4]) == pytest.approx(mixing.SHARE * words, rel=0.01)
+    assert len(steps[5]) == len(steps[4])
+    load = {}
+    for r in steps[5]:
+        load.setdefault(r.shard, []).append((r.slot, len(r.text.encode()) + 1))
+    total = sum(b for rows in load.values() for _, b in rows)
+    largest = max(b for rows in load.values() for _, b in rows)
+    assert all(sorted(s for s, _ in rows) == list(range(len(rows))) for rows in load.values())
+    assert all(abs(sum(b for _, b in rows) - total / 16) <= 2 * largest for rows in load.values())
+
+
+def test_stages_take_odd_tables(spark, documents, tmp_path):
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    odd = documents((1, None), (1, None), (None, ""), (2, "some words here"), (2, "some words here"), (None, None, None, None), (3, "w " * 50_000))
+    for docs in (odd, odd.limit(0)):
+        for name, apply in pipeline.STAGES:
+            docs = stage(apply(spark, docs, str(tmp_path)), name)
+        assert {"doc", "size", "fp", "shard", "slot"} <= set(docs.columns)
+    assert docs.count() == 0
+
+
+def test_run_is_registered(spark):
+    import __spark_entry__ as contract
+
+    assert contract.queries()["pipeline"] is pipeline.run
+    names = list(contract.queries())
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
