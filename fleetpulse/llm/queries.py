@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 # The others are tested against brute force, an exact round trip or held-out accuracy in tests/llm.
 ORACLES: dict[str, str] = {
+    "op1_sharding": sharding.ORACLE,
     "op2_fingerprints": spotsigs.ORACLE,
     "op5_warc": warc.ORACLE,
     "op6_mixing": mixing.ORACLE,

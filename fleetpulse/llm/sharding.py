@@ -48,3 +48,18 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc.doc_id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+# CRC32 is computed byte by byte from its table, as SQL has no function for it.
+ORACLE = """
+with t as (select list(v order by i) as tab from (select i, list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0]::bigint[],
+    lambda a, z: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) as v from range(256) r(i))),
+d as (select doc_id, octet_length(encode(coalesce(text, ''))) + 1 as size,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::bigint) as raw from documents),
+c as (select doc_id, size, xor(list_reduce([4294967295::bigint] || raw, lambda a, x: xor(a >> 8, tab[(xor(a, x) & 255) + 1])),
+    4294967295::bigint) as crc from d, t),
+p as (select doc_id, size, crc, sum(size) over (order by doc_id) - size as start, sum(size) over () as total from c),
+s as (select *, ((2 * start + size) * 16 // (2 * total))::integer as shard from p)
+select doc_id, size::bigint as size, crc::bigint as text_crc32, 'bytes' as law, shard,
+  (row_number() over (partition by shard order by doc_id) - 1)::bigint as slot, cast(null as integer) as grown_shard from s
+"""
