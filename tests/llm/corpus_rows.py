@@ -1,3 +1,5 @@
+"""Frames for the tests of the corpus operators; test modules import the fixture."""
+
 import pytest
 
 

@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from corpus_rows import documents  # noqa: F401
 from fleetpulse.llm import decontaminate as op
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

@@ -1,6 +1,7 @@
 import duckdb
 import numpy as np
 
+from corpus_rows import documents  # noqa: F401
 from fleetpulse.llm import langid as op
 
 SF = "/root/testdata/sf0.01"

@@ -1,6 +1,7 @@
 import random
 import re
 
+from corpus_rows import documents  # noqa: F401
 from fleetpulse.llm import pii as op
 
 

@@ -1,6 +1,7 @@
 import duckdb
 import pytest
 
+from corpus_rows import documents  # noqa: F401
 import corpus_pipeline as pipeline
 from fleetpulse.llm import decontaminate, mixing, simhash
 from fleetpulse.session import stage

@@ -4,6 +4,7 @@ import duckdb
 import numpy as np
 import pytest
 
+from corpus_rows import documents  # noqa: F401
 from fleetpulse.llm import quality as op
 
 SF = "/root/testdata/sf0.01"

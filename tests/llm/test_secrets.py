@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from corpus_rows import documents  # noqa: F401
 from fleetpulse.llm import secrets as op
 
 TESTS = {

@@ -1,5 +1,6 @@
 import zlib
 
+from corpus_rows import documents  # noqa: F401
 from fleetpulse.llm.sharding import shard_by_bytes
 
 

@@ -3,6 +3,7 @@ import random
 import pytest
 import xxhash
 
+from corpus_rows import documents  # noqa: F401
 from fleetpulse.llm import simhash as op
 from fleetpulse.llm.components import components
 

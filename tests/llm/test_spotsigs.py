@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from corpus_rows import documents  # noqa: F401
 from fleetpulse.llm import spotsigs as op
 
 
