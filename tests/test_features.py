@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fleetpulse.functions import risk_tier
 from fleetpulse.operators import dimensions as dims
 from fleetpulse.operators import features
+from fleetpulse.session import stage
 from fleetpulse.sources import months
 
 DAY = date(2024, 6, 30)
@@ -143,7 +144,8 @@ def test_build_reads_only_what_it_needs_and_broadcasts_small_dimensions(rows, ct
     batch = rows({}, {"record_id": 2, "snapshot_date": date(2024, 5, 1)})
     months.write_months(months.route(dims.fact_rows(batch), "snapshot_date", date(2024, 1, 1), date(2025, 1, 1)), str(tmp_path / "fact"))
     june = months.between_days(months.read_months(spark, str(tmp_path / "fact")), "snapshot_date", date(2024, 6, 1), date(2024, 6, 30))
-    built = features.build_features(june, dims.component_rows(batch), dims.aircraft_rows(batch), dims.supplier_rows(batch), ctx)
+    stored = [stage(rows_of(batch), "dim") for rows_of in (dims.component_rows, dims.aircraft_rows, dims.supplier_rows)]
+    built = features.build_features(june, *stored, ctx)
     plan = built._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan
     fact_scan = next(line for line in plan.splitlines() if "FileScan" in line and "cumulative_flight_hours" in line)
