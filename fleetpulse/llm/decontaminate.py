@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.frames import cut, packed_columns, table, text_or_empty
+from fleetpulse.llm.frames import cut, packed_columns, small_batches, table, text_or_empty
 
 WINDOW = 13
 MIN_COVERAGE = 20  # contaminated if at least one word in so many is hit
@@ -193,7 +193,7 @@ def benchmark_hits(
     window; an item with a null id hits but is not listed; repeated ids are listed once.
     Empty tables give no rows, or no hits.
     """
-    rows = docs.select(packed_columns(docs, carry), F.col(text).alias("text"))
+    rows = small_batches(docs).select(packed_columns(docs, carry), F.col(text).alias("text"))
     last: Column | None = None
     for automaton in (SuffixAutomaton(block, window) for block in benchmark_blocks(items, item_key, item_text, block_bytes)):
         shared = docs.sparkSession.sparkContext.broadcast(automaton)  # bounded by the size of a block

@@ -14,12 +14,22 @@ from fleetpulse.session import stage, work_dir
 
 # A side of a join is broadcast only if its counted rows times their stated width stay below this.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# What Spark hands to a Python worker at once, so that long texts do not fill it.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(rows: DataFrame) -> DataFrame:
+    """Limit the Arrow batches of the session by their bytes, unless the session already does."""
+    conf = rows.sparkSession.conf
+    if conf.get(BATCH_SETTING, None) is None:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return rows
+
+
 def packed_columns(rows: DataFrame, carry: list[str] | None = None) -> Column:
     """The row (or its columns in ``carry``) as one struct ``doc``: no input column can clash with an operator's."""
     return F.struct(*[F.col(f"`{c}`") for c in (rows.columns if carry is None else carry)]).alias("doc")
@@ -61,7 +71,7 @@ def running(rows: DataFrame, order: list[Column], sums: list[str], name: str) ->
     """
     spark = rows.sparkSession
     ranged = (
-        rows.withColumn("_tie", F.monotonically_increasing_id())
+        small_batches(rows).withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(*order, F.col("_tie"))
         .sortWithinPartitions(*order, "_tie")
         .withColumn("_range", F.spark_partition_id())

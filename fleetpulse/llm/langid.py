@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.frames import held_out, packed_columns, table, text_or_empty
+from fleetpulse.llm.frames import held_out, packed_columns, small_batches, table, text_or_empty
 
 BITS = 15  # n-grams are hashed to 2 ** BITS features
 ORDERS = 3  # n-grams of 1 to so many characters
@@ -156,7 +156,7 @@ def train(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str
     many of each language, chosen by a hash of id and text. Texts without a letter teach
     nothing. Without labelled rows no language is known and every prediction is ``und``.
     """
-    usable = docs.filter(F.col(lang).isNotNull() & ~held_out(key)).select(F.col(key).alias("id"), text_or_empty(text).alias("text"), F.col(lang).alias("lang"))
+    usable = small_batches(docs).filter(F.col(lang).isNotNull() & ~held_out(key)).select(F.col(key).alias("id"), text_or_empty(text).alias("text"), F.col(lang).alias("lang"))
     counts = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}  # one row per language
     names = tuple(sorted(counts))
     seen, total = document_frequencies(usable)
@@ -203,7 +203,7 @@ def identify(docs: DataFrame, model: Languages, *, text: str = "text", carry: li
         return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score"])
 
     body: Column = F.col(text)
-    return docs.select(packed_columns(docs, carry), predict(body).alias("p")).select("doc", "p.lang_pred", "p.score")
+    return small_batches(docs).select(packed_columns(docs, carry), predict(body).alias("p")).select("doc", "p.lang_pred", "p.score")
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:

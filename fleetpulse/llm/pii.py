@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.frames import cut, packed_columns, table, text_or_empty
+from fleetpulse.llm.frames import cut, packed_columns, small_batches, table, text_or_empty
 from fleetpulse.session import stage
 
 KINDS = ("email", "ip", "card", "phone", "id")
@@ -199,7 +199,7 @@ def find_personal_data(
 
     # Texts are not stored again: a row is known by what its text hashes to, which equal texts share.
     body = text_or_empty(text)
-    found = docs.select(packed_columns(docs, carry), body.alias("text"), F.xxhash64(body).alias("row"), base(body).alias("base"))
+    found = small_batches(docs).select(packed_columns(docs, carry), body.alias("text"), F.xxhash64(body).alias("row"), base(body).alias("base"))
     extracted = _extracted(found, induce(found))
     good = confident_patterns(extracted).filter(F.col("confidence") >= confident)
     hits = extracted.filter("row is not null and not seed").join(good.hint("merge"), "pattern").select("row", "start", "end").distinct()

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.frames import held_out, packed_columns, table, text_or_empty
+from fleetpulse.llm.frames import held_out, packed_columns, small_batches, table, text_or_empty
 
 # Labelled rows fitted at most, half of them of either label: the first by a hash of id and text.
 MAX_LABELLED = 8000
@@ -146,7 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     if len(counts) < 2:
         return fit(np.zeros((0, len(FEATURES))), np.zeros((0, len(FEATURES))), 0.0)
     rows = {}
-    measured = docs.select(F.col(key).alias("id"), text_or_empty(text).alias("text"))
+    measured = small_batches(docs).select(F.col(key).alias("id"), text_or_empty(text).alias("text"))
     for value in (0, 1):
         some = usable.filter(F.col("label") == value).orderBy(F.xxhash64("id"), "id").limit(bound // 2).select("id").distinct()
         # The chosen ids are bounded; so are the rows, should an id be shared by many.
@@ -175,7 +175,7 @@ def quality_scores(docs: DataFrame, model: Ranking, *, text: str = "text", carry
         rows = np.array([features(t) for t in texts], float).reshape(-1, len(FEATURES))
         return pd.Series(model.score(rows))
 
-    scored = docs.select(packed_columns(docs, carry), score(text_or_empty(text)).alias("score"))
+    scored = small_batches(docs).select(packed_columns(docs, carry), score(text_or_empty(text)).alias("score"))
     return scored.select("doc", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

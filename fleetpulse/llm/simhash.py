@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.components import components
-from fleetpulse.llm.frames import packed_columns, table, text_or_empty
+from fleetpulse.llm.frames import packed_columns, small_batches, table, text_or_empty
 from fleetpulse.session import stage
 
 SEED = 42
@@ -117,7 +117,7 @@ def near_duplicates(
     passed over in the minimum, so only a group of null ids has a null ``component_id``.
     Repeated rows come back as often as they went in; no rows give no rows.
     """
-    printed = docs.select(packed_columns(docs, carry), F.col(key).alias("id"), fingerprint(text, words).alias("fp"))
+    printed = small_batches(docs).select(packed_columns(docs, carry), F.col(key).alias("id"), fingerprint(text, words).alias("fp"))
     if carry is not None:  # narrow rows are stored; with texts in them, hashing twice is cheaper than a copy
         printed = stage(printed, "simhash_docs")
     prints = stage(printed.groupBy("fp").agg(F.min("id").alias("least")), "simhash")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetpulse.llm.frames import small_or_merge, table
+from fleetpulse.llm.frames import small_batches, small_or_merge, table
 from fleetpulse.session import stage, work_dir
 
 # Payloads from this size on are stored once; equal ones become revisit records.
@@ -153,7 +153,7 @@ def arc_records(pages: DataFrame, version: int | None = None) -> DataFrame:
 
         yield from _batches(write(TaskContext.get().partitionId(), batches), ["record"])
 
-    return pages.select(F.col("page_id").cast("string").alias("page_id"), "url", "html").mapInPandas(run, "record binary")
+    return small_batches(pages).select(F.col("page_id").cast("string").alias("page_id"), "url", "html").mapInPandas(run, "record binary")
 
 
 def parse_arc(content: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
