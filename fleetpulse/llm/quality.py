@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import unicodedata
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.frames import held_out, packed_columns, small_batches, table, text_or_empty
+from fleetpulse.llm.frames import BROADCAST_BYTES, held_out, packed_columns, running, small_batches, table, text_or_empty
+from fleetpulse.session import stage
 
 # Labelled rows fitted at most, half of them of either label: the first by a hash of id and text.
 MAX_LABELLED = 8000
 PAIRS = 60_000
+# A label in memory; labels are broadcast only if they all stay below BROADCAST_BYTES.
+LABEL_BYTES = 100
 PENALTY = 1e-3
 # Kinds of characters.
 KINDS = ("lower", "upper", "letter", "digit", "space", "sign")
@@ -89,8 +92,11 @@ class Ranking:
     cut: float
     spread: float
 
+    def strength(self, rows: np.ndarray) -> np.ndarray:
+        return _widened(rows, self.mean, self.scale) @ self.weights
+
     def score(self, rows: np.ndarray) -> np.ndarray:
-        margin = (_widened(rows, self.mean, self.scale) @ self.weights - self.cut) / self.spread
+        margin = (self.strength(rows) - self.cut) / self.spread
         return 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
 
 
@@ -106,7 +112,8 @@ def fit(good: np.ndarray, bad: np.ndarray, rejected: float) -> Ranking:
     Each pair says that a good row is preferred to a bad one; the loss is logistic in the
     difference of their features, with a small quadratic penalty, minimised by Newton steps.
     ``rejected`` is the share of bad rows among all labelled rows, and the cut is that
-    quantile of the labelled scores. Without rows of both kinds every score is one half.
+    quantile of the given rows' scores; ``train`` takes it anew from all labelled rows.
+    Without rows of both kinds every score is one half.
     """
     both = np.concatenate([good, bad])
     width = len(FEATURES)
@@ -137,7 +144,7 @@ def fit(good: np.ndarray, bad: np.ndarray, rejected: float) -> Ranking:
 
 
 def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", bound: int = MAX_LABELLED) -> Ranking:
-    """Fit on labelled rows that are not held out, at most ``bound`` of them.
+    """Fit on labelled rows that are not held out, at most ``bound`` of them, and cut at a quantile of the scores of all of them.
 
     Null ids and labels other than 0 and 1 teach nothing.
     """
@@ -152,7 +159,39 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
         # The chosen ids are bounded; so are the rows, should an id be shared by many.
         chosen = measured.join(F.broadcast(some), "id").select("id", F.xxhash64("id", "text").alias("h"), _features(F.col("text")).alias("f"))
         rows[value] = np.array([r.f for r in chosen.orderBy("h", "id").limit(bound // 2).collect()], float).reshape(-1, len(FEATURES))
-    return fit(rows[1], rows[0], counts[0] / (counts[0] + counts[1]))
+    model = fit(rows[1], rows[0], counts[0] / (counts[0] + counts[1]))
+    return _cut_over_all(model, docs, usable, key, text) if len(rows[0]) and len(rows[1]) else model
+
+
+def _cut_over_all(model: Ranking, docs: DataFrame, usable: DataFrame, key: str, text: str) -> Ranking:
+    """The model with the cut and the spread of all labelled documents' scores, both exact.
+
+    The cut lies between the scores on either side of as many rows as are rejected, found by
+    a global order. A document counts once for each of its labels. Few labels go to the
+    texts; with many, texts are scored where they are and only ids and scores are joined.
+    """
+
+    @F.pandas_udf("double")
+    def strength(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.strength(np.array([features(t) for t in texts], float).reshape(-1, len(FEATURES))))
+
+    labels = stage(usable.groupBy("id").agg(F.count("*").alias("times"), F.count_if(F.col("label") == 0).alias("bad")), "quality_labels")
+    texts = small_batches(docs).filter(F.col(key).isNotNull() & ~held_out(key)).select(F.col(key).alias("id"), text_or_empty(text).alias("text"))
+    if labels.count() * LABEL_BYTES <= BROADCAST_BYTES:
+        scored = texts.join(F.broadcast(labels), "id").select(strength("text").alias("strength"), "times", "bad")
+    else:
+        scored = texts.select("id", strength("text").alias("strength")).join(labels.hint("merge"), "id").select("strength", "times", "bad")
+    scored = stage(scored, "quality_strengths")
+    total = scored.agg(
+        F.sum("bad").alias("bad"), (F.sum(F.col("strength") * F.col("times")) / F.sum("times")).alias("mean"), F.sum("times").alias("rows")
+    ).first()
+    off = F.col("strength") - F.lit(total["mean"])
+    spread = scored.agg(F.sqrt(F.sum(off * off * F.col("times")) / total["rows"])).first()[0]
+    ordered, _ = running(scored, [F.col("strength").asc()], ["times"], "quality_order")
+    low, high = ordered.filter(
+        (F.col("times_before") <= total["bad"]) & (F.col("times_before") + F.col("times") >= total["bad"])
+    ).agg(F.min("strength"), F.max("strength")).first()
+    return replace(model, cut=(low + high) / 2, spread=spread / 4 or 1.0)
 
 
 def _features(text: Column) -> Column:

@@ -50,3 +50,22 @@ def test_pairs_put_good_rows_before_bad_ones():
     model = op.fit(good, bad, 0.25)
     assert (model.score(good) >= 0.5).mean() > 0.95 and (model.score(bad) < 0.5).mean() > 0.9
     assert np.mean(model.score(np.concatenate([good, bad])) < 0.5) == pytest.approx(0.25, abs=0.02)
+
+
+@pytest.mark.parametrize("broadcast_bytes", [op.BROADCAST_BYTES, 0])
+def test_cut_is_the_quantile_of_all_labelled_scores(spark, documents, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(op, "BROADCAST_BYTES", broadcast_bytes)
+    random = np.random.default_rng(1)
+    rows = [(i, " ".join("BUY!!" if random.random() < p else f"word{random.integers(50)}" for _ in range(random.integers(5, 40))))
+            for i, p in enumerate(random.choice([0.1, 0.2, 0.3, 0.5, 0.6], 600))]
+    # A repeated id has two rows; a label without a document and one given twice are among the labels.
+    docs = documents(*rows, (3, "BUY!! word1 word2"))
+    given = [(i, int(text.count("BUY") * 3 < len(text.split()))) for i, text in rows] + [(7, 0), (9000, 0), (None, 0), (8, 5)]
+    model = op.train(docs, spark.createDataFrame(given, "doc_id long, quality int"), bound=40)
+    learnt = [(i, q) for i, q in given if i is not None and q in (0, 1) and zlib.crc32(str(i).encode()) % 3 != 1]
+    texts = [(i, text) for i, text in [*rows, (3, "BUY!! word1 word2")]]
+    pairs = [(text, q) for i, q in learnt for j, text in texts if i == j]
+    scores = np.sort(model.strength(np.array([op.features(t) for t, _ in pairs])))
+    bad = sum(q == 0 for _, q in pairs)
+    assert len(pairs) > 300 and model.cut == pytest.approx((scores[bad - 1] + scores[bad]) / 2, abs=1e-9)
+    assert model.spread == pytest.approx(scores.std() / 4)
