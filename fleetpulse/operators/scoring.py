@@ -294,6 +294,27 @@ def override_row(
     )
 
 
+def override_rows(
+    predictions: DataFrame, model_id: int, shown: list[str], decision: Column, reviewer: Column, comment: Column, ctx: RunContext
+) -> DataFrame:
+    """``override_row`` of every prediction: the columns ``shown`` are kept as JSON. A decision outside its domain is an error."""
+    # The array's brackets are taken off, as JSON functions write no single values.
+    named = [
+        F.concat(F.lit(json.dumps(c) + ": "), F.expr(f"substring(to_json(array(`{c}`)), 2, length(to_json(array(`{c}`))) - 2)")) for c in shown
+    ]
+    allowed = LOG_DOMAINS["reviewer_decision"]
+    known = F.when(decision.isNull() | decision.isin(*allowed), decision).otherwise(
+        F.raise_error(F.concat(F.lit(f"decision must be one of {allowed}, got "), decision)).cast("string")
+    )
+    return predictions.select(
+        "record_id", F.lit(model_id).cast("bigint").alias("model_id"),
+        F.concat(F.lit("{"), F.concat_ws(", ", *named), F.lit("}")).alias("original_prediction"),
+        known.alias("reviewer_decision"), reviewer.alias("reviewer_id"), comment.alias("reviewer_comment"),
+    ).withColumn("reviewed_at", ctx.time).withColumn(
+        "override_id", surrogate_key(F.col("record_id"), F.col("reviewer_id"), F.lit(ctx.run_id))
+    )
+
+
 def confirmed_sample(
     features: DataFrame, overrides: DataFrame, rows: int = 500, seed: int | None = None, decision: str = "Confirmed"
 ) -> DataFrame:

@@ -147,3 +147,23 @@ def test_threshold_is_chosen_on_the_validation_split(trained, spark):
     scored = scoring.predict(split["validation"], model, scoring.FAILURE_90D)
     sweep = evaluate.threshold_sweep(scored, split["validation"], "predicted_failure_prob_90d", "failure_within_90_days")
     assert [str(r.threshold) for r in sweep.collect()] == ["0.2000", "0.3000", "0.4000", "0.5000"]
+
+
+def test_override_rows_equal_single_rows(spark, ctx):
+    rows = [(i, tier, "Confirmed") for i, tier in enumerate(["High", 'a "b"\\', None, "Low", "High"])]
+    table = spark.createDataFrame(rows, "record_id long, risk_tier string, verdict string")
+    log = scoring.override_rows(table, 1, ["risk_tier", "record_id"], F.col("verdict"), F.lit("me"), F.lit("seen"), ctx)
+    single = [scoring.override_row(spark, i, 1, {"risk_tier": t, "record_id": i}, d, "me", "seen", ctx) for i, t, d in rows]
+    assert values(log) == sorted(v for one in single for v in values(one.select(*log.columns)))
+    with pytest.raises(Exception, match="decision must be one of"):
+        scoring.override_rows(table, 1, [], F.lit("Maybe"), F.lit("me"), F.lit(""), ctx).collect()
+
+
+def test_override_log_holds_every_high_prediction(spark):
+    from fleetpulse.testbed.queries import QUERIES
+    from fleetpulse.testbed.tables import bed
+
+    sf = "/root/testdata/sf0.001"
+    high = bed(spark, sf).predictions.filter("run_id = 'r2' and risk_tier = 'High'")
+    assert high.count() > 3
+    assert values(QUERIES["override_log"](spark, sf), "record_id") == values(high, "record_id")
