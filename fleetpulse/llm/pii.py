@@ -63,17 +63,23 @@ def _entity(text: str, start: int, end: int) -> str:
     return text[start:end].lower()
 
 
+def _known(word: re.Match, starts: dict[int, int]) -> tuple[int, int] | None:
+    """Start and end of the first base span before which the word has nothing but ``TRIM``."""
+    bare = word.end() - len(word[0].lstrip(TRIM))
+    return next(((at, starts[at]) for at in range(word.start(), bare + 1) if at in starts), None)
+
+
 def seed_contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str]]:
-    """(pattern, entity) of each base span that has ``CONTEXT`` words before it and starts a word."""
+    """(pattern, entity) of each base span that has ``CONTEXT`` words before it and starts a word, after punctuation or not."""
     if not spans:
         return []
     out, starts, before = [], {}, []
     for kind, start, end in spans:
         starts.setdefault(start, end)
     for m in WORD.finditer(text):
-        end = starts.get(m.start())
-        if end is not None and len(before) >= CONTEXT:
-            out.append((" ".join(before[-CONTEXT:]), _entity(text, m.start(), end)))
+        known = _known(m, starts)
+        if known and len(before) >= CONTEXT:
+            out.append((" ".join(before[-CONTEXT:]), _entity(text, *known)))
         before.append(m[0].lower())
         del before[:-CONTEXT]
     return out
@@ -86,9 +92,9 @@ def extractions(text: str, spans: list[tuple[int, int, int]], patterns: set[tupl
     out, before, at = [], [], 0
     for m in WORD.finditer(text):
         if len(before) == CONTEXT and tuple(before) in patterns:
-            end = starts.get(m.start())
-            if end is not None:
-                out.append((" ".join(before), _entity(text, m.start(), end), True, m.start(), end))
+            known = _known(m, starts)
+            if known:
+                out.append((" ".join(before), _entity(text, *known), True, *known))
             else:
                 word = m[0].strip(TRIM)
                 if len(word) >= LEAST and DIGIT.search(word):
@@ -143,7 +149,7 @@ def _extracted(found: DataFrame, patterns: DataFrame) -> DataFrame:
                     if here and tuple(words[-CONTEXT:]) in wanted:
                         here.pop()
                     often.update(here)
-                    if here and DIGIT.search(text):
+                    if here and (spans or DIGIT.search(text)):
                         rows += [(int(row), *e, 1) for e in extractions(text, spans, wanted)]
                 if rows:
                     yield pd.DataFrame(rows, columns=columns)

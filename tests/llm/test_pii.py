@@ -62,3 +62,17 @@ def test_patterns_in_blocks_give_the_same(documents, monkeypatch):
 
 def test_no_rows(documents):
     assert op.find_personal_data(documents().limit(0)).collect() == []
+
+
+def test_entities_behind_punctuation_are_seeds(documents):
+    quoted = ['<user{}@mail.example.com>', '"10.0.0.{}"', '(+1 555 010 99{})', "['user{}@mail.example.com',", '<.user{}@mail.example.com>']
+    marks = "abcdefghijkl"  # no digit in the texts with addresses
+    known = [(20 * k + i, f"prose and prose. Contact person: {form.format(marks[i] if '@' in form else 10 + i)} end")
+             for k, form in enumerate(quoted) for i in range(12)]
+    unknown = [(200 + i, f"other words. Contact person: (ZX-{i}4711), other words end") for i in range(4)]
+    found = {}
+    for r in op.find_personal_data(documents(*known, *unknown)).collect():
+        assert triples(r.base) == brute(r.doc.text)
+        found[r.doc.doc_id] = [r.doc.text[a:b] for _, a, b in triples(r.more)]
+    assert {i: f for i, f in found.items() if f} == {200 + i: [f"ZX-{i}4711"] for i in range(4)}
+    assert op.seed_contexts("to me: ((", []) == [] and op._known(op.WORD.match("((("), {3: 9}) == (3, 9)
