@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetpulse.llm import decontaminate, langid, merkle, mixing, pii, quality, secrets, sharding, simhash, spotsigs, warc
+from fleetpulse.llm import decontaminate, langid, merkle, mixing, pii, quality, resample, secrets, sharding, simhash, spotsigs, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": secrets.op9_secrets,
     "op10_language": langid.op10_language,
     "op11_merkle": merkle.op11_merkle,
+    "op12_resampling": resample.op12_resampling,
 }
 # The others are tested against brute force, an exact round trip or held-out accuracy in tests/llm.
 ORACLES: dict[str, str] = {
@@ -31,4 +32,5 @@ ORACLES: dict[str, str] = {
     "op8_decontamination": decontaminate.ORACLE,
     "op9_secrets": secrets.ORACLE,
     "op11_merkle": merkle.ORACLE,
+    "op12_resampling": resample.ORACLE,
 }

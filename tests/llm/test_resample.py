@@ -1,0 +1,88 @@
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from corpus_rows import documents  # noqa: F401
+from fleetpulse.llm import resample as op
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def features(text, ngram=1):
+    words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return words, [" ".join(words[i:i + n]) for n in range(1, ngram + 1) for i in range(len(words) - n + 1)]
+
+
+def hashed(text, ngram, buckets):
+    return Counter(zlib.crc32(f.encode()) % buckets for f in features(text, ngram)[1])
+
+
+def prose(rng, n):
+    return "".join(rng.choice(["The", "cat", "DÉJÀ", "été", "x1", "z" * 90, f"w{rng.randrange(60)}"]) + rng.choice([" ", ", ", "--", "\n\n", "."]) for _ in range(n))
+
+
+def texts():
+    rng = random.Random(3)
+    return [prose(rng, rng.randrange(80)) for _ in range(60)] + [None, "", " .. ", "one", "one", "a b" * 30_000, "q" * 300_000 + " end"]
+
+
+@pytest.mark.parametrize("ngram, limit", [(1, 1 << 20), (3, 1 << 20), (2, 40), (3, 0)])
+def test_scanned_features_equal_brute_force(ngram, limit):
+    dictionary = op.Dictionary(limit)
+    for text in [t or "" for t in texts()] * 2:
+        words, crc = dictionary.features(text, ngram)
+        plain, runs = features(text, ngram)
+        assert words == len(plain) and crc.tolist() == [zlib.crc32(f.encode()) for f in runs]
+        dictionary.learn(least=10)
+    assert dictionary.bytes <= limit and (len(dictionary.crc) > 20) == (limit > 1000)
+
+
+@pytest.mark.parametrize("ngram", [1, 2])
+def test_weights_scores_and_ranks_equal_brute_force(spark, documents, ngram):
+    rows = list(enumerate(texts()))
+    target = ["the cat déjà x1 the cat", None, "w1 w2 w3 w4", ""]
+    items = spark.createDataFrame([(t, "x") for t in target], "text string, doc string")
+    scored = op.importance(documents(*rows), items, ngram=ngram, buckets=50)
+    got = {r.doc.doc_id: r for r in op.drawn(scored, least_words=5, percent=20).collect()}
+
+    source, wanted = Counter(), Counter()
+    for _, text in rows:
+        source += hashed(text, ngram, 50)
+    for text in target:
+        wanted += hashed(text, ngram, 50)
+    s_all, t_all = sum(source.values()) + 50, sum(wanted.values()) + 50
+    gain = [math.floor(1000 * math.log((wanted[b] + 1) * s_all / ((source[b] + 1) * t_all))) for b in range(50)]
+    expected = []
+    for i, text in rows:
+        words, runs = features(text, ngram)
+        weight = sum(gain[b] * n for b, n in hashed(text, ngram, 50).items())
+        h = int(hashlib.sha256(f"2024:{i}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32)))
+        expected.append((i, len(words), len(runs), weight, score))
+    best = sorted((-e[4], e[0]) for e in expected if e[1] >= 5)
+    ranks = {i: n + 1 for n, (_, i) in enumerate(best[:20 * len(best) // 100])}
+    assert len(ranks) > 5
+    assert {i: (r.n_words, r.n_features, r.weight, r.score, r["rank"]) for i, r in got.items()} == {e[0]: (*e[1:], ranks.get(e[0])) for e in expected}
+    assert {r.doc["size"] for r in got.values()} == {"x"}
+
+
+def test_ties_repeated_rows_and_null_ids(spark, documents):
+    text = "same words " * 10
+    items = spark.createDataFrame([("same",)], "text string")
+    scored = op.importance(documents((7, text), (7, text), (None, text), (None, None)), items, carry=["doc_id"])
+    got = op.drawn(scored, percent=100).collect()
+    assert sorted((r["rank"] for r in got if r["rank"]), key=int) == [1, 2, 3] and sum(r["rank"] is None for r in got) == 1
+    assert len({r.score for r in got if r.doc.doc_id == 7}) == 1
+
+
+def test_empty_tables(spark, documents):
+    none = spark.createDataFrame([], "text string")
+    some = spark.createDataFrame([("a b",)], "text string")
+    assert op.drawn(op.importance(documents().limit(0), some)).collect() == []
+    (r,) = op.drawn(op.importance(documents((1, "a b")), none)).collect()
+    assert r.n_features == 2 and r["rank"] is None
