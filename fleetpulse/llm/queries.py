@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetpulse.llm import decontaminate, langid, merkle, mixing, pii, quality, resample, secrets, sharding, simhash, spotsigs, warc
+from fleetpulse.llm import (
+    bpe, decontaminate, langid, merkle, mixing, pii, quality, resample, secrets, sharding, simhash, spotsigs, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
@@ -21,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language": langid.op10_language,
     "op11_merkle": merkle.op11_merkle,
     "op12_resampling": resample.op12_resampling,
+    "op13_bpe": bpe.op13_bpe,
 }
 # The others are tested against brute force, an exact round trip or held-out accuracy in tests/llm.
 ORACLES: dict[str, str] = {

@@ -1,0 +1,106 @@
+import hashlib
+import random
+import time
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from corpus_rows import documents  # noqa: F401
+from fleetpulse.llm import bpe as op
+from fleetpulse.llm.frames import table
+
+SF = "/root/testdata/sf0.001"
+FILES = ["word_bpe_49k.json", "byte_bpe_50k.json"]
+
+
+@pytest.fixture(scope="module", params=FILES)
+def both(request):
+    path = public_tokenizers.path(request.param)
+    with open(path, encoding="utf-8") as file:
+        return op.Encoder(file.read()), Tokenizer.from_file(path)
+
+
+def same(encoder, library, text):
+    ids = encoder.encode(text)
+    wanted = library.encode(text, add_special_tokens=False).ids
+    return ids.tolist() == wanted and encoder.decode(ids) == library.decode(wanted, skip_special_tokens=False)
+
+
+def test_mixed_texts_equal_the_library(both):
+    rng = random.Random(1)
+    odd = [0x300, 0x301, 0x130, 0x3A3, 0x3C2, 0x3C3, 0x1100, 0x1161, 0x11A8, 0xAC00, 0x4E00, 0x1F600, 0x2028, 0x3000, 0x200D, 0xFB01, 0x1E9E, 0x660, 0x2160, 0xBD]
+    parts = [chr(c) for c in [*range(0x250), *odd]] + ["<|endoftext|>", "<|startoftext|>", "<|endof", "'s", "'S", "'LL", "a" * 50, "ab" * 60, "été ", "\x1c", "\x85", "\r\n"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
+        assert same(*both, text), repr(text)
+
+
+def test_every_plane_equals_the_library(both):
+    for code in [*range(0x3000), *range(0x3000, 0x110000, 61)]:
+        if not 0xD800 <= code < 0xE000:
+            assert same(*both, f"A{chr(code)}a{chr(code)}"), hex(code)
+
+
+def test_long_words_take_little_more_than_their_length(both):
+    start = time.time()
+    for word in ("a" * 100_000, "ab" * 50_000, "é" * 50_000, "".join(random.Random(2).choices("etaoin", k=100_000))):
+        assert same(*both, word)
+    assert time.time() - start < 60
+
+
+def test_no_token_lies_across_a_cut(both):
+    encoder, _ = both
+    rng = random.Random(4)
+    cuts = 0
+    for _ in range(500):
+        word = "".join(rng.choice(encoder.symbols) for _ in range(12))
+        parts = encoder.fragments(word)
+        cuts += len(parts) - 1
+        assert "".join(parts) == word
+        for a, b in zip(parts, parts[1:]):
+            assert not any(a[-1] + b[0] in token for token in rng.sample(list(encoder.ids), 50))
+        whole = encoder._merged([*(encoder.ids[c] for c in word[:-1]), encoder.ids[word[-1] + encoder.suffix]])
+        assert encoder.word_ids(word) == whole
+    assert cuts > 1000
+    spanned = {token[i:i + 2] for token in encoder.ids for i in range(len(token.removesuffix(encoder.suffix)) - 1)}
+    assert {a + b for a, b in encoder.inside} <= spanned
+
+
+def test_short_and_long_merging_agree(both):
+    encoder, _ = both
+    rng = random.Random(5)
+    for _ in range(300):
+        ids = [encoder.ids[c] for c in rng.choices("abcdeinrst", k=rng.randrange(1, op.SHORT))]
+        assert encoder._merged(list(ids)) == encoder._merged_long(list(ids))
+
+
+def test_query_equals_the_library(spark):
+    library = Tokenizer.from_file(op.VOCABULARY)
+    got = {r.doc_id: tuple(r)[1:] for r in op.op13_bpe(spark, SF).collect()}
+    for r in table(spark, SF, "documents").collect():
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        assert got.pop(r.doc_id) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+    assert not got
+
+
+def test_rows_nulls_and_round_trip(spark, documents):
+    rows = [(1, "Same text"), (1, "Same text"), (2, None), (3, ""), (None, "No id"), (4, "x" * 200_000), (5, "<|endoftext|>")]
+    coded = op.encoded(documents(*rows))
+    got = coded.withColumn("back", op.decoded(spark, "ids")).collect()
+    assert sorted((r.doc.doc_id is None, r.doc.doc_id or 0, len(r.ids) > 0) for r in got) == sorted((i is None, i or 0, bool(t)) for i, t in rows)
+    assert {r.doc["size"] for r in got} == {"x"}
+    for r in got:
+        assert r.back.replace("</w> ", " ").replace("</w>", "").replace(" ", "") == (r.doc.text or "").lower().replace(" ", "")
+    assert op.encoded(documents().limit(0)).collect() == []
+    # The other vocabulary decodes to the very text.
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    again = op.encoded(documents(*rows), vocabulary=other)
+    assert all(r.back == (r.doc.text or "") for r in again.withColumn("back", op.decoded(spark, "ids", vocabulary=other)).collect())
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError):
+        op.Encoder('{"model": {"type": "WordPiece"}}')
