@@ -23,8 +23,8 @@ from fleetpulse.llm.frames import packed_columns, small_batches, table, text_or_
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
-# A worker remembers the ids of at most so many words of at most so many characters.
-REMEMBERED, REMEMBERED_LENGTH = 1 << 18, 40
+# A worker remembers the ids of at most twice so many words of at most so many characters.
+REMEMBERED, REMEMBERED_LENGTH = 1 << 17, 40
 NEVER = 1 << 40  # the rank of a pair that is not merged
 SHORT = 32  # symbols up to which pairs are looked through, not kept in a heap
 
@@ -42,15 +42,18 @@ def byte_symbols() -> list[str]:
 
 
 class _Words(dict):
-    """Words to their ids as little-endian bytes; what is not remembered is encoded."""
+    """Words to their ids as little-endian bytes, in two generations, so that words met again and again stay."""
 
     def __init__(self, encode) -> None:
-        self.encode = encode
+        self.encode, self.older = encode, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.encode(word), "<u4").tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            ids = np.array(self.encode(word), "<u4").tobytes()
         if len(word) <= REMEMBERED_LENGTH:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -84,7 +87,6 @@ class Encoder:
             bare = token.removesuffix(self.suffix) if self.suffix else token
             self.inside.update(zip(bare, bare[1:]))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.names = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
         marks = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.marks = re.compile(f"({'|'.join(marks)})") if marks else None
         self.lower_words = self._has_lower_words(spec)
@@ -189,9 +191,20 @@ class Encoder:
         coded = [self._segment(p) if i % 2 == 0 else np.array([self.special[p]], "<u4").tobytes() for i, p in enumerate(parts)]
         return np.frombuffer(b"".join(coded), "<u4").astype(np.int32)
 
+
+class Decoder:
+    """The tokens of a vocabulary by id, and how the tokenizers library joins them."""
+
+    def __init__(self, vocabulary: str) -> None:
+        spec = json.loads(vocabulary)
+        tokens = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        self.names = [tokens.get(i) for i in range(max(tokens) + 1)]
+        self.joined = Tokenizer.from_str(vocabulary).decoder
+
     def decode(self, ids: np.ndarray) -> str:
-        tokens = [self.names[i] for i in ids.tolist() if i in self.names]
-        return " ".join(tokens) if self.library.decoder is None else self.library.decoder.decode(tokens)
+        size, names = len(self.names), self.names
+        tokens = [names[i] for i in ids.tolist() if 0 <= i < size and names[i] is not None]
+        return " ".join(tokens) if self.joined is None else self.joined.decode(tokens)
 
 
 @lru_cache(maxsize=2)
@@ -199,6 +212,11 @@ def _encoder(vocabulary: str) -> Encoder:
     return Encoder(vocabulary)
 
 
+@lru_cache(maxsize=2)
+def _decoder(vocabulary: str) -> Decoder:
+    return Decoder(vocabulary)
+
+
 def _shared(spark: SparkSession, path: str):
     """The vocabulary file, read once on the driver; its size does not depend on the documents."""
     with open(path, encoding="utf-8") as file:
@@ -217,7 +235,7 @@ def encoded(docs: DataFrame, *, text: str = "text", carry: list[str] | None = No
     shared = _shared(docs.sparkSession, vocabulary)
 
     @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:  # as an iterator it is not chained to, but run once
         encoder = _encoder(shared.value)
         for texts in batches:
             yield pd.Series([encoder.encode(t) for t in texts], dtype=object)
@@ -230,10 +248,9 @@ def decoded(spark: SparkSession, ids: Column | str, *, vocabulary: str = VOCABUL
     shared = _shared(spark, vocabulary)
 
     @F.pandas_udf("string")
-    def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = _encoder(shared.value)
-        for rows in batches:
-            yield pd.Series([None if r is None else encoder.decode(np.asarray(r)) for r in rows], dtype=object)
+    def text(rows: pd.Series) -> pd.Series:
+        decoder = _decoder(shared.value)
+        return pd.Series([None if r is None else decoder.decode(np.asarray(r)) for r in rows], dtype=object)
 
     return text(ids)
 
