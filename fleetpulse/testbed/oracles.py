@@ -385,6 +385,7 @@ _kinds = """select c.component_type, f.snapshot_date, f.failure_within_90_days
     from fact f join comp c on c.component_serial_number = f.component_serial_number"""
 oracle("rolling_rate", _rates("0"), k=_kinds)
 oracle("rolling_rate_lagged", _rates("1"), k=_kinds)
+oracle("rolling_rate_kept", _rates("0"), k=_kinds)
 SPLITS = {
     "train": "snapshot_date < last - interval 120 days",
     "validation": "snapshot_date between last - interval 120 days and last - interval 60 days",
@@ -502,6 +503,7 @@ oracle(
     "drift_recent",
     DRIFT.format(f"select * from ({TWO_RUNS}) where drift_flag and evaluated_at > {ts(D2)} - interval 7 days"),
 )
+oracle("drift_kept", DRIFT.format(TWO_RUNS))
 DRIFT_ALERTS = f"""select 'Data Drift' as alert_type, 'Warning' as severity,
       'Feature "' || feature_name || '" shifted ' || cast(pct as varchar) || '% vs. baseline — review upstream source and consider retraining.' as message,
       feature_name as related_entity, 'feature' as entity_kind, evaluated_at as raised_at from ({TWO_RUNS}) where drift_flag"""
@@ -550,6 +552,19 @@ oracle(
       operating_region, {_values}, strftime(snapshot_date, '%Y-%m-%d') as snapshot_date, {_scored_at} from risk""",
     **RISK,
 )
+oracle(
+    "component_risk_kept",
+    f"""select component_serial_number, component_type, component_subtype, aircraft_tail_number, aircraft_model, fleet_type,
+      operating_region, {_values}, strftime(snapshot_date, '%Y-%m-%d') as snapshot_date, {_scored_at} from risk""",
+    **RISK,
+)
+oracle(
+    "export_risk_view",
+    f"""select component_serial_number, component_type, component_subtype, aircraft_tail_number, aircraft_model, fleet_type,
+      operating_region, {_values}, strftime(snapshot_date, '%Y-%m-%d') as snapshot_date, {_scored_at} from risk
+    where scored_at >= {ts(mapping.RUNS["r2"])} - interval 1 day""",
+    **RISK,
+)
 oracle(
     "risk_ranking_top50",
     f"""select r.component_serial_number, r.component_type, r.component_subtype, cast(c.part_cost_usd as double) as part_cost_usd,
@@ -588,8 +603,7 @@ oracle(
     f"""select record_id, cast(1 as bigint) as model_id, '{{"risk_tier": "High", "record_id": ' || record_id || '}}' as original_prediction,
       ['Confirmed', 'Overridden', 'Escalated'][n] as reviewer_decision, 'rev-' || (n - 1) as reviewer_id, 'seen' as reviewer_comment,
       {text(mapping.AS_OF)} as reviewed_at
-    from (select record_id, row_number() over (order by record_id, snapshot_date) as n from pred where run_id = 'r2' and risk_tier = 'High')
-    where n <= 3""",
+    from (select record_id, record_id % 3 + 1 as n from pred where run_id = 'r2' and risk_tier = 'High')""",
 )
 oracle(
     "override_sample",
@@ -619,3 +633,34 @@ oracle(
        union all select '{P30}', 'classification', 'failure_within_30_days')""",
     **_last,
 )
+
+
+def _factors() -> str:
+    """Each input's share: at every split on it that a row comes to, the step from the node's value to the child's."""
+    nodes = {(t, n): (value, left, right, split_on, split, kinds) for t, n, value, left, right, split_on, split, kinds in mapping.TREES}
+    steps: dict[int, list[str]] = {i: [] for i in range(len(mapping.TREE_INPUTS))}
+
+    def walk(tree: int, node: int, path: list[str]) -> None:
+        value, left, right, split_on, split, kinds = nodes[tree, node]
+        if left < 0:
+            return
+        name = mapping.TREE_INPUTS[split_on]
+        test = f"{name} <= {split[0]}" if kinds < 0 else f"{name} in ({', '.join(map(str, split))})"
+        for child, way in ((left, test), (right, f"not ({test})")):
+            step = mapping.TREE_WEIGHTS[tree] * (nodes[tree, child][0] - value)
+            steps[split_on].append(f"case when {' and '.join([*path, way])} then {step} else 0 end")
+            walk(tree, child, [*path, way])
+
+    for tree in range(len(mapping.TREE_WEIGHTS)):
+        walk(tree, 0, [])
+    base = sum(w * nodes[t, 0][0] for t, w in enumerate(mapping.TREE_WEIGHTS))
+    shares = ", ".join(f"cast({' + '.join(s)} as double) as by_{mapping.TREE_INPUTS[i]}" for i, s in steps.items())
+    total = " + ".join(f"by_{c}" for c in mapping.TREE_INPUTS)
+    named = ", ".join(f"{{'weak': -abs(by_{c}), 'name': '{c}'}}" for c in mapping.TREE_INPUTS)
+    return f"""select record_id, strftime(snapshot_date, '%Y-%m-%d') as snapshot_date, cast({base} + {total} as double) as margin,
+      cast({base} as double) as base, {", ".join(f"by_{c}" for c in mapping.TREE_INPUTS)},
+      list_filter(list_sort([{named}]), lambda f: f.weak < 0)[1].name as strongest
+    from (select record_id, snapshot_date, {shares} from feat)"""
+
+
+oracle("prediction_factors", _factors())
