@@ -26,6 +26,24 @@ VERSION = "v1"
 RATE = "rolling_30d_component_type_failure_rate"
 
 
+def cohort_days(df: DataFrame, cohort: str, day: str, label: str) -> DataFrame:
+    """One row per cohort and day: the sum of the label and how many rows have one.
+
+    Sums of disjoint sets of rows can be added up, so a stored table of them is kept by
+    replacing the days that changed.
+    """
+    return df.groupBy(cohort, day).agg(
+        F.sum(F.col(label).cast("bigint")).alias("positives"), F.count(label).alias("labelled")
+    )
+
+
+def rate_of_days(days: DataFrame, cohort: str, day: str, window_days: int = WINDOW_DAYS, lagged: bool = False) -> DataFrame:
+    """The rolling rate from ``cohort_days``, one row per cohort and day."""
+    frame = W.partitionBy(cohort).orderBy(F.unix_date(day)).rangeBetween(-window_days, -1 if lagged else 0)
+    positives, labelled = F.sum("positives").over(frame), F.sum("labelled").over(frame)
+    return days.select(cohort, day, ratio(positives, labelled, 4).cast("decimal(6,4)").alias(RATE))
+
+
 def rolling_rate(
     df: DataFrame, cohort: str, day: str, label: str, window_days: int = WINDOW_DAYS, lagged: bool = False
 ) -> DataFrame:
@@ -36,12 +54,7 @@ def rolling_rate(
     day and cohort however large the cohort is. ``lagged`` ends the window the day before,
     so a row's own label is not part of its feature.
     """
-    daily = df.groupBy(cohort, day).agg(
-        F.sum(F.col(label).cast("bigint")).alias("_sum"), F.count(label).alias("_n")
-    )
-    frame = W.partitionBy(cohort).orderBy(F.unix_date(day)).rangeBetween(-window_days, -1 if lagged else 0)
-    positives, labelled = F.sum("_sum").over(frame), F.sum("_n").over(frame)
-    return daily.select(cohort, day, ratio(positives, labelled, 4).cast("decimal(6,4)").alias(RATE))
+    return rate_of_days(cohort_days(df, cohort, day, label), cohort, day, window_days, lagged)
 
 
 def rolling_rate_direct(
@@ -79,13 +92,15 @@ def build_features(
     decay_days: int = DECAY_DAYS,
     lagged: bool = False,
     version: str = VERSION,
+    days: DataFrame | None = None,
     **strategy,
 ) -> DataFrame:
     """Model-ready rows: the fact with its component, aircraft and supplier attributes.
 
     The dimensions are stored tables with one row per key. Supplier scores are attached to
     the component dimension, not to the fact, so the fact takes three lookups: component,
-    aircraft and the daily cohort rate.
+    aircraft and the daily cohort rate. ``days`` is the stored table of ``cohort_days`` of
+    the component types, if there is one; without it the fact is read once more for the rate.
     """
     parts = stage(
         lookup_join(
@@ -103,10 +118,9 @@ def build_features(
     )
     joined = lookup_join(fact, parts, ["component_serial_number"], **strategy)
     joined = lookup_join(joined, fleet, ["aircraft_tail_number"], **strategy)
-    rates = stage(
-        rolling_rate(joined, "component_type", "snapshot_date", "failure_within_90_days", window_days, lagged),
-        "cohort_rates",
-    )
+    cohort = ("component_type", "snapshot_date")
+    days = cohort_days(joined, *cohort, "failure_within_90_days") if days is None else days
+    rates = stage(rate_of_days(days, *cohort, window_days, lagged), "cohort_rates")
     rated = lookup_join(joined, rates, ["component_type", "snapshot_date"], "left", **strategy)
     return rated.withColumns(derived(weights, decay_days)).select(
         *typed(FEATURES), F.lit(version).alias("feature_version"), ctx.time.alias("computed_at")

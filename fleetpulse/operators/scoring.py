@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from fleetpulse.functions import exact_round, risk_tier, surrogate_key
+from fleetpulse.operators import attribution
 from fleetpulse.operators.evaluate import Target
 from fleetpulse.operators.merge import insert_if_absent
 from fleetpulse.schema import LOG_DOMAINS, PREDICTIONS, names, require
@@ -46,6 +47,9 @@ NUMERIC = [
 ]
 
 
+# Factors that a prediction keeps of each model.
+FACTORS = 5
+
 # Fixed value: the use case all cards name.
 USE_CASE = "Component Health Assessment & RUL Estimation"
 
@@ -170,30 +174,48 @@ def class_weight(df: DataFrame, label: str) -> Column:
     return F.when(F.col(label) == 1, total / (2.0 * positive)).otherwise(total / (2.0 * (total - positive)))
 
 
-def predict(df: DataFrame, model: PipelineModel, spec: ModelSpec) -> DataFrame:
-    """The input rows with the model's output: days, or the probability of failure."""
+def predict(df: DataFrame, model: PipelineModel, spec: ModelSpec, factors: str | None = None, most: int = FACTORS) -> DataFrame:
+    """The input rows with the model's output: days, or the probability of failure.
+
+    ``factors`` names a column for the ``most`` inputs that moved the row's output most, as JSON.
+    """
     out = model.transform(_inputs(df.select(*df.columns, F.struct(*df.columns).alias("_row")), spec))
     value = F.col("prediction") if spec.task == "regression" else vector_to_array("probability")[1]
-    return out.select("_row.*", value.alias(spec.output))
+    shown = [value.alias(spec.output)]
+    if factors:
+        trees = attribution.ensemble_of(df.sparkSession, model.stages[-1])
+        why = attribution.attributed(trees, vector_to_array("features"), input_names(model))
+        shown.append(attribution.top_factors(why["factors"], most).alias(factors))
+    return out.select("_row.*", *shown)
+
+
+def input_names(model: PipelineModel) -> list[str]:
+    """The column that each of the model's inputs comes from."""
+    inputs = model.stages[-2].getInputCols()
+    return [name.removesuffix("_filled").removesuffix("_missing").removesuffix("_index") for name in inputs]
 
 
-def score(df: DataFrame, models: dict[str, tuple[ModelSpec, PipelineModel]], ctx: RunContext) -> DataFrame:
+def score(df: DataFrame, models: dict[str, tuple[ModelSpec, PipelineModel]], ctx: RunContext, most: int = FACTORS) -> DataFrame:
     """Prediction rows of one scoring run; each model runs once per row.
 
-    The tier comes from the unrounded probabilities, the stored values are rounded. Rows
+    The tier comes from the unrounded probabilities, the stored values are rounded. Every
+    row has its own factors: the ``most`` inputs that moved each output most, for
+    probabilities on the scale of half the log odds; 0 leaves them out. Rows
     carry the name and version of the regression, which stands for the run; the first model
     does if there is none.
     """
     scored, factors = df, {}
     for spec, model in models.values():
-        scored = predict(scored, model, spec)
-        factors[spec.output] = json.loads(contributing_factors(model, spec))
+        column = f"_factors_{spec.output}" if most else None
+        scored = predict(scored, model, spec, column, most)
+        if column:
+            factors[spec.output] = F.col(column)
     named = models[RUL.name][0] if RUL.name in models else next(iter(models.values()))[0]
-    return prediction_rows(scored, ctx, named.name, named.version, json.dumps(factors))
+    return prediction_rows(scored, ctx, named.name, named.version, attribution.merged_json(factors) if factors else None)
 
 
 def prediction_rows(
-    scored: DataFrame, ctx: RunContext, model: str = RUL.name, version: str = RUL.version, factors: str | None = None
+    scored: DataFrame, ctx: RunContext, model: str = RUL.name, version: str = RUL.version, factors: Column | None = None
 ) -> DataFrame:
     """Stored form of scored rows: tier, rounded outputs, run id and time."""
     return scored.select(
@@ -207,16 +229,17 @@ def prediction_rows(
         exact_round(F.col("predicted_failure_prob_30d"), 4, 6).alias("predicted_failure_prob_30d"),
         exact_round(F.col("predicted_failure_prob_90d"), 4, 6).alias("predicted_failure_prob_90d"),
         risk_tier(F.col("predicted_failure_prob_30d"), F.col("predicted_failure_prob_90d")).alias("risk_tier"),
-        F.lit(factors).cast("string").alias("top_contributing_factors"),
+        (F.lit(None) if factors is None else factors).cast("string").alias("top_contributing_factors"),
         F.lit(ctx.run_id).alias("run_id"),
         ctx.time.alias("scored_at"),
     ).select(*names(PREDICTIONS))
 
 
 def contributing_factors(model: PipelineModel, spec: ModelSpec) -> str:
-    """The weight of each of the model's inputs as JSON, strongest first, for the factors column of the predictions.
+    """The weight of each of the model's inputs as JSON, strongest first.
 
-    These are the model's own weights, the same for all rows of a run.
+    These are the model's own weights, the same for all rows; a prediction's own factors are
+    in its row.
     """
     inputs = model.stages[-2].getInputCols()
     ranked = sorted(zip(inputs, model.stages[-1].featureImportances.toArray()), key=lambda pair: (-pair[1], pair[0]))

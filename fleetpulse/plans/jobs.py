@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from fleetpulse.operators import evaluate, features, monitor, scoring
 from fleetpulse.operators.quality import newest_run
-from fleetpulse.plans.load import Layout, curated, extend_spine
+from fleetpulse.plans import marts
+from fleetpulse.plans.load import Layout, curated, days_of, extend_spine
 from fleetpulse.session import RunContext, stage
 from fleetpulse.sources import extract, months
 
@@ -20,7 +21,8 @@ def refresh_features(spark: SparkSession, layout: Layout, ctx: RunContext, versi
     """Rebuild a feature version from the curated tables."""
     tables = curated(spark, layout)
     built = features.build_features(
-        tables["fact"], tables["dim_component"], tables["dim_aircraft"], tables["dim_supplier"], ctx, version=version
+        tables["fact"], tables["dim_component"], tables["dim_aircraft"], tables["dim_supplier"], ctx, version=version,
+        days=days_of(spark, layout, "cohort_days"),
     )
     return features.save_features(built, layout.root, version)
 
@@ -31,7 +33,8 @@ def run_nightly(spark: SparkSession, layout: Layout, ctx: RunContext) -> DataFra
     Returns the drift rows.
     """
     built = refresh_features(spark, layout, ctx)
-    drift = stage(monitor.drift(built, ctx), "drift")
+    days = days_of(spark, layout, "feature_days")
+    drift = stage(monitor.drift(built, ctx) if days is None else monitor.drift_of_days(days, ctx), "drift")
     extract.write_log(drift, layout.path("drift_log"), ctx)
     extract.write_log(monitor.alerts_from_drift(drift, ctx), layout.path("alerts/drift"), ctx)
     if months.read_version(spark, layout.path("model_registry")) is not None:
@@ -72,6 +75,24 @@ def score_test_split(spark: SparkSession, layout: Layout, ctx: RunContext, specs
             models[spec.name] = (spec, PipelineModel.load(layout.path(f"models/{spec.name}/{spec.version}")))
     rows = scoring.score(features.temporal_split(table)["test"], models, ctx)
     extract.write_log(rows, layout.path("predictions"), ctx)
+    refresh_risk(spark, layout, ctx)
+
+
+def refresh_risk(spark: SparkSession, layout: Layout, ctx: RunContext) -> DataFrame:
+    """Bring the kept view of the newest prediction per component up to the run ``ctx``, which is in the log."""
+    tables = curated(spark, layout)
+    run = extract.read_run(spark, layout.path("predictions"), ctx)
+    kept = months.read_version(spark, layout.path("risk_view"))
+    log = extract.read_log(spark, layout.path("predictions"))
+    view = marts.refresh_risk_view(kept, run, ctx, tables["fact"], tables["dim_aircraft"], log)
+    return months.write_version(view, layout.path("risk_view"))
+
+
+def export_risk(spark: SparkSession, layout: Layout, ctx: RunContext, path: str, days: int = 1) -> None:
+    """Export the components whose newest prediction was made within the last days, with their master data."""
+    tables = curated(spark, layout)
+    view = months.read_version(spark, layout.path("risk_view"))
+    extract.export_recent(marts.component_risk(view, tables["dim_component"], tables["dim_aircraft"]), path, ctx, days)
 
 
 def run_weekly(spark: SparkSession, layout: Layout, ctx: RunContext, limits=tuple(monitor.LIMITS)) -> DataFrame:

@@ -9,6 +9,8 @@ from fleetpulse.functions import exact_mean, exact_round, ratio
 from fleetpulse.operators.joins import latest_per_key, lookup_join
 from fleetpulse.operators.quality import newest_run
 from fleetpulse.schema import FACT_KEYS
+from fleetpulse.session import RunContext
+from fleetpulse.sources import months
 
 AT_RISK = ["High", "Elevated"]
 NEWEST_PREDICTION = ["scored_at", "snapshot_date", "record_id"]
@@ -39,6 +41,56 @@ def latest_component_risk(
     )
 
 
+OUTPUTS = ["predicted_rul_days", "predicted_failure_prob_30d", "predicted_failure_prob_90d", "risk_tier"]
+RISK_VIEW = ["component_serial_number", *FACT_KEYS, "aircraft_tail_number", *OUTPUTS, "scored_at", "run_id"]
+
+
+def refresh_risk_view(
+    view: DataFrame | None, run: DataFrame, ctx: RunContext, fact: DataFrame, aircraft: DataFrame, log: DataFrame, **strategy
+) -> DataFrame:
+    """The newest prediction per component after a scoring run, from the view before it and the run's own rows.
+
+    ``view`` is what the last call gave, ``run`` the predictions of the run ``ctx``, ``log`` all
+    predictions. Newest is the greatest by ``NEWEST_PREDICTION``, whatever the order in which
+    runs arrive, so a late run takes only what it holds newer. If the run is repeated, the
+    view's rows of it no longer hold: what their components have is looked up in the log,
+    which is read in no other case. Of the fact only the months of the run's snapshots are
+    read, and in the view master data are left out; ``component_risk`` adds them.
+    """
+    rows = _candidates(run, _months_of(run, fact), aircraft, **strategy)
+    if view is not None:
+        mine = F.col("run_id") == F.lit(ctx.run_id)
+        stale = view.filter(mine).select("component_serial_number")
+        rows = view.filter(~mine).unionByName(rows)
+        if not stale.isEmpty():
+            again = log.join(stale, "component_serial_number", "left_semi")
+            rows = rows.unionByName(_candidates(again, fact, aircraft, **strategy))
+    return latest_per_key(rows, ["component_serial_number"], [F.desc_nulls_first(c) for c in NEWEST_PREDICTION])
+
+
+def _months_of(run: DataFrame, fact: DataFrame) -> DataFrame:
+    if months.PARTITION not in fact.columns:
+        return fact
+    first, last = run.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    return fact.limit(0) if first is None else months.between_days(fact, "snapshot_date", first, last)
+
+
+def _candidates(predictions: DataFrame, fact: DataFrame, aircraft: DataFrame, **strategy) -> DataFrame:
+    """Predictions whose snapshot and aircraft exist, as rows of the view."""
+    known = predictions.join(fact.select(*FACT_KEYS, "aircraft_tail_number"), FACT_KEYS)
+    return lookup_join(known, aircraft.select("aircraft_tail_number"), ["aircraft_tail_number"], **strategy).select(*RISK_VIEW)
+
+
+def component_risk(view: DataFrame, component: DataFrame, aircraft: DataFrame, **strategy) -> DataFrame:
+    """The rows of ``latest_component_risk``, from the kept view: one row per component is joined, no history."""
+    fleet = aircraft.select("aircraft_tail_number", "aircraft_model", "fleet_type", "operating_region")
+    parts = component.select("component_serial_number", "component_type", "component_subtype")
+    return lookup_join(view, fleet, ["aircraft_tail_number"], **strategy).join(parts, "component_serial_number").select(
+        "component_serial_number", "component_type", "component_subtype", "aircraft_tail_number",
+        "aircraft_model", "fleet_type", "operating_region", *OUTPUTS, "snapshot_date", "scored_at",
+    )
+
+
 def risk_ranking(risk: DataFrame, component: DataFrame, top: int = 50) -> DataFrame:
     """The components most likely to fail within 30 days, with their cost.
 

@@ -97,3 +97,24 @@ SPINE_END = date(2001, 7, 1)
 LATER_END = date(2001, 10, 1)
 # A batch boundary that puts rows of every size of test data on both sides.
 BATCH_DAY = date(1998, 7, 1)
+
+# A stand-in ensemble: (tree, node, value, left, right, input, split, categories), in eighths, so that sums are exact.
+TREE_INPUTS = ["health_monitoring_score", "sensor_oil_debris_index", "aircraft_age_years", "prior_removal_count"]
+TREE_WEIGHTS = [1.0, 0.5, 0.5]
+TREES = [
+    (0, 0, 2.0, 1, 4, 0, [50.5], -1),
+    (0, 1, 4.5, 2, 3, 1, [3.0], -1),
+    (0, 2, 6.0, -1, -1, -1, [], -1),
+    (0, 3, 3.25, -1, -1, -1, [], -1),
+    (0, 4, 0.75, -1, -1, -1, [], -1),
+    (1, 0, 1.0, 1, 4, 3, [0.0, 2.0, 5.0], 6),
+    (1, 1, -1.5, 2, 3, 2, [12.0], -1),
+    (1, 2, -3.0, -1, -1, -1, [], -1),
+    (1, 3, 0.25, -1, -1, -1, [], -1),
+    (1, 4, 2.5, -1, -1, -1, [], -1),
+    (2, 0, -0.5, 1, 2, 0, [80.0], -1),
+    (2, 1, -2.25, -1, -1, -1, [], -1),
+    (2, 2, 3.0, 3, 4, 1, [5.0], -1),
+    (2, 3, 1.125, -1, -1, -1, [], -1),
+    (2, 4, 4.0, -1, -1, -1, [], -1),
+]

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetpulse.operators import constraints, evaluate, features, merge, monitor, quality, scoring
+from fleetpulse.operators import attribution, constraints, evaluate, features, merge, monitor, quality, scoring
 from fleetpulse.operators import dimensions as dims
 from fleetpulse.operators.joins import lookup_join
 from fleetpulse.plans import load, marts
@@ -368,6 +368,22 @@ def rolling_rate_lagged(b: Bed) -> DataFrame:
     )
 
 
+def _loaded(b: Bed) -> load.Layout:
+    """The fact after two loads, the daily sums kept up with each by the months that it touched."""
+    layout = load.Layout(f"{b.root}/days-{uuid.uuid4().hex}", mapping.SPINE_START, mapping.SPINE_END)
+    for batch, run in zip(_batches(b), ("r0", "r1")):
+        batch = stage(batch, "batch")
+        load.promote(batch, layout, b.scored(run), strict=False)
+        touched = months.partition_names(months.route(batch, "snapshot_date", layout.spine_start, layout.spine_end))
+        load.refresh_days(b.spark, layout, touched, b.dim_component)
+    return layout
+
+
+@query
+def rolling_rate_kept(b: Bed) -> DataFrame:
+    return features.rate_of_days(load.days_of(b.spark, _loaded(b), "cohort_days"), "component_type", "snapshot_date")
+
+
 SPLIT_COLUMNS = ["record_id", "snapshot_date", "component_type", "failure_within_90_days"]
 
 
@@ -479,6 +495,17 @@ def drift_recent(b: Bed) -> DataFrame:
     return monitor.recent_drift(_drift_log(b), RunContext(DRIFT_RUNS["d2"])).drop("log_id")
 
 
+@query
+def drift_kept(b: Bed) -> DataFrame:
+    # Two end days from one table of daily sums.
+    days = load.days_of(b.spark, _loaded(b), "feature_days")
+    runs = [
+        monitor.drift_of_days(days, RunContext(at, run_id=run), limit_pct=SMALL_DRIFT, until=at.date() - timedelta(days=1))
+        for run, at in DRIFT_RUNS.items()
+    ]
+    return reduce(DataFrame.unionByName, runs).drop("log_id")
+
+
 ALERT = ["alert_type", "severity", "message", "related_entity", "entity_kind", "raised_at", "acknowledged"]
 
 
@@ -531,6 +558,31 @@ def latest_component_risk(b: Bed) -> DataFrame:
     return _risk(b)
 
 
+def _risk_view(b: Bed) -> DataFrame:
+    """The view kept over four scorings: a first run, the newest, a late one, and the first repeated with half its rows."""
+    path, view = f"{b.root}/runs-{uuid.uuid4().hex}", None
+    for run, part in (("r1", 1), ("r2", 2), ("r0", 1), ("r2", 1)):
+        rows = b.predictions.filter((F.col("run_id") == run) & (F.col("record_id") % part == 0))
+        extract.write_log(rows, path, b.scored(run))
+        again = extract.read_run(b.spark, path, b.scored(run))
+        log = extract.read_log(b.spark, path)
+        view = stage(marts.refresh_risk_view(view, again, b.scored(run), b.fact, b.dim_aircraft, log), "risk_view")
+    return view
+
+
+@query
+def component_risk_kept(b: Bed) -> DataFrame:
+    return marts.component_risk(_risk_view(b), b.dim_component, b.dim_aircraft)
+
+
+@query
+def export_risk_view(b: Bed) -> DataFrame:
+    path = f"{b.root}/export-{uuid.uuid4().hex}"
+    risk = marts.component_risk(_risk_view(b), b.dim_component, b.dim_aircraft)
+    extract.export_recent(risk, path, RunContext(mapping.RUNS["r2"]))
+    return b.spark.read.schema(risk.schema).csv(path, header=True)
+
+
 @query
 def risk_ranking_top50(b: Bed) -> DataFrame:
     return marts.risk_ranking(_risk(b), b.dim_component)
@@ -575,6 +627,19 @@ def override_sample(b: Bed) -> DataFrame:
 
 # ---- models ----
 
+
+@query
+def prediction_factors(b: Bed) -> DataFrame:
+    trees = attribution.ensemble(b.spark.createDataFrame(mapping.TREES, attribution.NODES), mapping.TREE_WEIGHTS)
+    inputs = F.array(*[F.col(c).cast("double") for c in mapping.TREE_INPUTS])
+    rows = b.features.select("record_id", "snapshot_date", attribution.attributed(trees, inputs, mapping.TREE_INPUTS).alias("why"))
+    top = attribution.top_factors(F.col("why.factors"), 1)
+    return rows.select(
+        "record_id", "snapshot_date", "why.margin", "why.base", *[F.col("why.factors")[c].alias(f"by_{c}") for c in mapping.TREE_INPUTS],
+        F.element_at(F.json_object_keys(top), 1).alias("strongest"),
+    )
+
+
 def _train_score(b: Bed, spec: scoring.ModelSpec, balanced: bool) -> DataFrame:
     """Every test row with its label, and what holds of its score: that there is one, that it is in range, and that
     the model does better than a constant guess, by squared error or by telling failures from the rest."""

@@ -1,10 +1,10 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from fleetpulse.operators import quality
+from fleetpulse.operators import features, monitor, quality
 from fleetpulse.operators.merge import DuplicateKey
 from fleetpulse.plans import jobs, load
 from fleetpulse.session import RunContext, stage
@@ -203,3 +203,52 @@ def test_checks_from_tags_equal_checks_of_rows(rows, spark):
 def test_inactive_rules_do_not_quarantine(rows, layout):
     rules = [quality.Rule("never", "Validity", "Critical", "true", active=False)]
     assert counts(load.load_and_promote(rows({}), layout, FIRST, rules=rules))["fact"] == 1
+
+
+def days(spark, layout):
+    """The kept daily sums, and the same worked out anew from the whole fact."""
+    tables = load.curated(spark, layout)
+    typed = tables["fact"].join(tables["dim_component"].select("component_serial_number", "component_type"), "component_serial_number")
+    whole = features.cohort_days(typed, "component_type", "snapshot_date", "failure_within_90_days"), monitor.feature_days(typed)
+    kept = [load.days_of(spark, layout, t) for t in ("cohort_days", "feature_days")]
+    return [(values(k, *sorted(k.columns)), values(w, *sorted(k.columns))) for k, w in zip(kept, whole)]
+
+
+def test_daily_sums_follow_each_load(rows, layout, spark):
+    load.load_and_promote(rows(*BATCH), layout, FIRST)
+    assert all(kept == whole for kept, whole in days(spark, layout))
+    # Known days get further rows and changed labels, a new month comes, a component is of another type from now on.
+    load.load_and_promote(rows(
+        {"record_id": 1, "failure_within_90_days": 1, "failure_within_30_days": 1}, {"record_id": 20, "snapshot_date": date(2024, 8, 2)},
+        {"record_id": 21, "component_serial_number": "C2", "component_type": "Pump", "snapshot_date": date(2024, 8, 3)},
+    ), layout, SECOND)
+    both = days(spark, layout)
+    assert all(kept == whole for kept, whole in both)
+    assert {r[0] for r in both[0][0]} >= {"Engine", "Pump"}
+    load.extend_spine(layout, date(2031, 2, 1), spark)
+    assert all(kept == whole for kept, whole in days(spark, layout))
+    assert "default" not in [r[0] for r in values(months.read_months(spark, layout.path("cohort_days")).select(months.PARTITION).distinct())]
+
+
+def test_a_load_rewrites_the_daily_sums_of_its_months_only(rows, layout, spark, tmp_path):
+    load.load_and_promote(rows(*BATCH), layout, FIRST)
+    files = {t: sorted(p.name for p in (tmp_path / "wh" / t / "partition_name=2024_05").glob("*.parquet")) for t in ("cohort_days", "feature_days")}
+    load.load_and_promote(rows({"record_id": 30}), layout, SECOND)
+    again = {t: sorted(p.name for p in (tmp_path / "wh" / t / "partition_name=2024_05").glob("*.parquet")) for t in ("cohort_days", "feature_days")}
+    assert files == again and all(files.values())
+    assert all(kept == whole for kept, whole in days(spark, layout))
+
+
+def test_features_and_drift_from_daily_sums_equal_those_from_rows(rows, layout, spark):
+    batch = [{"record_id": i, "snapshot_date": date(2024, 2, 1) + timedelta(days=i * 5), "failure_within_90_days": i % 2, "failure_within_30_days": 0,
+              "health_monitoring_score": 50 + i, "sensor_vibration_index": None if i % 3 else i} for i in range(1, 40)]
+    load.load_and_promote(rows(*batch[:25]), layout, FIRST)
+    load.load_and_promote(rows(*batch[20:]), layout, SECOND)
+    built = jobs.refresh_features(spark, layout, SECOND)
+    tables = load.curated(spark, layout)
+    whole = features.build_features(tables["fact"], tables["dim_component"], tables["dim_aircraft"], tables["dim_supplier"], SECOND)
+    assert values(built) == values(whole)
+    for until in (None, date(2024, 6, 1)):
+        kept = monitor.drift_of_days(load.days_of(spark, layout, "feature_days"), SECOND, until=until)
+        scanned = monitor.drift(built if until is None else built.filter(F.col("snapshot_date") <= F.lit(until)), SECOND)
+        assert values(kept) == values(scanned)

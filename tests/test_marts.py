@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from conftest import GOOD_ROW, values
@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from fleetpulse.operators import dimensions as dims
 from fleetpulse.operators import scoring
 from fleetpulse.plans import marts
-from fleetpulse.session import RunContext
+from fleetpulse.session import RunContext, stage
+from fleetpulse.sources import extract, months
 
 OLD, NEW = RunContext(datetime(2024, 7, 1), "r1"), RunContext(datetime(2024, 7, 2), "r2")
 
@@ -90,3 +91,45 @@ def test_supplier_risk_counts_join_rows_or_components(spark, tables):
 def test_tier_summary(spark):
     total = scoring.tier_summary(scored(spark, NEW, (1, "C1", 0.6, 0.1), (2, "C1", 0.1, 0.6), (3, "C2", None, None))).first()
     assert tuple(total) == (3, 1, 1)
+
+
+def kept(spark, tables, path, *runs):
+    """The view after each of the runs (context, outputs), and all predictions that are in force then."""
+    view = None
+    for ctx, outputs in runs:
+        extract.write_log(scored(spark, ctx, *outputs), path, ctx)
+        log = extract.read_log(spark, path)
+        run = extract.read_run(spark, path, ctx)
+        view = stage(marts.refresh_risk_view(view, run, ctx, tables["fact"], tables["aircraft"], log), "view")
+    return view, log
+
+
+LATE = RunContext(datetime(2024, 6, 1), "r0")
+
+
+@pytest.mark.parametrize("runs", [
+    [(OLD, [(1, "C1", 0.1, 0.1), (3, "C2", 0.1, 0.1)]), (NEW, [(2, "C1", 0.9, 0.9)])],
+    # A late run, with a component of its own.
+    [(NEW, [(2, "C1", 0.9, 0.9)]), (LATE, [(1, "C1", 0.1, 0.1), (4, "C3", 0.6, 0.6)])],
+    # A repeated run that no longer has a component, one that loses all its rows, and a snapshot that does not exist.
+    [(OLD, [(1, "C1", 0.2, 0.2), (3, "C2", 0.2, 0.2)]), (NEW, [(2, "C1", 0.9, 0.9), (3, "C2", 0.9, 0.9)]), (NEW, [(3, "C2", 0.3, 0.3)])],
+    [(NEW, [(2, "C1", 0.9, 0.9), (4, "C3", 0.9, 0.9)]), (OLD, [(1, "C1", 0.2, 0.2), (77, "C9", 0.9, 0.9)]), (NEW, [])],
+])
+def test_kept_view_equals_the_full_recompute(spark, tables, tmp_path, runs):
+    view, log = kept(spark, tables, str(tmp_path / "predictions"), *runs)
+    whole = marts.latest_component_risk(log, tables["component"], tables["fact"], tables["aircraft"])
+    mine = marts.component_risk(view, tables["component"], tables["aircraft"])
+    assert mine.columns == whole.columns and values(mine) == values(whole) and whole.count() > 0
+
+
+def test_a_run_reads_its_own_partition_and_the_months_of_its_snapshots(spark, tables, tmp_path):
+    path, fact_path = str(tmp_path / "predictions"), str(tmp_path / "fact")
+    months.write_months(months.route(tables["fact"], "snapshot_date", date(2024, 1, 1), date(2025, 1, 1)), fact_path)
+    view, log = kept(spark, tables, path, (OLD, [(1, "C1", 0.1, 0.1)]))
+    extract.write_log(scored(spark, NEW, (2, "C1", 0.9, 0.9)), path, NEW)
+    run = extract.read_run(spark, path, NEW)
+    refreshed = marts.refresh_risk_view(view, run, NEW, months.read_months(spark, fact_path), tables["aircraft"], log)
+    assert all("run=r2" in f for f in run.inputFiles()) and len(run.inputFiles()) > 0
+    plan = refreshed._jdf.queryExecution().toString()
+    assert "run=r1" not in plan
+    assert "partition_name#" in plan.split("PartitionFilters: [")[-1] or "2024_06" in plan
