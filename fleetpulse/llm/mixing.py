@@ -99,6 +99,84 @@ def quotas(wanted: DataFrame, blocks: int, shards: int = SHARDS) -> DataFrame:
     return through.select("src", "shard", (F.col("through") - earlier).alias("blocks"))
 
 
+def shard_words(wanted: DataFrame, seats: DataFrame, *, block_words: int, shards: int, most: int, seed: str) -> DataFrame:
+    """What each shard takes of each source: (src, shard, first, length, take, begin) from (src, source_size, words) and the quotas.
+
+    A source's stream is cut into as many even pools as there are shards, and a shard's
+    quota of blocks is taken from its own pool, at most ``most`` times the pool. What the
+    quotas of a source then miss of its ``words``, or hold beyond them, is settled in
+    words, shard after shard: less than a block or two for a source of many blocks. The
+    blocks begin at a place in the pool that is seeded for the source and the shard.
+    """
+    pools = wanted.select("src", "source_size", "words", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    first = F.expr(f"source_size * shard div {shards}")
+    pools = pools.withColumn("first", first).withColumn("length", F.expr(f"source_size * (shard + 1) div {shards}") - F.col("first"))
+    limit = F.col("length") * most
+    pools = pools.join(seats, ["src", "shard"], "left").withColumn("limit", limit).withColumn(
+        "quota", F.least(F.coalesce("blocks", F.lit(0)) * block_words, "limit")
+    )
+    source, earlier = W.partitionBy("src"), W.partitionBy("src").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
+    pools = pools.withColumns({  # one row per shard in each window
+        "missing": F.col("words") - F.sum("quota").over(source),
+        "room": F.coalesce(F.sum(F.col("limit") - F.col("quota")).over(earlier), F.lit(0)),
+        "held": F.coalesce(F.sum("quota").over(earlier), F.lit(0)),
+    })
+    more = F.greatest(F.lit(0), F.least(F.col("missing") - F.col("room"), F.col("limit") - F.col("quota")))
+    less = F.greatest(F.lit(0), F.least(-F.col("missing") - F.col("held"), F.col("quota")))
+    place = F.md5(F.concat(F.lit(f"{seed}/"), "src", F.lit("/"), F.col("shard").cast("string")).cast("binary"))
+    random = F.conv(F.substring(place, 1, 8), 16, 10).cast("long")
+    return pools.filter("length > 0").select(
+        "src", "source_size", "shard", "first", "length", (F.col("quota") + more - less).alias("take"),
+        (random % F.ceil(F.col("length") / block_words) * block_words).alias("begin"),
+    )
+
+
+def _turns(pools: DataFrame) -> DataFrame:
+    """(src, start, turns): how often a source's first word is taken, and where in its stream and by how much that changes.
+
+    A pool's take is a number of whole passes and a run around the pool, which makes at most three parts.
+    """
+    passes, rest = F.expr("take div length"), F.expr("take % length")
+    stop = F.col("begin") + rest
+    wraps = stop > F.col("length")
+    cuts = F.when(wraps, F.array(stop - F.col("length"), F.col("begin"))).otherwise(F.array(F.col("begin"), stop))
+    outer, inner = passes + wraps.cast("long"), passes + 1 - wraps.cast("long")
+    parts = F.array(
+        F.struct(F.lit(0).cast("long").alias("from"), cuts[0].alias("to"), outer.alias("times")),
+        F.struct(cuts[0].alias("from"), cuts[1].alias("to"), inner.alias("times")),
+        F.struct(cuts[1].alias("from"), F.col("length").alias("to"), outer.alias("times")),
+    )
+    runs = pools.select("src", "first", F.inline(parts)).filter(F.col("to") > F.col("from")).withColumn("at", F.col("first") + F.col("from"))
+    changes = runs.withColumn("delta", F.col("times") - F.lag("times").over(W.partitionBy("src").orderBy("at")))  # some 50 rows in each
+    return changes.groupBy("src").agg(
+        F.min_by("times", "at").alias("start"),
+        F.collect_list(F.when(F.col("delta") != 0, F.struct("at", "delta", "times"))).alias("turns"),
+    )
+
+
+def _inner_turns() -> Column:
+    """The changes inside a unit of equal rows, as (at, delta, inside), by the words of one row.
+
+    Equal rows share what is taken of all of them evenly, to the nearest word, whatever the
+    number of changes among them: each is taken from its first word on.
+    """
+    single = F.transform("own", lambda t: F.struct(t["at"].alias("at"), t["delta"].alias("delta"), (t["at"] - F.col("from")).alias("inside")))
+    first, last = F.element_at("own", 1), F.element_at("own", -1)
+    end, size = F.col("from") + F.col("words"), F.col("unit.size")
+    came = first["times"] - first["delta"]
+    total = came * F.col("words") + F.aggregate("own", F.lit(0).cast("long"), lambda n, t: n + t["delta"] * (end - t["at"]))
+    per_row = F.floor((2 * total + F.col("copies")) / (2 * F.col("copies"))).cast("long")
+    whole, rest = F.floor(per_row / size).cast("long"), per_row % size
+    more = F.when(rest > 0, 1).otherwise(0).cast("long")
+    turn = [
+        (F.col("from"), whole + more - came, F.lit(0).cast("long")),
+        (F.col("from") + rest * F.col("copies"), -more, rest),
+        (end, last["times"] - whole, size),
+    ]
+    shared = F.array(*[F.struct(at.alias("at"), delta.alias("delta"), inside.alias("inside")) for at, delta, inside in turn])
+    return F.when(F.col("copies") == 1, single).otherwise(shared)
+
+
 def mix(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", carry: list[str] | None = None,
     seed: str = SEED, block_words: int = BLOCK_WORDS, shards: int = SHARDS, share: float = SHARE, most: int = MOST,
@@ -106,18 +184,19 @@ def mix(
 ) -> DataFrame:
     """Take ``share`` times all words, by source as ``weights`` say, no source above ``most`` times its words.
 
-    Each source is one stream of its documents in the order of a seeded hash, cut into
-    blocks of ``block_words``. Its quota of blocks comes from Sainte-Laguë apportionment;
-    what the blocks miss of the target, or hold beyond it, is settled in words at the run's end.
-    Whole passes take every block; the rest is a run of blocks around the stream from a
-    seeded start, which is a seeded random sample as the order is. The run's two ends fall
-    into at most two documents of a source, so a row finds its words by comparing its place
-    with them: texts are never shuffled, and equal rows get equal shares.
+    Each source is one stream of its documents in the order of a seeded hash. Sainte-Laguë
+    apportionment gives every source a quota of blocks of ``block_words`` in every shard,
+    and ``shard_words`` takes them from the shard's pool of the stream. That is a piecewise
+    constant number of times for each word, with some 50 changes in a source; a row finds
+    its words by comparing its place with the rows that hold the changes, so texts are not
+    shuffled (but where the sources are too many to broadcast their changes), and equal rows
+    get equal shares.
 
     Returns the input row (or the columns in ``carry``) as ``doc`` with ``size`` (its words),
-    ``source_size``, ``target`` and ``taken``. A null text has no words; the null source is a
-    source and comes last; a null id is placed like an empty one; documents of no words take
-    none; no rows give no rows.
+    ``source_size``, ``target``, ``taken``, ``times`` (how often its first word is taken) and
+    ``cuts`` (before which words that changes, and by how much). A null text has no words;
+    the null source is a source and comes last; a null id is placed like an empty one;
+    documents of no words take none; no rows give no rows.
     """
     size = F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("long")
     measured = docs.select(
@@ -133,64 +212,64 @@ def mix(
     sources = stage(streamed.groupBy("src").agg(F.sum("words").alias("source_size"), F.min("words_before").alias("start")), "mix_sizes")
     wanted = stage(targets(sources.select("src", "source_size"), share=share, most=most, weights=weights), "mix_targets")
     blocks = int(share * totals["words"] / block_words + 0.5)
-    seats = quotas(wanted, blocks, shards).groupBy("src").agg(F.sum("blocks").alias("blocks"))
-    # The run spans the quota's blocks, and its end is moved on or back to the source's words.
-    quota = F.coalesce("blocks", F.lit(0)) * block_words
-    take = quota + (F.col("words") - quota)
-    random = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}/"), "src").cast("binary")), 1, 8), 16, 10).cast("long")
-    plan = wanted.join(seats, "src", "left").join(sources.select("src", "start"), "src").select(
-        "src", "source_size", "target", "start", take.alias("take"),
-        F.expr("greatest(source_size, 1)").alias("loop"),
-    ).withColumn("begin", random % F.ceil(F.col("loop") / block_words) * block_words)
-    plan = plan.withColumn("end", (F.col("begin") + F.col("take") % F.col("loop")) % F.col("loop"))
-    plan = stage(plan, "mix_plan")
-    # The document that holds each end of the run: at most two rows for each source.
-    points = plan.select("src", "start", F.explode(F.array("begin", "end")).alias("point"))
-    ends = stage(
-        streamed.join(points.distinct().hint("merge"), "src").filter(
-            (F.col("words_before") - F.col("start") <= F.col("point"))
-            & (F.col("words_before") - F.col("start") + F.col("words") > F.col("point"))
-        ).select(
-            "src", "point", F.struct("place", "tie", "size").alias("unit"),
-            F.expr("(point - (words_before - start)) div copies").alias("inside"),
-        ),
-        "mix_ends",
+    pools = shard_words(wanted, quotas(wanted, blocks, shards), block_words=block_words, shards=shards, most=most, seed=seed)
+    turns = stage(_turns(stage(pools, "mix_pools")), "mix_turns")
+
+    # The row that holds each change. Pools bring together rows and changes that can meet.
+    pool = f"(({{0}}) * {shards} + {shards - 1}) div source_size"
+    points = turns.select("src", F.inline("turns")).join(sources.select("src", "source_size"), "src").select(
+        "src", "at", "delta", "times", F.expr(pool.format("at")).alias("pool")
     )
-    for name in ("begin", "end"):
-        plan = plan.join(
-            ends.select("src", F.col("point").alias(name), F.col("unit").alias(f"{name}_unit"), F.col("inside").alias(f"{name}_in")),
-            ["src", name], "left",
-        )
-    plan = stage(plan, "mix_run")
-
-    def before(name: str) -> Column:
-        """Words of the row that lie before an end of the run."""
-        mine = F.struct("place", "tie", "size")
-        return (
-            F.when(mine < F.col(f"{name}_unit"), F.col("size")).when(mine == F.col(f"{name}_unit"), F.col(f"{name}_in")).otherwise(F.lit(0))
-        )
-
-    wraps = F.when((F.col("end") < F.col("begin")), F.col("size")).otherwise(F.lit(0))
-    run = F.when(F.col("take") % F.col("loop") == 0, F.lit(0)).otherwise(before("end") - before("begin") + wraps)
-    return measured.join(small_or_merge(plan, 400), "src").select(
-        "doc", "size", "source_size", "target", (F.expr("take div loop") * F.col("size") + run).cast("long").alias("taken")
+    spread = streamed.filter("words > 0").join(small_or_merge(sources, 100), "src").withColumn("from", F.col("words_before") - F.col("start"))
+    spread = spread.withColumn("pool", F.explode(F.sequence(F.expr(pool.format("from")), F.expr(pool.format("from + words - 1")))))
+    found = spread.join(points.hint("merge"), ["src", "pool"]).filter("at >= from and at < from + words")
+    unit = F.struct("place", "tie", "size").alias("unit")
+    own = found.groupBy("src", unit, "from", "words", "copies").agg(F.sort_array(F.collect_list(F.struct("at", "delta", "times"))).alias("own"))
+    held = own.select("src", "unit", F.explode(_inner_turns()).alias("turn")).groupBy("src").agg(
+        F.sort_array(F.collect_list(F.struct("turn.at", "turn.delta", "unit", "turn.inside"))).alias("turns")
     )
+    plan = wanted.select("src", "source_size", "target").join(turns.select("src", F.col("start").alias("times_first")), "src", "left").join(held, "src", "left")
+    plan = stage(plan, "mix_plan")
+
+    mine = F.struct("place", "tie", "size")
+    held_at = F.coalesce("turns", F.array().cast(plan.schema["turns"].dataType))
+    before = F.transform(held_at, lambda t: F.struct(
+        F.when(mine < t["unit"], F.col("size")).when(mine == t["unit"], t["inside"]).otherwise(F.lit(0)).alias("at"), t["delta"].alias("delta")
+    ))
+    met = measured.join(small_or_merge(plan, 6000), "src").withColumn("before", before)
+    zero = F.lit(0).cast("long")
+    times = F.coalesce("times_first", zero) + F.aggregate(F.filter("before", lambda b: b["at"] <= 0), zero, lambda n, b: n + b["delta"])
+    met = met.withColumn("times", times).withColumn("cuts", F.filter("before", lambda b: (b["at"] > 0) & (b["at"] < F.col("size"))))
+    taken = F.col("times") * F.col("size") + F.aggregate("cuts", zero, lambda n, b: n + b["delta"] * (F.col("size") - b["at"]))
+    return met.select("doc", "size", "source_size", "target", taken.alias("taken"), "times", "cuts")
 
 
 def copies(mixed: DataFrame, text: str, length: str | None = None) -> DataFrame:
-    """The rows of a mix, as often as they are taken. One taken in part keeps its first words.
+    """The rows of a mix, as often as they are taken. One taken in part keeps the words that the mix chose.
 
     ``length`` names a column that holds the text's characters and is kept right.
     """
-    whole = mixed.filter("taken > 0").select(
-        "doc", "size", F.explode(F.expr("sequence(1, cast((taken + size - 1) div size as int))")).alias("copy"), "taken"
+    none = F.lit(0).cast("long")
+
+    def part(i):
+        start = F.when(i == 0, none).otherwise(F.get("cuts", i - 1)["at"])
+        end = F.when(i == F.size("cuts"), F.col("size")).otherwise(F.get("cuts", i)["at"])
+        times = F.col("times") + F.aggregate(F.slice("cuts", 1, i), none, lambda n, c: n + c["delta"])
+        return F.struct(start.alias("from"), end.alias("to"), times.alias("times"))
+
+    parts = F.transform(F.sequence(F.lit(0), F.size("cuts")), part)
+    whole = mixed.filter("taken > 0").withColumn("parts", parts).select(
+        "doc", "size", "parts", F.explode(F.sequence(F.lit(1).cast("long"), F.array_max(F.transform("parts", lambda p: p["times"])))).alias("copy")
     )
-    words = F.least(F.col("size"), F.col("taken") - (F.col("copy") - 1) * F.col("size")).cast("int")
-    kept = F.array_join(F.slice(F.regexp_extract_all(F.col(f"doc.`{text}`"), F.lit(r"([\x20\x09-\x0D]*" + WORD + ")"), 1), 1, words), "")
-    cut_text = F.when(words < F.col("size"), kept).otherwise(F.col(f"doc.`{text}`"))
-    changed = whole.withColumn("doc", F.col("doc").withField(f"`{text}`", cut_text))
+    own = F.filter("parts", lambda p: (p["times"] >= F.col("copy")) & (p["to"] > p["from"]))
+    count = F.aggregate(own, none, lambda n, p: n + p["to"] - p["from"])
+    whole = whole.withColumn("own", own).withColumn("kept", count).filter("kept > 0")
+    pieces = F.regexp_extract_all(F.col(f"doc.`{text}`"), F.lit(r"([\x20\x09-\x0D]*" + WORD + ")"), 1)
+    chosen = F.array_join(F.flatten(F.transform("own", lambda p: F.slice(pieces, (p["from"] + 1).cast("int"), (p["to"] - p["from"]).cast("int")))), "")
+    cut = F.col("kept") < F.col("size")
+    changed = whole.withColumn("doc", F.col("doc").withField(f"`{text}`", F.when(cut, chosen).otherwise(F.col(f"doc.`{text}`"))))
     if length:
-        new = F.when(words < F.col("size"), F.char_length(F.col(f"doc.`{text}`")).cast("long")).otherwise(F.col(f"doc.`{length}`"))
+        new = F.when(cut, F.char_length(F.col(f"doc.`{text}`")).cast("long")).otherwise(F.col(f"doc.`{length}`"))
         changed = changed.withColumn("doc", F.col("doc").withField(f"`{length}`", new))
     return changed.select("doc.*")
 
@@ -212,14 +291,24 @@ f as (select src, l, w, row_number() over (order by 2.0 * l / w, src) as k,
         / (sum(w) over () - (sum(w) over (order by 2.0 * l / w, src) - w)) as level from s),
 v as (select arg_min(level, k) as level from f where 2.0 * l / w >= level),
 t as (select src, l, least(2.0 * l, v.level * w)::double as target from f, v),
+w as (select f.src, f.l, f.w, case when 2 * f.l <= v.level * f.w then 2 * f.l
+        else least(2 * f.l, floor(v.level * (b + f.w) + 0.5) - floor(v.level * b + 0.5)) end::bigint as words
+      from (select *, sum(w) over (order by k) - w as b from f) f, v),
+h as (select j, (j + 1) * (select floor({SHARE} * sum(l) / {BLOCK_WORDS} + 0.5)::bigint from s) // {SHARDS} as house from range({SHARDS}) r(j)),
 q as (select src, row_number() over (order by target / (2 * j + 1) desc, src, j) as n
       from (select src, target, unnest(range(0, (target / {BLOCK_WORDS})::bigint + 3)) as j from t)),
-b as (select src, count(*) as n from q where n <= (select floor({SHARE} * sum(l) / {BLOCK_WORDS} + 0.5) from s) group by src),
-r as (select t.src, l, target, least(coalesce(n, 0) * {BLOCK_WORDS}, 2 * l) as take,
-        ('0x' || substr(md5('{SEED}/' || t.src), 1, 8))::bigint % ceil(greatest(l, 1) / {BLOCK_WORDS})::bigint * {BLOCK_WORDS} as x
-      from t left join b using (src))
-select doc_id, size::bigint as size, l::bigint as source_size, target,
-  (take // greatest(l, 1) * size + greatest(least(a + size, x + take % greatest(l, 1)) - greatest(a, x), 0)
-   + greatest(least(a + size, x + take % greatest(l, 1) - l) - a, 0))::bigint as taken
-from p join r using (src)
+b as (select src, j, count(*) as n from q join (select j, house, lag(house, 1, 0) over (order by j) as earlier from h) on n > earlier and n <= house group by src, j),
+o as (select w.src, w.l, words, h.j, w.l * h.j // {SHARDS} as p, w.l * (h.j + 1) // {SHARDS} - w.l * h.j // {SHARDS} as len,
+        least(coalesce(b.n, 0) * {BLOCK_WORDS}, 2 * (w.l * (h.j + 1) // {SHARDS} - w.l * h.j // {SHARDS})) as quota
+      from w cross join h left join b on b.src = w.src and b.j = h.j),
+m as (select *, words - sum(quota) over (partition by src) as d, sum(2 * len - quota) over (partition by src order by j) - (2 * len - quota) as room,
+        sum(quota) over (partition by src order by j) - quota as held from o),
+r as (select src, j, p, len, quota + greatest(0, least(d - room, 2 * len - quota)) - greatest(0, least(-d - held, quota)) as take,
+        ('0x' || substr(md5('{SEED}/' || src || '/' || j), 1, 8))::bigint % ceil(len / {BLOCK_WORDS})::bigint * {BLOCK_WORDS} as x
+      from m where len > 0),
+k as (select doc_id, sum(take // len * (y - z) + greatest(least(y, x + take % len) - greatest(z, x), 0) + greatest(least(y, x + take % len - len) - z, 0)) as taken
+      from (select doc_id, take, len, x, greatest(a, r.p) - r.p as z, least(a + size, r.p + len) - r.p as y from p join r on r.src = p.src and a < r.p + len and a + size > r.p)
+      group by doc_id)
+select doc_id, size::bigint as size, l::bigint as source_size, target, coalesce(taken, 0)::bigint as taken
+from p join t using (src) left join k using (doc_id)
 """

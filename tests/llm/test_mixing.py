@@ -1,3 +1,4 @@
+import hashlib
 import re
 from collections import defaultdict
 
@@ -67,14 +68,81 @@ def test_mix_comes_near_its_targets(documents):
 
 
 def test_copies_hold_the_words_that_are_taken(documents):
-    rows = [(i, "  lead " + "x\t y\n" * (i + 1), "en", f"s{i % 2}") for i in range(30)]
+    rows = [(i, "  lead " + "".join(f"x{k}\t y{k}\n" for k in range(i * 3 + 1)), "en", f"s{i % 2}") for i in range(30)]
     mixed = op.mix(documents(*rows), block_words=3)
-    wanted = {r.doc.doc_id: r.taken for r in mixed.collect()}
-    got = defaultdict(int)
+    wanted = {r.doc.doc_id: r for r in mixed.collect()}
+    assert sum(len(r.cuts) for r in wanted.values()) > 20
+    got = defaultdict(lambda: defaultdict(int))
     for r in op.copies(mixed, "text", "n_chars").collect():
-        assert rows[r.doc_id][1].startswith(r.text) and r.n_chars == len(r.text) and r["size"] == "x"
-        got[r.doc_id] += len(r.text.split())
-    assert got == {i: n for i, n in wanted.items() if n}
+        assert r.n_chars == len(r.text) and r["size"] == "x" and r.text in rows[r.doc_id][1] or len(wanted[r.doc_id].cuts) > 1
+        for word in r.text.split():
+            got[r.doc_id][word] += 1
+    for i, r in wanted.items():
+        # Each word of the text is there as often as the mix takes it.
+        words, times, cuts = rows[i][1].split(), r.times, {c.at: c.delta for c in r.cuts}
+        for at, word in enumerate(words):
+            times += cuts.get(at, 0)
+            assert got[i][word] == times
+        assert sum(got[i].values()) == r.taken
+
+
+def brute_taken(rows, quota, words, shards, block_words, seed=op.SEED):
+    """How often each word of a source's stream is taken, one word after another."""
+    times = [0] * words["size"]
+    size = len(times)
+    pools = [(size * j // shards, size * (j + 1) // shards) for j in range(shards)]
+    take = [min(quota.get(j, 0) * block_words, 2 * (b - a)) for j, (a, b) in enumerate(pools)]
+    while sum(take) != words["words"]:
+        step = 1 if sum(take) < words["words"] else -1
+        j = next(j for j, (a, b) in enumerate(pools) if (take[j] < 2 * (b - a) if step > 0 else take[j] > 0))
+        take[j] += step
+    for j, (a, b) in enumerate(pools):
+        if b > a:
+            begin = int(hashlib.md5(f"{seed}/{words['src']}/{j}".encode()).hexdigest()[:8], 16) % -(-(b - a) // block_words) * block_words
+            for k in range(take[j]):
+                times[a + (begin + k) % (b - a)] += 1
+    out, at = {}, 0
+    for i, n in sorted(rows, key=lambda r: hashlib.md5(f"{seed}:{r[0]}".encode()).hexdigest()):
+        out[i] = sum(times[at:at + n])
+        at += n
+    return out
+
+
+@pytest.mark.parametrize("shards, block_words", [(16, 8), (3, 5), (1, 64)])
+def test_blocks_of_the_quotas_are_what_is_taken(spark, documents, shards, block_words):
+    rows = [(i, " ".join(["w"] * (i * 31 % 67)), "en", f"s{i * i % 7}") for i in range(150)] + [(500, "w w w", "en", "tiny")]
+    got = {r.doc.doc_id: r.taken for r in op.mix(documents(*rows), shards=shards, block_words=block_words).collect()}
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes["0" + r[3]] += len(r[1].split())
+    wanted = {r.src: r for r in op.targets(spark.createDataFrame(list(sizes.items()), "src string, source_size long")).collect()}
+    quotas = brute_quotas({s: r.target for s, r in wanted.items()}, int(1.5 * sum(sizes.values()) / block_words + 0.5), shards)
+    expected = {}
+    for src, size in sizes.items():
+        mine = [(r[0], len(r[1].split())) for r in rows if "0" + r[3] == src]
+        quota = {j: q.get(src, 0) for j, q in enumerate(quotas)}
+        expected |= brute_taken(mine, quota, {"src": src, "size": size, "words": wanted[src].words}, shards, block_words)
+        assert abs(wanted[src].words - wanted[src].target) < 1
+        assert sum(got[i] for i, _ in mine) == wanted[src].words
+    assert got == expected
+
+
+def test_other_quotas_take_other_words(documents, monkeypatch):
+    rows = [(i, " ".join(["w"] * 50), "en", f"s{i % 2}") for i in range(200)]
+    frame = documents(*rows)
+    plain = {r.doc.doc_id: r.taken for r in op.mix(frame, block_words=8).collect()}
+    quotas = op.quotas
+
+    def turned(*args):
+        """The same number of blocks, but each shard's quota goes to the first shards."""
+        seats = quotas(*args)
+        return seats.groupBy("src").agg(op.F.sum("blocks").alias("all")).select(
+            "src", op.F.explode(op.F.array(op.F.lit(0), op.F.lit(1), op.F.lit(2))).alias("shard"), op.F.expr("all div 3").alias("blocks"))
+
+    monkeypatch.setattr(op, "quotas", turned)
+    other = {r.doc.doc_id: r.taken for r in op.mix(frame, block_words=8).collect()}
+    assert sum(plain.values()) == sum(other.values())
+    assert sum(plain[i] != other[i] for i in plain) > 20
 
 
 def test_no_rows_and_no_words(documents):
