@@ -15,7 +15,7 @@ from fleetpulse.session import stage, work_dir
 # A side of a join is broadcast only if its counted rows times their stated width stay below this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # What Spark hands to a Python worker at once, so that long texts do not fill it.
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 * 1024 * 1024
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
