@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -12,6 +14,7 @@ from fleetpulse.functions import ratio, recency, weighted_sum
 from fleetpulse.operators.joins import lookup_join
 from fleetpulse.schema import FEATURES, typed
 from fleetpulse.session import RunContext, stage
+from fleetpulse.sources import months
 
 # Sensor weights, decay and window of feature version v1.
 SENSOR_WEIGHTS = {
@@ -127,11 +130,83 @@ def build_features(
     )
 
 
-def save_features(features: DataFrame, root: str, version: str = VERSION) -> DataFrame:
-    """Replace one feature version; other versions stay as they are."""
+# A row of a version's manifest: a month partition, its rows and days, and the folder that holds the version's data.
+MANIFEST = "partition_name string, rows bigint, first_day date, last_day date, folder string"
+
+STORED = ", ".join(
+    f"`{name}` {kind}"
+    for name, kind in [*FEATURES, ("feature_version", "string"), ("computed_at", "timestamp_ntz"), (months.PARTITION, "string")]
+)
+
+
+@dataclass(frozen=True)
+class StoredFeatures:
+    """A feature version in force: its rows by month, and the days that each month covers, known from its manifest."""
+
+    rows: DataFrame
+    days: dict[str, tuple[date, date]]
+
+    @property
+    def table(self) -> DataFrame:
+        return self.rows.drop(months.PARTITION)
+
+    @property
+    def newest(self) -> date | None:
+        return max((last for _, last in self.days.values()), default=None)
+
+    def dated(self, first: date | None = None, last: date | None = None) -> DataFrame:
+        """Rows dated first..last, both included; reads the months only that hold such days."""
+        named = [n for n, (lo, hi) in self.days.items() if (last is None or lo <= last) and (first is None or hi >= first)]
+        rows = self.rows.filter(F.col(months.PARTITION).isin(named)).filter(F.col("snapshot_date").isNotNull())
+        if first is not None:
+            rows = rows.filter(F.col("snapshot_date") >= F.lit(first))
+        if last is not None:
+            rows = rows.filter(F.col("snapshot_date") <= F.lit(last))
+        return rows.drop(months.PARTITION)
+
+    def split(self, valid_days: int = 120, test_days: int = 60, end: date | None = None) -> dict[str, DataFrame]:
+        """As ``temporal_split``, by partitions: no scan for the newest day, and each part reads its own months."""
+        end = end or self.newest
+        if end is None:
+            return {name: self.table.limit(0) for name in ("train", "validation", "test")}
+        first, last, day = end - timedelta(days=valid_days), end - timedelta(days=test_days), timedelta(days=1)
+        return {"train": self.dated(last=first - day), "validation": self.dated(first, last), "test": self.dated(last + day)}
+
+
+def save_features(
+    features: DataFrame, root: str, version: str = VERSION, start: date = months.SPINE_START, end: date = months.SPINE_END
+) -> StoredFeatures:
+    """Replace one feature version; other versions stay as they are.
+
+    The rows go to a folder of their own, partitioned by the months of the spine. The manifest,
+    written after them, puts the folder in force, so a writer lost half-way leaves the old
+    rows in force. The folder before is kept for readers that are still on it.
+    """
+    spark, path = features.sparkSession, f"{root}/features_{version}"
+    folder = f"data-{uuid.uuid4().hex}"
+    months.write_months(months.route(features, "snapshot_date", start, end), f"{path}/{folder}", sort=["component_serial_number", "snapshot_date"])
+    before = months.read_version(spark, f"{path}/manifest")
+    kept = {folder} | ({r.folder for r in before.select("folder").distinct().collect()} if before is not None else set())
+    written = spark.read.schema(f"snapshot_date date, {months.PARTITION} string").parquet(f"{path}/{folder}")
+    covered = written.groupBy(months.PARTITION).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("snapshot_date").alias("first_day"), F.max("snapshot_date").alias("last_day")
+    )
+    # One row per month; a version without rows has a manifest too, of one row without a month.
+    rows = [(*r, folder) for r in covered.collect()] or [(None, 0, None, None, folder)]
+    months.write_version(spark.createDataFrame(rows, MANIFEST).coalesce(1), f"{path}/manifest")
+    months.drop_folders(spark, path, "data-", kept)
+    return read_features(spark, root, version)
+
+
+def read_features(spark: SparkSession, root: str, version: str = VERSION) -> StoredFeatures:
+    """The version in force. Only the manifest, one row per month, is read here."""
     path = f"{root}/features_{version}"
-    features.write.mode("overwrite").parquet(path)
-    return features.sparkSession.read.parquet(path)
+    manifest = months.read_version(spark, f"{path}/manifest")
+    if manifest is None:
+        raise FileNotFoundError(f"no features of version {version} at {root}; refresh_features builds them")
+    covered = manifest.collect()
+    days = {r.partition_name: (r.first_day, r.last_day) for r in covered if r.first_day is not None}
+    return StoredFeatures(spark.read.schema(STORED).parquet(f"{path}/{covered[0].folder}"), days)
 
 
 def latest_day(df: DataFrame, day: str) -> date | None:

@@ -12,19 +12,20 @@ from pyspark.sql import functions as F
 from fleetpulse.operators import evaluate, features, monitor, scoring
 from fleetpulse.operators.quality import newest_run
 from fleetpulse.plans import marts
-from fleetpulse.plans.load import Layout, curated, days_of, extend_spine
+from fleetpulse.plans.load import Layout, curated, days_of, extend_spine, spine
 from fleetpulse.session import RunContext, stage
 from fleetpulse.sources import extract, months
 
 
-def refresh_features(spark: SparkSession, layout: Layout, ctx: RunContext, version: str = features.VERSION) -> DataFrame:
+def refresh_features(spark: SparkSession, layout: Layout, ctx: RunContext, version: str = features.VERSION) -> features.StoredFeatures:
     """Rebuild a feature version from the curated tables."""
     tables = curated(spark, layout)
     built = features.build_features(
         tables["fact"], tables["dim_component"], tables["dim_aircraft"], tables["dim_supplier"], ctx, version=version,
         days=days_of(spark, layout, "cohort_days"),
     )
-    return features.save_features(built, layout.root, version)
+    in_force = spine(spark, layout)
+    return features.save_features(built, layout.root, version, in_force.spine_start, in_force.spine_end)
 
 
 def run_nightly(spark: SparkSession, layout: Layout, ctx: RunContext) -> DataFrame:
@@ -34,7 +35,7 @@ def run_nightly(spark: SparkSession, layout: Layout, ctx: RunContext) -> DataFra
     """
     built = refresh_features(spark, layout, ctx)
     days = days_of(spark, layout, "feature_days")
-    drift = stage(monitor.drift(built, ctx) if days is None else monitor.drift_of_days(days, ctx), "drift")
+    drift = stage(monitor.drift(built.table, ctx, end=built.newest) if days is None else monitor.drift_of_days(days, ctx), "drift")
     extract.write_log(drift, layout.path("drift_log"), ctx)
     extract.write_log(monitor.alerts_from_drift(drift, ctx), layout.path("alerts/drift"), ctx)
     if months.read_version(spark, layout.path("model_registry")) is not None:
@@ -50,8 +51,7 @@ def train_models(
     A version is registered only after its model is saved, and a registered one is never
     overwritten.
     """
-    table = spark.read.parquet(layout.path(f"features_{features.VERSION}"))
-    split = features.temporal_split(table)["train"]
+    split = features.read_features(spark, layout.root).split()["train"]
     registry = months.read_version(spark, layout.path("model_registry"))
     specs = scoring.next_versions(registry, list(specs))
     for spec in specs:
@@ -64,7 +64,6 @@ def train_models(
 
 def score_test_split(spark: SparkSession, layout: Layout, ctx: RunContext, specs=tuple(scoring.MODELS)) -> None:
     """Score the newest rows with the active versions of the saved models and log the predictions."""
-    table = spark.read.parquet(layout.path(f"features_{features.VERSION}"))
     registry = months.read_version(spark, layout.path("model_registry"))
     # One row per model.
     active = {r.model_name: r.model_version for r in scoring.active_models(registry).collect()}
@@ -73,7 +72,7 @@ def score_test_split(spark: SparkSession, layout: Layout, ctx: RunContext, specs
         if spec.name in active:
             spec = replace(spec, version=active[spec.name])
             models[spec.name] = (spec, PipelineModel.load(layout.path(f"models/{spec.name}/{spec.version}")))
-    rows = scoring.score(features.temporal_split(table)["test"], models, ctx)
+    rows = scoring.score(features.read_features(spark, layout.root).split()["test"], models, ctx)
     extract.write_log(rows, layout.path("predictions"), ctx)
     refresh_risk(spark, layout, ctx)
 
@@ -97,11 +96,13 @@ def export_risk(spark: SparkSession, layout: Layout, ctx: RunContext, path: str,
 
 def run_weekly(spark: SparkSession, layout: Layout, ctx: RunContext, limits=tuple(monitor.LIMITS)) -> DataFrame:
     """Evaluate the newest scoring run of all three models, log the metrics, raise alerts."""
-    truth = spark.read.parquet(layout.path(f"features_{features.VERSION}"))
     # The newest run is among the newest day's, which prunes all other days.
     log = spark.read.parquet(layout.path("predictions"))
     day = log.agg(F.max("run_day")).first()[0]
     newest = newest_run(log.filter(F.col("run_day") == F.lit(day)).drop("run_day", "run"), "scored_at")
+    # Outcomes are read for the months of the run's snapshots only.
+    first, last = newest.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    truth = features.read_features(spark, layout.root).dated(first, last)
     models = [spec.target for spec in scoring.MODELS]
     metrics = stage(evaluate.evaluate(newest, truth, models, ctx), "metrics")
     extract.write_log(metrics, layout.path("performance_log"), ctx)

@@ -151,6 +151,15 @@ def drop_partition(spark: SparkSession, path: str, name: str) -> None:
     files.delete(gone, True)
 
 
+def drop_folders(spark: SparkSession, path: str, prefix: str, kept: set[str]) -> None:
+    """Remove the folders at a path whose names begin with the prefix, but for those kept."""
+    place, files = _folder(spark, path)
+    for found in files.listStatus(place):
+        name = found.getPath().getName()
+        if name.startswith(prefix) and name not in kept:
+            files.delete(found.getPath(), True)
+
+
 # ---- tables that are replaced as a whole ----
 
 

@@ -389,22 +389,22 @@ SPLIT_COLUMNS = ["record_id", "snapshot_date", "component_type", "failure_within
 
 @query
 def split_train(b: Bed) -> DataFrame:
-    return features.temporal_split(b.features)["train"].select(*SPLIT_COLUMNS)
+    return b.feature_store.split()["train"].select(*SPLIT_COLUMNS)
 
 
 @query
 def split_validation(b: Bed) -> DataFrame:
-    return features.temporal_split(b.features)["validation"].select(*SPLIT_COLUMNS)
+    return b.feature_store.split()["validation"].select(*SPLIT_COLUMNS)
 
 
 @query
 def split_test(b: Bed) -> DataFrame:
-    return features.temporal_split(b.features)["test"].select(*SPLIT_COLUMNS)
+    return b.feature_store.split()["test"].select(*SPLIT_COLUMNS)
 
 
 @query
 def split_sizes(b: Bed) -> DataFrame:
-    parts = features.temporal_split(b.features)
+    parts = b.feature_store.split()
     return quality.row_counts(parts).withColumnRenamed("tbl", "split")
 
 
@@ -643,7 +643,7 @@ def prediction_factors(b: Bed) -> DataFrame:
 def _train_score(b: Bed, spec: scoring.ModelSpec, balanced: bool) -> DataFrame:
     """Every test row with its label, and what holds of its score: that there is one, that it is in range, and that
     the model does better than a constant guess, by squared error or by telling failures from the rest."""
-    parts = features.temporal_split(b.features)
+    parts = b.feature_store.split()
     model = scoring.train(parts["train"], spec, balanced=balanced)
     rows = stage(scoring.predict(parts["test"], model, spec), f"scored_{spec.label}")
     label, output = F.col(spec.label).cast("double"), F.col(spec.output)
@@ -677,7 +677,7 @@ def train_score_30(b: Bed) -> DataFrame:
 @query
 def registry_versions(b: Bed) -> DataFrame:
     # All models are registered; one is trained again and takes over under its next version.
-    rows = features.temporal_split(b.features)["train"].count()
+    rows = b.feature_store.split()["train"].count()
     registry = None
     for specs in (scoring.MODELS, [scoring.RUL]):
         cards = scoring.registry_rows(b.spark, scoring.next_versions(registry, specs), rows, "features_v1", b.ctx)
@@ -687,7 +687,7 @@ def registry_versions(b: Bed) -> DataFrame:
 
 @query
 def registry_rows(b: Bed) -> DataFrame:
-    rows = features.temporal_split(b.features)["train"].count()
+    rows = b.feature_store.split()["train"].count()
     cards = scoring.registry_rows(b.spark, scoring.MODELS, rows, "features_v1", b.ctx)
     known = cards.filter(F.col("model_name") == scoring.RUL.name)
     registry = known.unionByName(scoring.register(known, cards))

@@ -95,8 +95,14 @@ class Bed:
         )
 
     @cached_property
+    def feature_store(self) -> features.StoredFeatures:
+        return features.save_features(
+            self.build_features(), f"{self.root}/store", start=mapping.SPINE_START, end=mapping.SPINE_END
+        )
+
+    @property
     def features(self) -> DataFrame:
-        return stage(self.build_features(), "features_v1")
+        return self.feature_store.table
 
     def scored(self, run: str) -> RunContext:
         return RunContext(mapping.RUNS[run], run_id=run, user="pipeline")

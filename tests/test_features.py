@@ -136,10 +136,76 @@ def test_feature_versions_live_side_by_side(rows, ctx, tmp_path):
     for version in ("v1", "v2"):
         features.save_features(build(rows({}), ctx, version=version), str(tmp_path), version)
     again = features.save_features(build(rows({}, {"record_id": 2}), ctx), str(tmp_path))
-    assert again.count() == 2
+    assert again.table.count() == 2
     assert sorted(p.name for p in tmp_path.iterdir()) == ["features_v1", "features_v2"]
 
 
+DATED = [{"record_id": n, "snapshot_date": d} for n, d in enumerate(
+    [date(2024, 6, 30), date(2024, 6, 1), date(2024, 4, 15), date(2024, 2, 29), date(2024, 2, 1), date(2019, 1, 1)], 1)]
+SPINE = (date(2024, 1, 1), date(2025, 1, 1))
+
+
+def jobs_run(spark, ctx, action):
+    """What the action returns, and how many Spark jobs it ran."""
+    group = f"jobs-{action.__name__}-{ctx.run_id}"
+    spark.sparkContext.setJobGroup(group, group)
+    result = action()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_stored_split_equals_the_split_of_a_scan_and_reads_its_months(rows, ctx, spark, tmp_path):
+    stored = features.save_features(build(rows(*DATED), ctx), str(tmp_path), "v1", *SPINE)
+    scanned = features.temporal_split(stored.table)
+    for name, part in stored.split().items():
+        assert values(part) == values(scanned[name]), name
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        pruned = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+        assert "partition_name" in pruned and "GreaterThan" in plan or "LessThan" in plan
+    test_plan = stored.split()["test"]._jdf.queryExecution().executedPlan().toString()
+    assert "2024_06" in test_plan and "2024_02" not in test_plan and "default" not in test_plan
+    assert sorted(stored.days) == ["2024_02", "2024_04", "2024_06", "default"]
+
+
+def test_newest_day_runs_no_scan(rows, ctx, spark, tmp_path):
+    stored = features.save_features(build(rows(*DATED), ctx), str(tmp_path), "v1", *SPINE)
+    newest, n = jobs_run(spark, ctx, lambda: stored.newest)
+    assert (newest, n) == (date(2024, 6, 30), 0)
+    assert features.read_features(spark, str(tmp_path)).newest == newest
+
+
+def test_dated_rows_hold_both_limits(rows, ctx, tmp_path):
+    stored = features.save_features(build(rows(*DATED), ctx), str(tmp_path), "v1", *SPINE)
+    assert values(stored.dated(date(2024, 2, 29), date(2024, 6, 1)), "record_id") == [(2,), (3,), (4,)]
+    assert values(stored.dated(last=date(2019, 1, 1)), "record_id") == [(6,)]
+    assert stored.dated(date(2030, 1, 1)).count() == 0
+
+
+def test_stored_version_without_rows(rows, ctx, tmp_path):
+    stored = features.save_features(build(rows({}), ctx).limit(0), str(tmp_path), "v1", *SPINE)
+    assert stored.newest is None and [p.count() for p in stored.split().values()] == [0, 0, 0]
+
+
+def test_rebuild_broken_off_leaves_the_old_version_in_force(rows, ctx, spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    features.save_features(build(rows(*DATED), ctx), root, "v1", *SPINE)
+    with monkeypatch.context() as broken:
+        broken.setattr(months, "write_version", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            features.save_features(build(rows(DATED[0]), ctx), root, "v1", *SPINE)
+    assert features.read_features(spark, root).table.count() == 6
+    for _ in range(2):
+        features.save_features(build(rows(*DATED[:2]), ctx), root, "v1", *SPINE)
+    assert features.read_features(spark, root).table.count() == 2
+    # The version in force and the one before it.
+    assert len([p for p in (tmp_path / "features_v1").iterdir() if p.name.startswith("data-")]) == 2
+
+
+def test_missing_version_says_what_builds_it(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="refresh_features"):
+        features.read_features(spark, str(tmp_path), "v9")
+
+
 def test_build_reads_only_what_it_needs_and_broadcasts_small_dimensions(rows, ctx, spark, tmp_path):
     batch = rows({}, {"record_id": 2, "snapshot_date": date(2024, 5, 1)})
     months.write_months(months.route(dims.fact_rows(batch), "snapshot_date", date(2024, 1, 1), date(2025, 1, 1)), str(tmp_path / "fact"))

@@ -44,13 +44,13 @@ def trained(history, spark, tmp_path_factory):
 def test_nightly_without_models_logs_drift(trained, spark):
     layout, _ = trained
     assert spark.read.parquet(layout.path("drift_log")).count() == 4
-    assert spark.read.parquet(layout.path("features_v1")).count() == 720
+    assert features.read_features(spark, layout.root).table.count() == 720
 
 
 def test_scores_are_probabilities_for_every_test_row(trained, spark):
     layout, ctx = trained
     predictions = spark.read.parquet(layout.path("predictions"))
-    test = features.temporal_split(spark.read.parquet(layout.path("features_v1")))["test"]
+    test = features.temporal_split(features.read_features(spark, layout.root).table)["test"]
     assert predictions.count() == test.count() > 0
     out = predictions.filter(
         ~F.col("predicted_failure_prob_30d").between(0, 1) | ~F.col("predicted_failure_prob_90d").between(0, 1)
@@ -88,7 +88,7 @@ def test_registry_keeps_the_first_card_of_a_version(trained, spark):
 
 def test_training_is_repeatable_and_names_its_strongest_inputs(trained, spark):
     layout, _ = trained
-    split = features.temporal_split(spark.read.parquet(layout.path("features_v1")))
+    split = features.temporal_split(features.read_features(spark, layout.root).table)
     models = [scoring.train(split["train"], scoring.FAILURE_90D, rounds=2) for _ in range(2)]
     a, b = [values(scoring.predict(split["test"], m, scoring.FAILURE_90D), "record_id", "predicted_failure_prob_90d") for m in models]
     assert a == b
@@ -98,7 +98,7 @@ def test_training_is_repeatable_and_names_its_strongest_inputs(trained, spark):
 
 def test_unseen_category_and_missing_numbers_still_score(trained, spark):
     layout, _ = trained
-    split = features.temporal_split(spark.read.parquet(layout.path("features_v1")))
+    split = features.temporal_split(features.read_features(spark, layout.root).table)
     model = scoring.train(split["train"], scoring.RUL, rounds=2)
     odd = split["test"].limit(3).withColumns({
         "component_type": F.lit("Never seen"), "fleet_type": F.lit(None).cast("string"),
@@ -109,7 +109,7 @@ def test_unseen_category_and_missing_numbers_still_score(trained, spark):
 
 def test_more_categories_than_default_bins(trained, spark):
     layout, _ = trained
-    table = spark.read.parquet(layout.path("features_v1"))
+    table = features.read_features(spark, layout.root).table
     many = table.withColumn("component_type", F.concat(F.lit("kind "), F.col("record_id") % 70))
     assert scoring.predict(many, scoring.train(many, scoring.RUL, rounds=1), scoring.RUL).count() == table.count()
 
@@ -129,7 +129,7 @@ def test_class_weight_balances(spark):
 
 def test_override_log_and_sample(trained, spark):
     layout, ctx = trained
-    table = spark.read.parquet(layout.path("features_v1"))
+    table = features.read_features(spark, layout.root).table
     with pytest.raises(ValueError):
         scoring.override_row(spark, 1, 1, {}, "Maybe", "me", "", ctx)
     verdicts = [scoring.override_row(spark, i, 1, {"risk_tier": "High"}, d, "me", "", ctx)
@@ -142,7 +142,7 @@ def test_override_log_and_sample(trained, spark):
 
 def test_threshold_is_chosen_on_the_validation_split(trained, spark):
     layout, ctx = trained
-    split = features.temporal_split(spark.read.parquet(layout.path("features_v1")))
+    split = features.temporal_split(features.read_features(spark, layout.root).table)
     model = scoring.train(split["train"], scoring.FAILURE_90D, rounds=ROUNDS)
     scored = scoring.predict(split["validation"], model, scoring.FAILURE_90D)
     sweep = evaluate.threshold_sweep(scored, split["validation"], "predicted_failure_prob_90d", "failure_within_90_days")
