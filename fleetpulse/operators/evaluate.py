@@ -7,6 +7,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from fleetpulse.functions import exact_mean, exact_round, ratio, surrogate_key
 from fleetpulse.schema import FACT_KEYS
@@ -69,11 +70,7 @@ def evaluate(
     included), since one scoring run keeps the output of all models in one row. Every
     model version present is evaluated on its own. ``by`` gives one evaluation per group.
     """
-    if since is not None:
-        predictions = predictions.filter(F.col("snapshot_date") >= F.lit(since))
-    if until is not None:
-        predictions = predictions.filter(F.col("snapshot_date") <= F.lit(until))
-    joined = with_outcomes(predictions, truth, [t.label for t in targets], run_id, version)
+    joined = with_outcomes(_dated(predictions, since, until), truth, [t.label for t in targets], run_id, version)
     aggregates, rows = [], []
     for i, target in enumerate(targets):
         first, second, scored = _metrics(target, threshold)
@@ -99,7 +96,20 @@ def evaluate(
     if version is not None:
         totals = totals.withColumn("model_version", F.lit(version))
     window = ["evaluation_window_start", "evaluation_window_end"]
-    return totals.select(*groups, "model_version", *window, "sample_size", F.inline(F.array(*rows))).select(
+    return _log_rows(totals.select(*groups, "model_version", *window, "sample_size", F.inline(F.array(*rows))), groups, ctx)
+
+
+def _dated(predictions: DataFrame, since: date | None, until: date | None) -> DataFrame:
+    if since is not None:
+        predictions = predictions.filter(F.col("snapshot_date") >= F.lit(since))
+    if until is not None:
+        predictions = predictions.filter(F.col("snapshot_date") <= F.lit(until))
+    return predictions
+
+
+def _log_rows(metrics: DataFrame, groups: list[str], ctx: RunContext) -> DataFrame:
+    window = ["evaluation_window_start", "evaluation_window_end"]
+    return metrics.select(
         surrogate_key(
             F.col("model_name"), F.col("model_version"), F.col("metric_name"), F.col(window[0]), F.lit(ctx.run_id)
         ).alias("log_id"),
@@ -115,6 +125,96 @@ def evaluate(
     )
 
 
+# Scores between 0 and 1 are ranked in this many ranges.
+RANGES = 1024
+
+
+def rank_sums(scores: DataFrame, keys: list[str], carried: list[Column] = ()) -> DataFrame:
+    """Per group of ``keys``: positives, negatives and ``pairs``, twice the (positive, negative) pairs that the score orders right.
+
+    ``scores`` holds one row per group and score with the counts ``positives`` and
+    ``negatives``. A pair of equal scores is half right. Ranks run inside ranges of the score,
+    then over the totals of the ranges, of which a group has at most ``RANGES`` + 1, so no task
+    ranks all scores of a group, and ties, however many, are one row. Products are decimals:
+    pairs outgrow 64 bits before rows do. ``carried`` are aggregates that keep a column's name
+    and may be applied to their own results, such as sums; they come along.
+    """
+    at = F.least(F.greatest(F.floor(F.col("score") * RANGES), F.lit(0)), F.lit(RANGES))
+    inside = W.partitionBy(*keys, "_range").orderBy("score").rowsBetween(W.unboundedPreceding, -1)
+    below = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+
+    def fewer(frame) -> Column:
+        return F.coalesce(F.sum("negatives").over(frame), F.lit(0)) * 2
+
+    def pairs(negatives: Column) -> Column:
+        return F.col("positives").cast("decimal(18,0)") * negatives.cast("decimal(19,0)")
+
+    sums = [F.sum(c).cast(kind).alias(c) for c, kind in (("positives", "bigint"), ("negatives", "bigint"), ("pairs", "decimal(38,0)"))]
+    ranked = scores.withColumn("_range", at).withColumn("pairs", pairs(fewer(inside) + F.col("negatives")))
+    ranges = ranked.groupBy(*keys, "_range").agg(*sums, *carried)
+    return ranges.withColumn("pairs", F.col("pairs") + pairs(fewer(below))).groupBy(*keys).agg(*sums, *carried)
+
+
+def ranking(
+    predictions: DataFrame,
+    truth: DataFrame,
+    targets: list[Target],
+    ctx: RunContext,
+    *,
+    run_id: str | None = None,
+    version: str | None = None,
+    since: date | None = None,
+    until: date | None = None,
+    threshold: str = DECISION,
+    by: list[Column] = (),
+) -> DataFrame:
+    """Log rows of the classifiers among the targets: AUC, and F1 at a strict threshold.
+
+    AUC is the share of (failed, sound) pairs in which the failed one scores higher, a tie
+    counting half, exact over all rows with a score and an outcome; NULL if there is no such
+    pair. F1 is 2 hits over flagged plus failed, NULL where nothing was flagged or failed. All
+    models are ranked together: rows shrink to one per score map-side, then ``rank_sums``.
+    Options, ``sample_size`` and ``n_scored`` are those of ``evaluate``; a version without
+    rows has none here.
+    """
+    models = [t for t in targets if t.task == "classification"]
+    joined = with_outcomes(_dated(predictions, since, until), truth, [t.label for t in models], run_id, version)
+    each = [
+        F.struct(
+            F.lit(t.model).alias("model_name"),
+            F.col(t.output).cast("double").alias("score"),
+            (F.col(t.output) > F.lit(threshold).cast(PROBABILITY)).alias("flagged"),
+            (F.col(f"true_{t.label}") == 1).alias("failed"),
+        )
+        for t in models
+    ]
+    rows = joined.select("model_version", "snapshot_date", F.explode(F.array(*each)).alias("_t"), *by)
+    groups = rows.columns[3:]
+    keys = ["model_name", "model_version", *groups]
+    rows = rows.select("model_version", "snapshot_date", *groups, "_t.*")
+    scored, failed, flagged = F.col("score").isNotNull(), F.col("failed"), F.col("flagged")
+    start, end = "evaluation_window_start", "evaluation_window_end"
+    scores = rows.groupBy(*keys, "score").agg(
+        F.count_if(scored & failed).alias("positives"),
+        F.count_if(scored & ~failed).alias("negatives"),
+        F.count_if(flagged & failed).alias("hits"),
+        (F.count_if(flagged) + F.count_if(failed)).alias("either"),
+        F.count(F.lit(1)).alias("sample_size"),
+        F.count("score").alias("n_scored"),
+        F.min("snapshot_date").alias(start),
+        F.max("snapshot_date").alias(end),
+    )
+    carried = [F.sum(c).alias(c) for c in ("hits", "either", "sample_size", "n_scored")] + [F.min(start).alias(start), F.max(end).alias(end)]
+    sums = rank_sums(scores, keys, carried)
+    both = F.col("positives").cast("double") * F.col("negatives").cast("double") * 2
+    auc = F.col("pairs").cast("double") / F.nullif(both, F.lit(0.0))
+    values = [
+        F.struct(F.lit("AUC").alias("metric_name"), exact_round(auc, 4).cast(METRIC).alias("metric_value")),
+        F.struct(F.lit("F1").alias("metric_name"), ratio(F.col("hits") * 2, F.col("either"), 4).cast(METRIC).alias("metric_value")),
+    ]
+    return _log_rows(sums.select(*keys, start, end, "sample_size", "n_scored", F.inline(F.array(*values))), groups, ctx)
+
+
 def evaluate_regression(
     predictions: DataFrame,
     truth: DataFrame,

@@ -272,6 +272,19 @@ def registry_rows(spark: SparkSession, specs: list[ModelSpec], training_rows: in
     )
 
 
+def with_metrics(registry: DataFrame, metrics: DataFrame) -> DataFrame:
+    """The registry with ``performance_metrics`` from an evaluation's log rows, as JSON by metric name.
+
+    A row of predictions carries the version of the regression, so the metrics of a model
+    belong to its active version. Models and versions that were not evaluated keep what they had.
+    """
+    entries = F.array_sort(F.collect_list(F.struct("metric_name", "metric_value")))  # a few metrics a model
+    newest = metrics.groupBy("model_name").agg(F.to_json(F.map_from_entries(entries)).alias("_metrics"))
+    noted = registry.join(F.broadcast(newest), "model_name", "left")
+    fresh = F.when(F.col("is_active"), F.col("_metrics"))
+    return noted.withColumn("performance_metrics", F.coalesce(fresh, "performance_metrics")).select(*registry.columns)
+
+
 def register(registry: DataFrame | None, cards: DataFrame) -> DataFrame:
     """Cards to append: a model version already registered is left alone."""
     if registry is None:

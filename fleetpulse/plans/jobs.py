@@ -95,7 +95,7 @@ def export_risk(spark: SparkSession, layout: Layout, ctx: RunContext, path: str,
 
 
 def run_weekly(spark: SparkSession, layout: Layout, ctx: RunContext, limits=tuple(monitor.LIMITS)) -> DataFrame:
-    """Evaluate the newest scoring run of all three models, log the metrics, raise alerts."""
+    """Evaluate the newest scoring run of all three models, log the metrics, note them in the registry, raise alerts."""
     # The newest run is among the newest day's, which prunes all other days.
     log = spark.read.parquet(layout.path("predictions"))
     day = log.agg(F.max("run_day")).first()[0]
@@ -104,9 +104,13 @@ def run_weekly(spark: SparkSession, layout: Layout, ctx: RunContext, limits=tupl
     first, last = newest.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
     truth = features.read_features(spark, layout.root).dated(first, last)
     models = [spec.target for spec in scoring.MODELS]
-    metrics = stage(evaluate.evaluate(newest, truth, models, ctx), "metrics")
+    metrics = evaluate.evaluate(newest, truth, models, ctx).unionByName(evaluate.ranking(newest, truth, models, ctx))
+    metrics = stage(metrics, "metrics")
     extract.write_log(metrics, layout.path("performance_log"), ctx)
     extract.write_log(monitor.alerts_from_metrics(metrics, ctx, list(limits)), layout.path("alerts/metrics"), ctx)
+    registry = months.read_version(spark, layout.path("model_registry"))
+    if registry is not None:
+        months.write_version(stage(scoring.with_metrics(registry, metrics), "registry"), layout.path("model_registry"))
     return metrics
 
 

@@ -458,6 +458,44 @@ oracle(
 oracle("eval_rul", LOG.format(metric_rows(), RUL))
 oracle("eval_classifier_30", LOG.format(metric_rows(), P30))
 oracle("eval_classifier_90", LOG.format(metric_rows(), P90))
+
+
+def _ranked(source: str, by: str, prob: str, label: str) -> str:
+    """AUC from mid-ranks (the sum of the positives' ranks), F1 from counts."""
+    f1 = rounded(f"cast(2 * sum(case when {prob} > 0.5 and {label} = 1 then 1 else 0 end) as double) "
+                 f"/ nullif(sum(case when {prob} > 0.5 then 1 else 0 end) + sum(case when {label} = 1 then 1 else 0 end), 0)", 4)
+    both = f"{prob} is not null and {label} is not null"
+    pos, neg = (f"count(case when {label} = {v} and {prob} is not null then 1 end)" for v in (1, 0))
+    auc = rounded(f"(2 * sum(case when {label} = 1 then mid end) - cast({pos} as double) * ({pos} + 1)) "
+                  f"/ nullif(2.0::double * {pos} * {neg}, 0)", 4)
+    return f"""select {by}, {auc} as auc, {f1} as f1, count(*) as sample_size, count({prob}) as n_scored, min(snapshot_date) as lo,
+      max(snapshot_date) as hi from (select *, case when {both} then (rank() over (partition by {by}, {both} order by {prob})
+      + rank() over (partition by {by}, {both} order by {prob}) + count(*) over (partition by {by}, {both}, {prob}) - 1) / 2.0::double end as mid
+      from {source}) group by {by}"""
+
+
+oracle(
+    "eval_ranking",
+    " union all ".join(
+        f"""select '{model}' as model_name, model_version, '{name}' as metric_name, cast({value} as double) as metric_value, sample_size, n_scored,
+          strftime(lo, '%Y-%m-%d') as evaluation_window_start, strftime(hi, '%Y-%m-%d') as evaluation_window_end from {ranked}"""
+        for model, ranked in ((P30, "r30"), (P90, "r90")) for name, value in (("AUC", "auc"), ("F1", "f1"))
+    ),
+    r30=_ranked("scored", "model_version", "predicted_failure_prob_30d", "y30"),
+    r90=_ranked("scored", "model_version", "predicted_failure_prob_90d", "y90"),
+)
+oracle(
+    "eval_ranking_yearly",
+    " union all ".join(
+        f"""select model_version, strftime(year, '%Y-%m-%d') as year, '{name}' as metric_name, cast({value} as double) as metric_value, sample_size
+          from yearly"""
+        for name, value in (("AUC", "auc"), ("F1", "f1"))
+    ),
+    all_runs="""select p.*, f.failure_within_30_days as y30, date_trunc('year', p.snapshot_date) as year from pred p
+      join feat f on f.record_id = p.record_id and f.snapshot_date = p.snapshot_date""",
+    yearly=_ranked("all_runs", "model_version, year", "predicted_failure_prob_30d", "y30"),
+)
+oracle("registry_metrics", f"select model_name, metric_name, cast(metric_value as double) as metric_value from ({metric_rows()})")
 oracle(
     "threshold_sweep",
     f"""select cast(threshold as double) as threshold,

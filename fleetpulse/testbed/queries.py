@@ -455,6 +455,29 @@ def eval_classifier_90(b: Bed) -> DataFrame:
     return _classifier(b, scoring.FAILURE_90D).select(*LOG)
 
 
+@query
+def eval_ranking(b: Bed) -> DataFrame:
+    models = [spec.target for spec in scoring.MODELS]
+    return evaluate.ranking(b.predictions, b.features, models, b.ctx, run_id="r2").select(*LOG)
+
+
+@query
+def eval_ranking_yearly(b: Bed) -> DataFrame:
+    # Every version and year is ranked on its own.
+    year = [F.trunc("snapshot_date", "YEAR").alias("year")]
+    log = evaluate.ranking(b.predictions, b.features, [scoring.FAILURE_30D.target], b.ctx, by=year)
+    return log.select("model_version", "year", "metric_name", "metric_value", "sample_size")
+
+
+@query
+def registry_metrics(b: Bed) -> DataFrame:
+    models = [spec.target for spec in scoring.MODELS]
+    metrics = stage(evaluate.evaluate(b.predictions, b.features, models, b.ctx, run_id="r2"), "metrics")
+    cards = scoring.registry_rows(b.spark, scoring.MODELS, 0, "features_v1", b.ctx)
+    noted = scoring.with_metrics(cards, metrics)
+    return noted.select("model_name", F.explode(F.from_json("performance_metrics", "map<string, double>")).alias("metric_name", "metric_value"))
+
+
 @query
 def threshold_sweep(b: Bed) -> DataFrame:
     return evaluate.threshold_sweep(

@@ -87,6 +87,50 @@ def test_sweep_agrees_with_single_evaluations(scored, ctx):
     assert "Cartesian" not in sweep._jdf.queryExecution().executedPlan().toString()
 
 
+def brute_auc(pairs):
+    """Over all (failed, sound) pairs, a tie counting half."""
+    failed, sound = [p for p, y in pairs if y == 1], [p for p, y in pairs if y == 0]
+    good = sum((a > b) + (a == b) / 2 for a in failed for b in sound)
+    return round(good / (len(failed) * len(sound)), 4)
+
+
+def ranked(spark, ctx, pairs, **options):
+    """Log values of rows given as (probability, outcome), all in one run."""
+    predictions = spark.createDataFrame([(i, DAY, "r", "v1", 0.0, p) for i, (p, _) in enumerate(pairs)], PRED)
+    truth = spark.createDataFrame([(i, DAY, 0.0, y) for i, (_, y) in enumerate(pairs)], TRUTH)
+    target = [evaluate.Target("c", "classification", "p", "y"), evaluate.Target("m", "regression", "predicted_rul_days", "remaining_useful_life_days")]
+    return metrics(evaluate.ranking(predictions, truth, target, ctx, **options))
+
+
+def test_auc_equals_all_pairs_with_ties(spark, ctx):
+    pairs = [(((i * 7919) % 41) / 40, int((i * 31) % 7 < 2)) for i in range(200)]
+    assert ranked(spark, ctx, pairs)["AUC"] == (brute_auc(pairs), 200, 200)
+    # Scores that differ in their last digits only share a range.
+    close = [(0.5 + ((i * 7919) % 97) * 1e-9, int((i * 13) % 5 < 2)) for i in range(150)]
+    assert ranked(spark, ctx, close)["AUC"] == (brute_auc(close), 150, 150)
+
+
+def test_auc_limits(spark, ctx):
+    assert ranked(spark, ctx, [(0.9, 1), (1.0, 1), (0.0, 0), (0.1, 0)])["AUC"][0] == 1.0
+    assert ranked(spark, ctx, [(0.1, 1), (0.9, 0)])["AUC"][0] == 0.0
+    assert ranked(spark, ctx, [(0.3, 1), (0.3, 0), (0.3, 0)])["AUC"][0] == 0.5
+    assert ranked(spark, ctx, [(0.3, 1), (0.4, 1)])["AUC"][0] is None
+
+
+def test_ranking_without_a_score_or_an_outcome(spark, ctx):
+    got = ranked(spark, ctx, [(0.9, 1), (0.2, 0), (None, 1), (0.7, None), (0.1, 0)])
+    assert got["AUC"] == (1.0, 5, 4)
+    # One hit; two flagged and two failed.
+    assert got["F1"] == (0.5, 5, 4)
+    assert ranked(spark, ctx, [(0.1, 0)])["F1"][0] is None
+    assert ranked(spark, ctx, [(0.9, 1)], run_id="none") == {}
+
+
+def test_rank_sums_beyond_64_bits(spark):
+    scores = spark.createDataFrame([("g", 0.2, 0, 10**11), ("g", 0.9, 10**11, 0)], "g string, score double, positives bigint, negatives bigint")
+    assert int(evaluate.rank_sums(scores, ["g"]).first().pairs) == 2 * 10**22
+
+
 def test_trend(spark, ctx):
     log = spark.createDataFrame(
         [("m", "MAE", Decimal(v), ctx.as_of - timedelta(days=d)) for v, d in (("1.0", 1), ("2.0", 2), ("9.0", 90))],

@@ -68,7 +68,11 @@ def test_models_beat_a_constant_guess(trained, spark):
     assert metrics[scoring.RUL.name, "MAE"] < 100  # the mean would be off by about 118
     assert metrics[scoring.FAILURE_90D.name, "Recall"] > 0.9
     assert metrics[scoring.FAILURE_90D.name, "Precision"] > 0.9
-    assert spark.read.parquet(layout.path("performance_log")).count() == 6
+    assert metrics[scoring.FAILURE_90D.name, "AUC"] > 0.9 and metrics[scoring.FAILURE_90D.name, "F1"] > 0.9
+    assert spark.read.parquet(layout.path("performance_log")).count() == 10
+    noted = months.read_version(spark, layout.path("model_registry")).filter("is_active")
+    kept = {r.model_name: json.loads(r.performance_metrics) for r in noted.collect()}
+    assert {(m, name): value for m, each in kept.items() for name, value in each.items()} == metrics
     assert jobs.retraining_signal(spark, layout, ctx).columns == ["entity", "entity_kind", "reason"]
 
 
