@@ -252,3 +252,48 @@ def test_features_and_drift_from_daily_sums_equal_those_from_rows(rows, layout,
         kept = monitor.drift_of_days(load.days_of(spark, layout, "feature_days"), SECOND, until=until)
         scanned = monitor.drift(built if until is None else built.filter(F.col("snapshot_date") <= F.lit(until)), SECOND)
         assert values(kept) == values(scanned)
+
+
+class Broken(RuntimeError):
+    pass
+
+
+def audit_of(spark, layout):
+    return values(extract.read_log(spark, layout.path("audit_log")))
+
+
+@pytest.mark.parametrize("step", ["write_log", "write_months"])
+def test_load_broken_off_and_repeated_gives_the_audit_of_an_unbroken_one(rows, spark, tmp_path, monkeypatch, step):
+    first = rows({"record_id": 1}, {"record_id": 2, "snapshot_date": date(2024, 5, 1)})
+    again = rows({"record_id": 1, "cumulative_flight_hours": 999}, {"record_id": 8}, {"record_id": 9, "snapshot_date": date(2024, 5, 2)})
+    unbroken, broken = (load.Layout(str(tmp_path / name), date(2024, 1, 1), date(2025, 1, 1)) for name in ("whole", "broken"))
+    for layout in (unbroken, broken):
+        load.promote(first, layout, FIRST)
+    load.promote(again, unbroken, SECOND)
+    write_months = months.write_months
+
+    def stop(*args, **options):
+        if step == "write_months":
+            # One of the months is in place, the other is not.
+            write_months(args[0].filter(F.col(months.PARTITION) == "2024_06"), *args[1:], **options)
+        raise Broken
+
+    with monkeypatch.context() as patch:
+        patch.setattr(months if step == "write_months" else extract, step, stop)
+        with pytest.raises(Broken):
+            load.promote(again, broken, SECOND)
+    # Repeated, and once more after it is done.
+    for _ in range(2):
+        load.promote(again, broken, SECOND)
+        assert audit_of(spark, broken) == audit_of(spark, unbroken)
+        assert counts(extract.read_log(spark, broken.path("audit_log")).groupBy("operation").count()) == {"INSERT": 4, "UPDATE": 1}
+    fact = [values(months.read_months(spark, layout.path("fact"))) for layout in (broken, unbroken)]
+    assert fact[0] == fact[1]
+
+
+def test_repeat_with_further_rows_adds_them_to_the_ledger(rows, layout, spark):
+    load.promote(rows({"record_id": 1}), layout, FIRST)
+    load.promote(rows({"record_id": 1}, {"record_id": 2}), layout, FIRST)
+    assert values(extract.read_log(spark, layout.path("audit_log")), "operation", "row_pk") == [("INSERT", "1"), ("INSERT", "2")]
+    load.promote(rows({"record_id": 1}, {"record_id": 2}), layout, SECOND)
+    assert counts(extract.read_log(spark, layout.path("audit_log")).groupBy("operation").count()) == {"INSERT": 2, "UPDATE": 2}
