@@ -21,6 +21,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]")
 WORD = re.compile(r"\S+")
+# What only base entities and identifiers hold: a word without one of these is neither.
+CANDIDATE = re.compile(r"[0-9@]")
 
 CONTEXT = 2  # words before an entity that make its pattern
 MIN_SEEDS = 3  # different seeds that a pattern must precede
@@ -69,149 +71,171 @@ def _known(word: re.Match, starts: dict[int, int]) -> tuple[int, int] | None:
     return next(((at, starts[at]) for at in range(word.start(), bare + 1) if at in starts), None)
 
 
-def seed_contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str]]:
-    """(pattern, entity) of each base span that has ``CONTEXT`` words before it and starts a word, after punctuation or not."""
-    if not spans:
-        return []
-    out, starts, before = [], {}, []
-    for kind, start, end in spans:
-        starts.setdefault(start, end)
-    for m in WORD.finditer(text):
-        known = _known(m, starts)
-        if known and len(before) >= CONTEXT:
-            out.append((" ".join(before[-CONTEXT:]), _entity(text, *known)))
-        before.append(m[0].lower())
-        del before[:-CONTEXT]
-    return out
+def _context(text: str, start: int) -> str | None:
+    """The ``CONTEXT`` words before a place, lower-cased; None if there are fewer."""
+    width = 64
+    while True:
+        low = max(0, start - width)
+        words = text[low:start].rsplit(None, CONTEXT)
+        # A piece more than asked for shows that the last ones are whole.
+        if len(words) > CONTEXT or low == 0:
+            return " ".join(words[-CONTEXT:]).lower() if len(words) >= CONTEXT else None
+        width *= 4
 
 
-def extractions(text: str, spans: list[tuple[int, int, int]], patterns: set[tuple[str, ...]]) -> list[tuple[str, str, bool, int, int]]:
-    """(pattern, entity, is_seed, start, end) of what follows a pattern and looks like an identifier."""
+def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str, bool, int, int]]:
+    """(pattern, entity, is_seed, start, end) of every word after ``CONTEXT`` words that is a base entity or looks like an identifier."""
     starts = {start: end for _, start, end in reversed(spans)}
     taken = sorted((start, end) for _, start, end in spans)
-    out, before, at = [], [], 0
-    for m in WORD.finditer(text):
-        if len(before) == CONTEXT and tuple(before) in patterns:
-            known = _known(m, starts)
-            if known:
-                out.append((" ".join(before), _entity(text, *known), True, *known))
-            else:
-                word = m[0].strip(TRIM)
-                if len(word) >= LEAST and DIGIT.search(word):
-                    start = m.start() + m[0].index(word)
-                    while at < len(taken) and taken[at][1] <= start:
-                        at += 1
-                    if at == len(taken) or taken[at][0] >= start + len(word):
-                        out.append((" ".join(before), word.lower(), False, start, start + len(word)))
-        before.append(m[0].lower())
-        del before[:-CONTEXT]
+    out, done, at = [], 0, 0
+    for hit in CANDIDATE.finditer(text):
+        if hit.start() < done:
+            continue
+        start = hit.start()
+        while start > done and not text[start - 1].isspace():
+            start -= 1
+        m = WORD.match(text, start)
+        done = m.end()
+        known = _known(m, starts)
+        if known is None:
+            word = m[0].strip(TRIM)
+            if len(word) < LEAST or not DIGIT.search(word):
+                continue
+            first = start + m[0].index(word)
+            while at < len(taken) and taken[at][1] <= first:
+                at += 1
+            if at < len(taken) and taken[at][0] < first + len(word):
+                continue
+        pattern = _context(text, start)
+        if pattern is not None:
+            place = known or (first, first + len(word))
+            out.append((pattern, _entity(text, *place), known is not None, *place))
     return out
 
 
-def _rows(batch: pd.DataFrame) -> Iterator[tuple[str, list[tuple[int, int, int]]]]:
-    for text, flat in zip(batch["text"], batch["base"]):
-        flat = [] if flat is None else [int(v) for v in flat]
-        yield text, list(zip(flat[::3], flat[1::3], flat[2::3]))
-
-
-def induce(found: DataFrame) -> DataFrame:
-    """Stored (pattern, seeds): contexts that precede at least ``MIN_SEEDS`` different base entities."""
-
-    @F.pandas_udf("array<struct<pattern: string, entity: string>>")
-    def contexts(texts: pd.Series, bases: pd.Series) -> pd.Series:
-        return pd.Series([seed_contexts(t, s) for t, s in _rows(pd.DataFrame({"text": texts, "base": bases}))], dtype=object)
-
-    edges = found.filter(F.size("base") > 0).select(F.explode(contexts("text", "base")).alias("e")).select("e.*").distinct()
-    return stage(edges.groupBy("pattern").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= MIN_SEEDS), "pii_patterns")
+def _reachable(edges: DataFrame) -> DataFrame | None:
+    """Stored patterns that bootstrapping could reach if it believed every instance; None if there are none.
 
-
-def _extracted(found: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Stored rows of two kinds: extractions (row, pattern, entity, seed, start, end), and how often each pattern occurs (row null).
-
-    Patterns are handed out in blocks of bounded size, each looked for in every text.
+    Only these are counted in the texts.
     """
-    schema = "row long, pattern string, entity string, seed boolean, start int, end int, times long"
-    total = patterns.agg(F.sum(F.octet_length("pattern") + 60)).first()[0] or 0
-    blocks, out = max(1, -(-2 * total // BLOCK_BYTES)), None
+    patterns, known = None, 0
+    entities = edges.filter("seed").select("entity").distinct()
+    while True:
+        found = edges.join(entities, "entity", "left_semi").groupBy("pattern").agg(F.count("*").alias("instances"))
+        found = cut(found.filter(F.col("instances") >= MIN_SEEDS).select("pattern"))
+        count = found.count()
+        if count == known:
+            return patterns
+        patterns, known = found, count
+        entities = edges.filter("seed").select("entity").union(edges.join(found, "pattern", "left_semi").select("entity")).distinct()
+
+
+def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Stored (pattern, total): how often each pattern occurs in all texts with a word after it.
+
+    Patterns are handed out in blocks of bounded size, each counted in one pass over the texts.
+    """
+    schema = "pattern string, times long"
+    size = patterns.agg(F.sum(F.octet_length("pattern") + 60)).first()[0] or 0
+    blocks, out = max(1, -(-2 * size // BLOCK_BYTES)), None
     for block in range(blocks):
         some = patterns.filter(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == block).select("pattern").collect()
-        shared = found.sparkSession.sparkContext.broadcast(frozenset(tuple(r.pattern.split(" ")) for r in some))
+        shared = texts.sparkSession.sparkContext.broadcast(frozenset(tuple(r.pattern.split(" ")) for r in some))
 
-        def look(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+        def count(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             wanted, often = shared.value, Counter()
-            columns = ["row", "pattern", "entity", "seed", "start", "end", "times"]
             for batch in batches:
-                rows = []
-                for row, (text, spans) in zip(batch["row"], _rows(batch)):
+                for text in batch["text"]:
                     words = text.lower().split()
-                    here = [p for p in zip(*(words[i:] for i in range(CONTEXT))) if p in wanted]
-                    # The last words of a text have nothing after them.
-                    if here and tuple(words[-CONTEXT:]) in wanted:
-                        here.pop()
-                    often.update(here)
-                    if here and (spans or DIGIT.search(text)):
-                        rows += [(int(row), *e, 1) for e in extractions(text, spans, wanted)]
-                if rows:
-                    yield pd.DataFrame(rows, columns=columns)
+                    # The last word of a text has nothing after it.
+                    often.update(p for p in zip(*(words[i:-1] for i in range(CONTEXT))) if p in wanted)
             if often:
-                yield pd.DataFrame([(None, " ".join(p), None, None, None, None, n) for p, n in often.items()], columns=columns, dtype=object)
+                yield pd.DataFrame([(" ".join(p), n) for p, n in often.items()], columns=["pattern", "times"])
 
-        if some:
-            part = found.select("row", "text", "base").mapInPandas(look, schema)
-            out = part if out is None else out.unionByName(part)
-    return stage(out if out is not None else found.sparkSession.createDataFrame([], schema), "pii_extractions")
+        part = texts.mapInPandas(count, schema)
+        out = part if out is None else out.unionByName(part)
+    return stage(out.groupBy("pattern").agg(F.sum("times").alias("total")), "pii_totals")
 
 
-def confident_patterns(extracted: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(pattern, confidence), scored on the graph of patterns and the instances that follow them.
+def bootstrap(edges: DataFrame, totals: DataFrame, confident: float = CONFIDENT, rounds: int = ROUNDS) -> DataFrame:
+    """(pattern, confidence) of all induced patterns, scored on the graph of patterns and the instances that follow them.
 
-    An instance that is a base entity scores 1. A pattern's confidence is the score of what
-    follows it, over all of its occurrences, entity or not. Any other instance scores 1 minus
-    the product of its patterns' doubts. Pattern and instance scores are computed in turns.
+    ``edges`` holds (pattern, entity, seed, n). Base entities score 1, all others 0 at first. In
+    each round, instances that score at least ``confident`` induce the patterns that precede
+    ``MIN_SEEDS`` different ones of them. A pattern's confidence is the score of what follows
+    it, over all of its occurrences, entity or not; an instance's score is 1 minus the product of
+    the doubts of its induced patterns. So identifiers that were discovered induce patterns in
+    their turn. Scores and the set of patterns only grow; it ends after ``rounds`` rounds
+    without a new pattern.
     """
-    totals = extracted.filter("row is null").groupBy("pattern").agg(F.sum("times").alias("total"))
-    edges = stage(
-        extracted.filter("row is not null").groupBy("pattern", "entity").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "pii_edges"
-    )
-    entities = edges.groupBy("entity").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    confidence = None
-    for _ in range(rounds):
-        scored = edges.join(entities, "entity").groupBy("pattern").agg(F.sum(F.col("score") * F.col("n")).alias("good"))
-        confidence = cut(scored.join(totals, "pattern").select("pattern", F.least(F.lit(1.0), F.col("good") / F.col("total")).alias("confidence")))
-        doubt = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence"))))
-        entities = cut(edges.join(confidence, "pattern").groupBy("entity").agg(
+    weighed = stage(edges.join(totals, "pattern"), "pii_weighed")
+    entities = cut(weighed.groupBy("entity").agg(F.max(F.col("seed").cast("double")).alias("score")))
+    induced, known, quiet = None, 0, 0
+    while True:
+        scored = weighed.join(entities, "entity")
+        found = scored.groupBy("pattern").agg(
+            F.count_if(F.col("score") >= confident).alias("believed"),
+            F.least(F.lit(1.0), F.sum(F.col("score") * F.col("n")) / F.first("total")).alias("confidence"),
+        )
+        before = found.withColumn("_was", F.lit(False)) if induced is None else found.join(
+            induced.select("pattern", F.lit(True).alias("_was")), "pattern", "left"
+        )
+        induced = cut(before.filter((F.col("believed") >= MIN_SEEDS) | F.coalesce("_was", F.lit(False))).select("pattern", "confidence"))
+        count = induced.count()
+        quiet, known = (quiet + 1 if count == known else 0), count
+        if quiet >= rounds or not count:
+            return induced
+        doubt = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.coalesce("confidence", F.lit(0.0)))))
+        entities = cut(weighed.join(induced, "pattern", "left").groupBy("entity").agg(
             F.when(F.max("seed"), F.lit(1.0)).otherwise(1 - F.exp(doubt)).alias("score")
         ))
-    return confidence
 
 
 def find_personal_data(
     docs: DataFrame, *, text: str = "text", carry: list[str] | None = None, confident: float = CONFIDENT
 ) -> DataFrame:
-    """Base spans of every text, and spans of identifiers found by confident contexts.
-
-    The words before base entities become patterns; patterns are looked for in all texts
-    and scored by how often a known or believed entity follows; what looks like an
-    identifier after a pattern of at least ``confident`` is a span of kind ``id``. Returns
-    the input row (or the columns in ``carry``) as ``doc`` with ``base`` and ``more``, flat
-    arrays of kind, start and end in code points, by kind, then start.
-
-    A null or empty text has no spans; equal rows each have theirs; no rows give no rows.
+    """Base spans of every text, and spans of identifiers found by bootstrapped contexts.
+
+    The words before base entities become patterns; patterns are scored by how often a known
+    or believed entity follows; identifiers that they make believed become seeds of further
+    patterns, see ``bootstrap``. What looks like an identifier after a pattern of at least
+    ``confident`` is a span of kind ``id``. Returns the input row (or the columns in
+    ``carry``) as ``doc`` with ``base`` and ``more``, flat arrays of kind, start and end in
+    code points, by kind, then start.
+
+    The carried columns are stored once with the spans and the candidates; texts are read
+    once more for the counts of patterns, if there are any to count. A null or empty text
+    has no spans; equal rows each have theirs; no rows give no rows.
     """
 
-    @F.pandas_udf("array<int>")
-    def base(texts: pd.Series) -> pd.Series:
-        return pd.Series([[v for s in base_spans(t) for v in s] for t in texts], dtype=object)
+    @F.pandas_udf("struct<base: array<int>, found: array<struct<pattern: string, entity: string, seed: boolean, start: int, end: int>>>")
+    def read(texts: pd.Series) -> pd.DataFrame:
+        spans = [base_spans(t) for t in texts]
+        return pd.DataFrame({
+            "base": pd.Series([[v for s in each for v in s] for each in spans], dtype=object),
+            "found": pd.Series([candidates(t, each) for t, each in zip(texts, spans)], dtype=object),
+        })
 
-    # Texts are not stored again: a row is known by what its text hashes to, which equal texts share.
     body = text_or_empty(text)
-    found = small_batches(docs).select(packed_columns(docs, carry), body.alias("text"), F.xxhash64(body).alias("row"), base(body).alias("base"))
-    extracted = _extracted(found, induce(found))
-    good = confident_patterns(extracted).filter(F.col("confidence") >= confident)
-    hits = extracted.filter("row is not null and not seed").join(good.hint("merge"), "pattern").select("row", "start", "end").distinct()
+    read_once = small_batches(docs).select(packed_columns(docs, carry), read(body).alias("_r"), F.monotonically_increasing_id().alias("row"))
+    # Row numbers hold once they are stored.
+    rows = stage(read_once.select("row", "doc", "_r.base", "_r.found"), "pii_rows")
+    none = F.expr("cast(array() as array<int>)")
+    seen = rows.select("row", F.explode("found").alias("e")).select("row", "e.*")
+    edges = stage(seen.groupBy("pattern", "entity").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "pii_edges")
+    edges = edges.join(edges.filter("seed").select("entity", F.lit(True).alias("_known")).distinct(), "entity", "left").select(
+        "pattern", "entity", F.coalesce("_known", F.lit(False)).alias("seed"), "n"
+    )
+    patterns = _reachable(edges)
+    good = None
+    if patterns is not None:
+        good = bootstrap(edges, _totals(docs.select(body.alias("text")), patterns), confident).filter(F.col("confidence") >= confident)
+    if good is None or good.isEmpty():
+        return rows.select("doc", "base", none.alias("more"))
+    hits = seen.filter("not seed").join(good.hint("merge"), "pattern").select("row", "start", "end")
     more = stage(hits.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans")), "pii_more")
-    flat = F.flatten(F.transform(F.coalesce("spans", F.expr("array()")), lambda s: F.array(F.lit(len(KINDS) - 1), s["start"], s["end"])))
-    return found.drop("text").join(more.hint("merge"), "row", "left").select("doc", "base", flat.alias("more"))
+    flat = F.flatten(F.transform("spans", lambda s: F.array(F.lit(len(KINDS) - 1), s["start"], s["end"])))
+    return rows.drop("found").join(more.hint("merge"), "row", "left").select("doc", "base", F.coalesce(flat, none).alias("more"))
 
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

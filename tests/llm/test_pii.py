@@ -52,6 +52,47 @@ def test_contexts_of_known_entities_find_unknown_identifiers(documents):
     }
 
 
+def more_of(rows):
+    found = {}
+    for r in rows.collect():
+        assert triples(r.base) == brute(r.doc.text)
+        found[r.doc.doc_id] = [r.doc.text[a:b] for _, a, b in triples(r.more)]
+    return {i: f for i, f in found.items() if f}
+
+
+def test_discovered_identifiers_induce_further_patterns(documents):
+    known = [(i, f"prose here. Contact person: user{i}@mail.example.com and more") for i in range(12)]
+    first = [(100 + i, f"other words. Contact person: ZX-{i}4711, and more") for i in range(8)]
+    again = [(200 + i, f"the gate wants badge no ZX-{i}4711 today") for i in range(8)]
+    second = [(300 + i, f"the gate wants badge no QQ{i}8822 today") for i in range(4)]
+    third = [(400 + i, f"signed by holder of: {code} at noon") for i, code in enumerate(["QQ08822", "QQ18822", "QQ28822", "QQ38822", "RR77001"])]
+    # Believed instances alone do not make a pattern that mostly precedes other words.
+    loose = [(500 + i, f"it is {'ZX-%d4711' % i if i < 4 else 'nothing'} it is 55555{i}") for i in range(12)]
+    want = {100 + i: [f"ZX-{i}4711"] for i in range(8)} | {200 + i: [f"ZX-{i}4711"] for i in range(8)}
+    want |= {300 + i: [f"QQ{i}8822"] for i in range(4)} | {400 + i: [f"QQ{i}8822"] for i in range(4)} | {404: ["RR77001"]}
+    assert more_of(op.find_personal_data(documents(*known, *first, *again, *second, *third, *loose))) == want
+    # Without the e-mails nothing is known, so nothing is found.
+    assert more_of(op.find_personal_data(documents(*first, *again, *second, *third))) == {}
+
+
+def test_candidates_equal_a_walk_over_all_words():
+    rng = random.Random(11)
+    parts = ["of", "the", "a1234", "(Ab-9912),", "user@mail.com", "<u@x.com>", "+1 555 010 9912", "\u00e9t\u00e9", "x" * 300, "12", "@", "\n", "\x1f", "10.0.0.1"]
+    for _ in range(400):
+        text = "".join(rng.choice(parts) + rng.choice([" ", "  ", "", "\t"]) for _ in range(rng.randrange(25)))
+        spans, want, before = op.base_spans(text), [], []
+        starts = {start: end for _, start, end in reversed(spans)}
+        for m in re.finditer(r"\S+", text):
+            known, word = op._known(m, starts), m[0].strip(op.TRIM)
+            at = m.start() + m[0].index(word) if word else 0
+            free = all(e <= at or s >= at + len(word) for _, s, e in spans)
+            if len(before) >= 2 and (known or (len(word) >= 5 and re.search("[0-9]", word) and free)):
+                place = known or (at, at + len(word))
+                want.append((" ".join(before[-2:]), text[place[0]:place[1]].lower(), known is not None, *place))
+            before.append(m[0].lower())
+        assert op.candidates(text, spans) == want, text
+
+
 def test_patterns_in_blocks_give_the_same(documents, monkeypatch):
     rows = [(i, f"words id{i % 3} number: user{i}@x.example.org words id{i % 3} number: QQ{i}99") for i in range(30)]
     want = sorted(str(r) for r in op.find_personal_data(documents(*rows)).collect())
@@ -75,4 +116,4 @@ def test_entities_behind_punctuation_are_seeds(documents):
         assert triples(r.base) == brute(r.doc.text)
         found[r.doc.doc_id] = [r.doc.text[a:b] for _, a, b in triples(r.more)]
     assert {i: f for i, f in found.items() if f} == {200 + i: [f"ZX-{i}4711"] for i in range(4)}
-    assert op.seed_contexts("to me: ((", []) == [] and op._known(op.WORD.match("((("), {3: 9}) == (3, 9)
+    assert op.candidates("to me: ((", []) == [] and op._known(op.WORD.match("((("), {3: 9}) == (3, 9)
