@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,10 @@ EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+# The same matches in time linear in the text: a run of characters is entered at its start only.
+EMAIL_TAIL = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+IP_RUN = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 DIGIT = re.compile(r"[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]")
 WORD = re.compile(r"\S+")
@@ -29,8 +34,8 @@ MIN_SEEDS = 3  # different seeds that a pattern must precede
 ROUNDS = 3
 CONFIDENT = 0.5
 LEAST = 5  # characters of an unseen identifier, one of them a digit
-# Patterns are sent to the tasks in blocks of at most about this many bytes.
-BLOCK_BYTES = 4 << 20
+BITMAP_BITS = 1 << 25  # 4 MB in each task, whatever the number of patterns
+HELD = 100_000  # patterns that a task counts before it hands them on
 TRIM = ",.;:!?()[]{}<>\"'"
 
 
@@ -43,14 +48,25 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    done = 0
+    for tail in EMAIL_TAIL.finditer(text):
+        start = tail.start()
+        while start > done and text[start - 1] in LOCAL:
+            start -= 1
+        if start < tail.start():
+            done = tail.end()
+            yield start, done
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of the four base kinds by kind, then start; matches that fail a test are dropped, not tried again."""
     spans = []
     if "@" in text:
-        spans += [(0, *m.span()) for m in EMAIL.finditer(text)]
+        spans += [(0, *span) for span in _emails(text)]
     if DIGIT.search(text):
         if "." in text:
-            spans += [(1, *m.span()) for m in IP.finditer(text) if all(len(p := part.lstrip("0")) < 4 and int(p or 0) < 256 for part in m[0].split("."))]
+            spans += [(1, *m.span()) for m in IP_RUN.finditer(text) if all(len(p := part.lstrip("0")) < 4 and int(p or 0) < 256 for part in m[0].split("."))]
         for m in CARD.finditer(text):
             if m.end() - m.start() >= 16:
                 digits = NOT_DIGIT.sub("", m[0])
@@ -130,31 +146,46 @@ def _reachable(edges: DataFrame) -> DataFrame | None:
         entities = edges.filter("seed").select("entity").union(edges.join(found, "pattern", "left_semi").select("entity")).distinct()
 
 
+def _buckets(patterns: DataFrame) -> bytes:
+    """Bitmap of the checksums, modulo ``BITMAP_BITS``, that patterns have: of one size however many there are."""
+    place = F.crc32(F.encode("pattern", "UTF-8")) % BITMAP_BITS + 1
+    parts = patterns.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    bitmap = bytearray(BITMAP_BITS // 8)
+    for part in parts.collect():
+        low = (part.part - 1) * len(part.bits)
+        bitmap[low : low + len(part.bits)] = part.bits
+    return bytes(bitmap)
+
+
 def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """Stored (pattern, total): how often each pattern occurs in all texts with a word after it.
 
-    Patterns are handed out in blocks of bounded size, each counted in one pass over the texts.
+    One pass over the texts, whatever the number of patterns: tasks hold a bitmap of their
+    checksums and count the words that pass it; a join with the patterns drops the others.
     """
-    schema = "pattern string, times long"
-    size = patterns.agg(F.sum(F.octet_length("pattern") + 60)).first()[0] or 0
-    blocks, out = max(1, -(-2 * size // BLOCK_BYTES)), None
-    for block in range(blocks):
-        some = patterns.filter(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == block).select("pattern").collect()
-        shared = texts.sparkSession.sparkContext.broadcast(frozenset(tuple(r.pattern.split(" ")) for r in some))
-
-        def count(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            wanted, often = shared.value, Counter()
-            for batch in batches:
-                for text in batch["text"]:
-                    words = text.lower().split()
-                    # The last word of a text has nothing after it.
-                    often.update(p for p in zip(*(words[i:-1] for i in range(CONTEXT))) if p in wanted)
-            if often:
-                yield pd.DataFrame([(" ".join(p), n) for p, n in often.items()], columns=["pattern", "times"])
-
-        part = texts.mapInPandas(count, schema)
-        out = part if out is None else out.unionByName(part)
-    return stage(out.groupBy("pattern").agg(F.sum("times").alias("total")), "pii_totals")
+    shared = texts.sparkSession.sparkContext.broadcast(_buckets(patterns))
+
+    def rows(often: Counter) -> pd.DataFrame:
+        return pd.DataFrame(list(often.items()), columns=["pattern", "times"])
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits, often = shared.value, Counter()
+        for batch in batches:
+            for text in batch["text"]:
+                words = text.lower().split()
+                # The last word of a text has nothing after it.
+                for pattern in map(" ".join, zip(*(words[i:-1] for i in range(CONTEXT)))):
+                    place = crc32(pattern.encode()) % BITMAP_BITS
+                    if bits[place >> 3] >> (place & 7) & 1:
+                        often[pattern] += 1
+                if len(often) >= HELD:
+                    yield rows(often)
+                    often.clear()
+        if often:
+            yield rows(often)
+
+    counted = texts.mapInPandas(count, "pattern string, times long").groupBy("pattern").agg(F.sum("times").alias("total"))
+    return stage(counted.join(patterns.hint("merge"), "pattern", "left_semi"), "pii_totals")
 
 
 def bootstrap(edges: DataFrame, totals: DataFrame, confident: float = CONFIDENT, rounds: int = ROUNDS) -> DataFrame:
