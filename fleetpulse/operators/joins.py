@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from fleetpulse.session import stage
+
 # A lookup table of at most this size is broadcast: one copy per executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Rows in memory against the files they are read from, which are encoded and compressed.
 UNPACKED = 5
 
+# Bits of the filter ahead of a large membership join: 8 MB of rows at most.
+FILTER_BITS = 1 << 25
+
 
 def stored_bytes(df: DataFrame) -> int:
     """Bytes of the files and other sources a frame reads, known from listing them; no job runs."""
@@ -43,10 +50,48 @@ def lookup_join(
     return many.join(lookup.hint("merge"), on, how)
 
 
-def member_flag(many: DataFrame, keys: DataFrame, on: list[str], flag: str, **strategy) -> DataFrame:
-    """Mark the rows whose key is in ``keys`` (stored, one row per key). A NULL key is no member."""
-    marked = lookup_join(many, keys.select(*on, F.lit(True).alias(flag)), on, "left", **strategy)
-    return marked.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).select(*many.columns, flag)
+def _bit(on: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*on), F.lit(FILTER_BITS))
+
+
+def key_filter(keys: DataFrame, on: list[str]) -> DataFrame:
+    """Stored (_word, _bits): a bitmap of the hashes of all keys, in words of 64 bits.
+
+    It has at most ``FILTER_BITS`` / 64 rows of 16 bytes, however many keys there are.
+    """
+    bit = _bit(on)
+    mark = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(bit, F.lit(64)).cast("int"))
+    return stage(keys.groupBy(F.shiftright(bit, 6).alias("_word")).agg(F.bit_or(mark).alias("_bits")), "key_filter")
+
+
+def possible_members(many: DataFrame, words: DataFrame, on: list[str], flag: str) -> DataFrame:
+    """Mark the rows whose key may be one of those in ``words`` (of ``key_filter``); False is certain."""
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
+    hit = F.call_function("shiftright", F.col("_bits"), F.pmod(_bit(on), F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    marked = many.withColumn("_word", F.when(known, F.shiftright(_bit(on), 6))).join(F.broadcast(words), "_word", "left")
+    return marked.withColumn(flag, F.coalesce(hit, F.lit(False))).select(*many.columns, flag)
+
+
+def member_flag(
+    many: DataFrame, keys: DataFrame, on: list[str], flag: str, *, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Mark the rows whose key is in ``keys`` (stored, one row per key). A NULL key is no member.
+
+    Too many keys to broadcast are joined by sort-merge behind ``key_filter``: only rows that may
+    be members are shuffled, the others are done where they are read. ``many`` is read
+    twice then, so it should be a stored table.
+    """
+    members = keys.select(*on, F.lit(True).alias(flag))
+
+    def marked(rows: DataFrame) -> DataFrame:
+        joined = lookup_join(rows, members, on, "left", broadcast_bytes=broadcast_bytes)
+        return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).select(*many.columns, flag)
+
+    if fits(members, broadcast_bytes):
+        return marked(many)
+    possible = possible_members(many, key_filter(keys, on), on, "_possible")
+    others = possible.filter(~F.col("_possible")).select(*many.columns, F.lit(False).alias(flag))
+    return marked(possible.filter("_possible").drop("_possible")).unionByName(others)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -702,3 +702,18 @@ def _factors() -> str:
 
 
 oracle("prediction_factors", _factors())
+
+oracle(
+    "surrogate_ids",
+    f"""select {show(FACT, ["record_id", "snapshot_date"])},
+      row_number() over (order by snapshot_date >= date '1996-01-01', record_id, snapshot_date) as id from fact""",
+)
+oracle(
+    "due_runs",
+    """select job, strftime(day + later, '%Y-%m-%d %H:%M:%S') as due_at
+    from (select unnest(generate_series(min(snapshot_date)::timestamp, max(snapshot_date)::timestamp, interval 1 day)) as day from fact),
+      (values ('monthly', interval 1 hour), ('nightly', interval 2 hour), ('weekly', interval 3 hour)) as j(job, later)
+    where (job = 'nightly' or (job = 'weekly' and isodow(day) = 1) or (job = 'monthly' and day(day) = 1))
+      and day + later <= (select max(snapshot_date)::timestamp from fact)
+      and day::date not in (select snapshot_date from fact where failure_within_30_days = 1 and snapshot_date is not null)""",
+)

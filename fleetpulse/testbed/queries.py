@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetpulse.operators import attribution, constraints, evaluate, features, merge, monitor, quality, scoring
+from fleetpulse.operators import attribution, constraints, evaluate, features, keys, merge, monitor, quality, scoring
 from fleetpulse.operators import dimensions as dims
 from fleetpulse.operators.joins import lookup_join
-from fleetpulse.plans import load, marts
+from fleetpulse.plans import calendar, load, marts
 from fleetpulse.schema import DOMAINS, EXTRACT, FACT, NOT_NULL, POSITIVE, RANGES, names
 from fleetpulse.session import RunContext, stage, timestamp
 from fleetpulse.sources import extract, months
@@ -33,6 +33,7 @@ EASY_LIMITS = [
 ]
 DRIFT_RUNS = {"d1": datetime(2000, 7, 1), "d2": datetime(2001, 7, 1)}
 ARCHIVED = "1996_03"
+IDS_SPLIT = "1996-01-01"
 
 
 def query(function: Callable[[Bed], DataFrame]) -> Callable[[Bed], DataFrame]:
@@ -717,3 +718,25 @@ def registry_rows(b: Bed) -> DataFrame:
     return registry.join(scoring.active_models(registry).select("model_name", "model_version"), ["model_name", "model_version"]).select(
         "model_name", "model_version", "problem_type", "target_column", "training_data_summary", "is_active"
     )
+
+
+@query
+def surrogate_ids(b: Bed) -> DataFrame:
+    # Two runs; the first is made again after the second and keeps its ids.
+    path, middle = f"{b.root}/id_marks-{uuid.uuid4().hex}", F.lit(IDS_SPLIT).cast("date")
+    rows = b.fact.select("record_id", "snapshot_date")
+    runs = {"i1": rows.filter(F.col("snapshot_date") < middle), "i2": rows.filter(F.col("snapshot_date") >= middle)}
+    given = [keys.allocate(runs[r], ["record_id", "snapshot_date"], path, RunContext(b.ctx.as_of, run_id=r)) for r in ("i1", "i2", "i1")]
+    return given[1].unionByName(given[2])
+
+
+@query
+def due_runs(b: Bed) -> DataFrame:
+    # A job's run is taken to have been made where its day saw a component that was about to fail.
+    days = b.fact.select("snapshot_date", (F.col("failure_within_30_days") == 1).alias("made"))
+    since, now = days.agg(F.min("snapshot_date").cast("timestamp_ntz"), F.max("snapshot_date").cast("timestamp_ntz")).first()
+    seen = days.filter("made").select(F.col("snapshot_date").alias("day")).distinct()
+    made = reduce(DataFrame.unionByName, [
+        seen.select(F.lit(j.name).alias("job"), (F.col("day").cast("timestamp_ntz") + F.lit(j.at)).alias("due_at")) for j in calendar.JOBS
+    ])
+    return calendar.missed(made, since, now, b.spark)

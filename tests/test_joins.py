@@ -2,7 +2,8 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from fleetpulse.operators.joins import UNPACKED, fits, latest_per_key, lookup_join, member_flag, stored_bytes
+from fleetpulse.operators import joins
+from fleetpulse.operators.joins import UNPACKED, fits, key_filter, latest_per_key, lookup_join, member_flag, possible_members, stored_bytes
 from fleetpulse.session import stage
 
 
@@ -66,6 +67,34 @@ def test_member_flag_keeps_every_row(spark):
     assert values(member_flag(many, keys, ["k"], "hit")) == [(1, True), (1, True), (2, False), (None, False)]
 
 
+def test_only_possible_members_are_shuffled(spark, skewed, monkeypatch):
+    many, lookup = skewed
+    keys = stage(lookup.filter("k % 50 = 7").select("k"), "keys")
+    small, large = (member_flag(many, keys, ["k"], "hit", broadcast_bytes=b) for b in (1 << 30, 0))
+    totals = [F.count(F.lit(1)), F.count_if("hit"), F.sum(F.when(F.col("hit"), F.col("k"))), F.count_if(F.col("k").isNull() & F.col("hit"))]
+    counts = [df.agg(*totals).first() for df in (small, large)]
+    assert counts[0] == counts[1] and counts[0][0] == 300_000 and counts[0][3] == 0
+    words = key_filter(keys, ["k"])
+    possible = possible_members(many, words, ["k"], "possible")
+    assert possible.join(keys, "k", "left_semi").filter(~F.col("possible")).isEmpty()
+    assert possible.filter("possible").count() < counts[0][1] * 1.01 + 100
+    # The filter stands below the exchange of the rows.
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "_bits" in plan.split("Exchange hashpartitioning(k", 1)[1]
+    # A crowded filter lets more rows through and changes no flag.
+    monkeypatch.setattr(joins, "FILTER_BITS", 128)
+    assert key_filter(keys, ["k"]).count() == 2
+    assert member_flag(many, keys, ["k"], "hit", broadcast_bytes=0).agg(*totals).first() == counts[0]
+
+
+def test_two_key_columns_and_no_keys(spark):
+    many = stage(spark.createDataFrame([(1, "a", 0), (1, None, 1), (2, "a", 2)], "k int, t string, n int"), "many")
+    keys = stage(spark.createDataFrame([(1, "a")], "k int, t string"), "keys")
+    flag = lambda ks: values(member_flag(many.drop("n"), ks, ["k", "t"], "hit", broadcast_bytes=0))
+    assert flag(keys) == [(1, "a", True), (1, None, False), (2, "a", False)]
+    assert flag(stage(keys.limit(0), "none")) == [(1, "a", False), (1, None, False), (2, "a", False)]
+
+
 def test_latest_limits_groups_before_the_shuffle(skewed):
     many, _ = skewed
     plan = latest_per_key(many, ["k"], [F.desc_nulls_first("text")])._jdf.queryExecution().executedPlan().toString()
