@@ -47,6 +47,9 @@ NUMERIC = [
 ]
 
 
+# Marks the rows that decide when boosting stops.
+HELD = "_held"
+
 # Factors that a prediction keeps of each model.
 FACTORS = 5
 
@@ -107,14 +110,24 @@ FAILURE_30D = ModelSpec(
 MODELS = [RUL, FAILURE_90D, FAILURE_30D]
 
 
+# How much a round must lower the validation error, as a share of it, for boosting to go on.
+TOLERANCE = 0.01
+
+
 def train(
-    df: DataFrame, spec: ModelSpec, *, rounds: int | None = None, balanced: bool = False, seed: int = 42
+    df: DataFrame, spec: ModelSpec, *, rounds: int | None = None, balanced: bool = False, seed: int = 42,
+    validation: DataFrame | None = None, tolerance: float = TOLERANCE,
 ) -> PipelineModel:
     """Fit a boosted-tree pipeline on the rows with a label.
 
     Missing numbers get the training median, plus a flag column where training has gaps;
     unseen categories get a bucket of their own; a column without any value is left out. ``balanced`` weights each class by its inverse frequency. The assembled
     rows are kept while fitting, since boosting reads them once per tree level.
+
+    With ``validation`` boosting stops at the round from which the error on its labelled rows
+    falls by less than ``tolerance``, a share of it (below an error of 0.01, of 0.01), and keeps the trees up
+    to the best one; its rows teach neither trees, medians nor categories. ``rounds`` stays the
+    most there can be. Without a labelled row in it, all rounds are made.
     """
     rows = _inputs(df.filter(F.col(spec.label).isNotNull()), spec).withColumn("label", F.col(spec.label).cast("double"))
     weight = None
@@ -138,10 +151,20 @@ def train(
     ]).fit(rows)
     # A tree bins each category separately, so the widest text column sets the number of bins.
     bins = max(32, *[len(labels) + 1 for labels in prepared.stages[1].labelsArray])
-    wanted = ["features", "label"] + ([weight] if weight else [])
+    held = None if validation is None else validation.filter(F.col(spec.label).isNotNull())
+    stops = held is not None and not held.isEmpty()
+    if stops:
+        held = _inputs(held, spec).withColumn("label", F.col(spec.label).cast("double"))
+        # The error on held rows is not weighted.
+        held = held.withColumn("weight", F.lit(1.0)) if weight else held
+        rows = rows.withColumn(HELD, F.lit(False)).unionByName(held.withColumn(HELD, F.lit(True)))
+    wanted = ["features", "label"] + ([weight] if weight else []) + ([HELD] if stops else [])
     assembled = prepared.transform(rows).select(*wanted).persist(StorageLevel.MEMORY_AND_DISK)
+    trees = _estimator(spec, rounds or spec.rounds, bins, weight, seed)
+    if stops:
+        trees = trees.setParams(validationIndicatorCol=HELD, validationTol=tolerance)
     try:
-        return PipelineModel(prepared.stages + [_estimator(spec, rounds or spec.rounds, bins, weight, seed).fit(assembled)])
+        return PipelineModel(prepared.stages + [trees.fit(assembled)])
     finally:
         assembled.unpersist()
 
@@ -247,29 +270,39 @@ def contributing_factors(model: PipelineModel, spec: ModelSpec) -> str:
     return json.dumps(clean)
 
 
-def registry_rows(spark: SparkSession, specs: list[ModelSpec], training_rows: int, feature_table: str, ctx: RunContext) -> DataFrame:
-    """Model cards for the registry, with the number of training rows as JSON."""
+def rounds_used(model: PipelineModel) -> int:
+    """Number of trees that a trained model holds."""
+    return model.stages[-1].getNumTrees
+
+
+def registry_rows(
+    spark: SparkSession, specs: list[ModelSpec], training_rows: int, feature_table: str, ctx: RunContext, used: dict[str, int] | None = None
+) -> DataFrame:
+    """Model cards for the registry, with the number of training rows and the rounds used, by model name, as JSON."""
     rows = [
         (
+            (used or {}).get(s.name),
             s.name, s.version, s.use_case, s.task, "gradient boosted trees", feature_table, s.label, s.hyperparameters,
             s.intended_use, s.known_limitations, s.risk_classification, True,
         )
         for s in specs
     ]
     columns = (
-        "model_name string, model_version string, use_case string, problem_type string, algorithm string, "
+        "_rounds bigint, model_name string, model_version string, use_case string, problem_type string, algorithm string, "
         "feature_table string, target_column string, hyperparameters string, intended_use string, "
         "known_limitations string, risk_classification string, is_active boolean"
     )
     return spark.createDataFrame(rows, columns).withColumns(
         {
-            "training_data_summary": F.to_json(F.struct(F.lit(training_rows).cast("bigint").alias("training_rows"))),
+            "training_data_summary": F.to_json(
+                F.struct(F.lit(training_rows).cast("bigint").alias("training_rows"), F.col("_rounds").alias("rounds_used"))
+            ),
             "performance_metrics": F.lit(None).cast("string"),
             "trained_at": ctx.time,
             "trained_by": F.lit(ctx.user),
             "model_id": surrogate_key(F.col("model_name"), F.col("model_version")),
         }
-    )
+    ).drop("_rounds")
 
 
 def with_metrics(registry: DataFrame, metrics: DataFrame) -> DataFrame:

@@ -44,21 +44,25 @@ def run_nightly(spark: SparkSession, layout: Layout, ctx: RunContext) -> DataFra
 
 
 def train_models(
-    spark: SparkSession, layout: Layout, ctx: RunContext, specs=tuple(scoring.MODELS), rounds: int | None = None, balanced: bool = False
+    spark: SparkSession, layout: Layout, ctx: RunContext, specs=tuple(scoring.MODELS), rounds: int | None = None, balanced: bool = False,
+    early_stopping: bool = False,
 ) -> None:
     """Train on the train split, save the pipelines under new versions and make those the active ones.
 
     A version is registered only after its model is saved, and a registered one is never
-    overwritten.
+    overwritten. ``early_stopping`` ends boosting by the validation split; the card says how
+    many rounds a model has.
     """
-    split = features.read_features(spark, layout.root).split()["train"]
+    parts = features.read_features(spark, layout.root).split()
+    split, held = parts["train"], parts["validation"] if early_stopping else None
     registry = months.read_version(spark, layout.path("model_registry"))
     specs = scoring.next_versions(registry, list(specs))
+    used = {}
     for spec in specs:
-        scoring.train(split, spec, rounds=rounds, balanced=balanced).write().overwrite().save(
-            layout.path(f"models/{spec.name}/{spec.version}")
-        )
-    cards = scoring.registry_rows(spark, specs, split.count(), f"features_{features.VERSION}", ctx)
+        model = scoring.train(split, spec, rounds=rounds, balanced=balanced, validation=held)
+        used[spec.name] = scoring.rounds_used(model)
+        model.write().overwrite().save(layout.path(f"models/{spec.name}/{spec.version}"))
+    cards = scoring.registry_rows(spark, specs, split.count(), f"features_{features.VERSION}", ctx, used)
     months.write_version(stage(scoring.promote_versions(registry, cards), "registry"), layout.path("model_registry"))
 
 

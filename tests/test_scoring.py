@@ -171,3 +171,24 @@ def test_override_log_holds_every_high_prediction(spark):
     high = bed(spark, sf).predictions.filter("run_id = 'r2' and risk_tier = 'High'")
     assert high.count() > 3
     assert values(QUERIES["override_log"](spark, sf), "record_id") == values(high, "record_id")
+
+
+def test_validation_stops_the_boosting(trained, spark):
+    layout, ctx = trained
+    # The label is noise here, so that more rounds fit the training rows only.
+    noise = F.pmod(F.xxhash64("record_id"), F.lit(2)).cast("int")
+    parts = {k: stage(v.withColumn("failure_within_90_days", noise), k) for k, v in features.read_features(spark, layout.root).split().items()}
+    train, held = parts["train"], parts["validation"]
+    assert held.count() > 0
+    most = 6
+    stopped = scoring.train(train, scoring.FAILURE_90D, rounds=most, balanced=True, validation=held)
+    assert 1 <= scoring.rounds_used(stopped) < most
+    # Nothing held, nothing to stop by.
+    nothing = held.withColumn("failure_within_90_days", F.lit(None).cast("int"))
+    assert scoring.rounds_used(scoring.train(train, scoring.FAILURE_90D, rounds=2, validation=nothing)) == 2
+
+
+def test_card_names_the_rounds(trained, spark):
+    layout, _ = trained
+    cards = months.read_version(spark, layout.path("model_registry")).collect()
+    assert {json.loads(r.training_data_summary)["rounds_used"] for r in cards} == {ROUNDS}
