@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.functions import exact_round, severity_rank, surrogate_key
-from fleetpulse.operators.joins import member_flag
+from fleetpulse.operators.joins import marks_fit, member_flag
 from fleetpulse.schema import LOG_DOMAINS, require
 from fleetpulse.session import RunContext, stage, timestamp
 
@@ -181,6 +181,16 @@ def tag_failures(df: DataFrame, rules: list[Rule], **strategy) -> DataFrame:
     return tagged.select(*df.columns, F.array_remove(F.array(*flags), "").alias("failed_rules"))
 
 
+def readable_tags(staged: DataFrame, rules: list[Rule]) -> DataFrame:
+    """As ``tag_failures`` for a stored table whose tags are read many times.
+
+    Tags follow from the row and its place in the table, so they are worked out wherever the
+    rows are read; rows with tags are stored a second time only if the places are too many for that.
+    """
+    tagged = tag_failures(staged, rules)
+    return tagged if marks_fit(staged) else stage(tagged, "tagged")
+
+
 def breaks(rules: list[Rule]) -> Column:
     """Names of the given rules a tagged row breaks, in catalog order."""
     return F.array_intersect("failed_rules", F.array(*[F.lit(r.name) for r in rules]))

@@ -61,6 +61,7 @@ def write_months(df: DataFrame, path: str, mode: str = "overwrite", sort: list[s
         .sortWithinPartitions(PARTITION, *(sort or []))
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
         .partitionBy(PARTITION)
         .parquet(path)
     )

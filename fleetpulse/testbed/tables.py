@@ -35,29 +35,26 @@ class Bed:
     @property
     def extract(self) -> DataFrame:
         """The 49-column extract, typed."""
+        # Orders take their customer first: there are fewer of them than rows of the extract.
         orders = self.source("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        rows = lookup_join(
-            self.source("lineitem"), orders.withColumnRenamed("o_orderkey", "l_orderkey"), ["l_orderkey"]
-        )
-        for table, key, foreign in (
-            ("customer", "c_custkey", "o_custkey"),
-            ("part", "p_partkey", "l_partkey"),
-            ("supplier", "s_suppkey", "l_suppkey"),
-        ):
+        customer = self.source("customer").withColumn("o_custkey", F.col("c_custkey"))
+        owned = lookup_join(orders, customer, ["o_custkey"])
+        rows = lookup_join(self.source("lineitem"), owned.withColumnRenamed("o_orderkey", "l_orderkey"), ["l_orderkey"])
+        for table, key, foreign in (("part", "p_partkey", "l_partkey"), ("supplier", "s_suppkey", "l_suppkey")):
             side = self.source(table).withColumn(foreign, F.col(key))
             rows = lookup_join(rows, side, [foreign])
         mapped = rows.select(*[F.expr(sql).alias(name) for name, sql in mapping.EXPRESSIONS.items()])
         return mapped.select(*typed(EXTRACT))
 
     @cached_property
-    def staging(self) -> DataFrame:
-        """The landed extract with the rules each row breaks."""
-        # Stored first, as a load lands it: the repeated ids and the tags each read it.
-        return stage(quality.tag_failures(stage(self.extract, "extract"), quality.RULES), "tagged")
+    def landed(self) -> DataFrame:
+        """The extract stored, as a load lands it: the repeated ids and the tags each read it."""
+        return stage(self.extract, "extract")
 
     @cached_property
-    def landed(self) -> DataFrame:
-        return self.staging.drop("failed_rules")
+    def staging(self) -> DataFrame:
+        """The landed extract with the rules each row breaks."""
+        return quality.readable_tags(self.landed, quality.RULES)
 
     def split(self, only: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
         return quality.split(self.staging, quality.quarantining(quality.RULES, only=only), self.ctx)

@@ -99,3 +99,29 @@ def test_latest_limits_groups_before_the_shuffle(skewed):
     many, _ = skewed
     plan = latest_per_key(many, ["k"], [F.desc_nulls_first("text")])._jdf.queryExecution().executedPlan().toString()
     assert "row_number(), 1, Partial" in plan
+
+
+def test_rows_are_marked_by_place(spark, skewed):
+    many, lookup = skewed
+    keys = stage(lookup.filter("k % 50 = 7").select("k"), "keys")
+    size = stored_bytes(keys) * UNPACKED - 1
+    assert joins.marks_fit(many, size) and not joins.marks_fit(many, 1000) and not joins.marks_fit(many, 0)
+    flagged = member_flag(many, keys, ["k"], "hit", broadcast_bytes=size)
+    # Wide rows meet the marks where they are read: nothing of them is sent.
+    assert "Exchange hashpartitioning" not in flagged._jdf.queryExecution().executedPlan().toString()
+    counts = flagged.groupBy("k", "hit").count()
+    assert counts.exceptAll(member_flag(many, keys, ["k"], "hit").groupBy("k", "hit").count()).isEmpty()
+    assert flagged.count() == 300_000 and flagged.filter("hit").count() == many.join(keys, "k", "left_semi").count()
+    # Filters above the scan leave the places of the rows as they are.
+    assert flagged.filter("k = 7 and not hit").isEmpty() and flagged.filter("k = 8 and hit").isEmpty()
+    assert not joins.marks_fit(spark.range(3).toDF("k"))
+
+
+def test_lookup_of_middling_size_sorts_nothing(skewed):
+    many, lookup = skewed
+    limit = stored_bytes(lookup) * UNPACKED // 2
+    joined = lookup_join(many, lookup, ["k"], "left", broadcast_bytes=limit)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan.replace("ShuffledHashJoin", "")
+    totals = [F.count(F.lit(1)), F.count("v"), F.sum("v")]
+    assert joined.agg(*totals).first() == lookup_join(many, lookup, ["k"], "left").agg(*totals).first()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.operators import quality
 from fleetpulse.operators.constraints import constraint_violations, fk_orphans, key_violations
-from fleetpulse.session import RunContext
+from fleetpulse.session import RunContext, stage
 
 BAD = [
     {"record_id": 1},
@@ -164,3 +164,12 @@ def test_keys_and_orphans(rows):
     assert values(key_violations(batch, ["record_id"])) == [(1, 2)]
     parent = rows({"supplier_id": "S1"})
     assert values(fk_orphans(batch, "supplier_id", parent, "supplier_id")) == [("supplier_id", "S9", 1)]
+
+
+def test_tags_of_a_stored_table_are_not_stored_again(spark, rows):
+    plain = rows({"record_id": 1}, {"record_id": 1}, {"record_id": 2, "component_serial_number": None}, {"record_id": None}, {"record_id": 3})
+    staged = stage(plain, "rows")
+    tagged = quality.readable_tags(staged, quality.RULES)
+    assert sorted(tagged.inputFiles())[0].startswith(sorted(staged.inputFiles())[0].rpartition("/")[0])
+    assert set(staged.inputFiles()) <= set(tagged.inputFiles())
+    assert values(tagged, "record_id", "failed_rules") == values(quality.tag_failures(plain, quality.RULES), "record_id", "failed_rules")
