@@ -162,3 +162,10 @@ def test_stage_uses_the_named_folder(spark):
     kept = stage(spark.range(3).toDF("id"), "three")
     assert work_dir(spark) in kept.inputFiles()[0].replace("file://", "")
     assert "InMemoryFileIndex" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_csv_files_stay_small(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    extract.write_csv(spark.range(0, 25, 1, 1).toDF("id"), path, file_rows=10)
+    assert len(list((tmp_path / "csv").glob("part-*.csv"))) == 3
+    assert sorted(r.id for r in spark.read.schema("id bigint").csv(path, header=True).collect()) == list(range(25))
