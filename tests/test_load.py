@@ -297,3 +297,11 @@ def test_repeat_with_further_rows_adds_them_to_the_ledger(rows, layout, spark):
     assert values(extract.read_log(spark, layout.path("audit_log")), "operation", "row_pk") == [("INSERT", "1"), ("INSERT", "2")]
     load.promote(rows({"record_id": 1}, {"record_id": 2}), layout, SECOND)
     assert counts(extract.read_log(spark, layout.path("audit_log")).groupBy("operation").count()) == {"INSERT": 2, "UPDATE": 2}
+
+
+def test_a_first_run_does_not_join_its_own_ledger(rows, layout, spark):
+    old = load._empty(spark, load.FACT).withColumn("ingested_at", load.F.lit(None).cast("timestamp_ntz"))
+    good = rows(BATCH[0])
+    assert load._before(spark, layout, good, old, FIRST) is None
+    # Made again, the run reads what it found: no row of it was there.
+    assert [r.existed for r in load._before(spark, layout, good, old, FIRST).collect()] == [False]
