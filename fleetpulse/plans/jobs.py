@@ -17,15 +17,15 @@ from fleetpulse.session import RunContext, stage
 from fleetpulse.sources import extract, months
 
 
-def refresh_features(spark: SparkSession, layout: Layout, ctx: RunContext, version: str = features.VERSION) -> features.StoredFeatures:
-    """Rebuild a feature version from the curated tables."""
+def refresh_features(spark: SparkSession, layout: Layout, ctx: RunContext, version: str = features.VERSION) -> DataFrame:
+    """Rebuild a feature version from the curated tables and return its rows."""
     tables = curated(spark, layout)
     built = features.build_features(
         tables["fact"], tables["dim_component"], tables["dim_aircraft"], tables["dim_supplier"], ctx, version=version,
         days=days_of(spark, layout, "cohort_days"),
     )
     in_force = spine(spark, layout)
-    return features.save_features(built, layout.root, version, in_force.spine_start, in_force.spine_end)
+    return features.save_features(built, layout.root, version, in_force.spine_start, in_force.spine_end).table
 
 
 def run_nightly(spark: SparkSession, layout: Layout, ctx: RunContext) -> DataFrame:
@@ -34,8 +34,8 @@ def run_nightly(spark: SparkSession, layout: Layout, ctx: RunContext) -> DataFra
     Returns the drift rows.
     """
     built = refresh_features(spark, layout, ctx)
-    days = days_of(spark, layout, "feature_days")
-    drift = stage(monitor.drift(built.table, ctx, end=built.newest) if days is None else monitor.drift_of_days(days, ctx), "drift")
+    days, newest = days_of(spark, layout, "feature_days"), features.read_features(spark, layout.root).newest
+    drift = stage(monitor.drift(built, ctx, end=newest) if days is None else monitor.drift_of_days(days, ctx), "drift")
     extract.write_log(drift, layout.path("drift_log"), ctx)
     extract.write_log(monitor.alerts_from_drift(drift, ctx), layout.path("alerts/drift"), ctx)
     if months.read_version(spark, layout.path("model_registry")) is not None:
