@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.operators import dimensions as dims
 from fleetpulse.operators.merge import DuplicateKey, delete_rows, insert_if_absent, newest_audit, upsert
-from fleetpulse.session import RunContext
+from fleetpulse.session import RunContext, stage
 
 R1, R2 = RunContext(datetime(2024, 1, 1), "r1"), RunContext(datetime(2024, 1, 2), "r2")
 COLUMNS = "k string, a string, frozen string"
@@ -113,3 +113,29 @@ def test_newest_audit_is_limited_and_ordered(spark):
     assert len(newest) == 100
     assert [r.event_time for r in newest[:4]] == [R2.as_of] * 3 + [R1.as_of]
     assert newest_audit(log, "other").count() == 0
+
+
+@pytest.mark.parametrize("held", [0, 3])
+def test_stored_merge_moves_no_new_rows(spark, held, monkeypatch):
+    monkeypatch.setattr("fleetpulse.operators.merge.stage", kept := Stages())
+    target = stage(stamped(spark.createDataFrame([("x", "old", "f1"), ("y", "old", "f1"), (None, "old", "f1")][:held], COLUMNS), R1), "target")
+    source = stage(spark.createDataFrame([("x", None, "f2"), ("z", "new", "f2"), ("z", "two", "f2"), (None, "new", "f2")], COLUMNS), "source")
+    stamps = {"table": "t", "created": "created_at", "touch": "updated_at", "strict": False}
+    whole = upsert(target, source, ["k"], ["a"], R2, **stamps)
+    told = upsert(target, source, ["k"], ["a"], R2, stored=True, apart=True, **stamps)
+    assert values(told.table) == values(whole.table)
+    assert values(told.changes) == values(whole.changes)
+    # No shuffle without target rows; with some, the many new rows meet no join with the target.
+    assert ("Exchange" in kept.plans["merged_t"]) == bool(held)
+    assert "FullOuter" not in kept.plans["merged_t"]
+
+
+class Stages:
+    """``stage``, noting the plan of what it stores."""
+
+    def __init__(self):
+        self.plans = {}
+
+    def __call__(self, df, name):
+        self.plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, name)
