@@ -57,6 +57,20 @@ def lookup_join(
     return many.join(lookup.hint("shuffle_hash" if fits(lookup, broadcast_bytes * partitions) else "merge"), on, how)
 
 
+def with_known(many: DataFrame, lookup: DataFrame, on: list[str], *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows whose key is in ``lookup``, a stored table; a NULL key is in none.
+
+    If the lookup is too large to broadcast, the distinct keys that it lacks are found first. They
+    are few as a rule, so they are broadcast and the rows stay where they are. ``many`` is
+    read twice then, so it should be cheap to read.
+    """
+    if fits(lookup, broadcast_bytes):
+        return many.join(F.broadcast(lookup.select(*on)), on, "left_semi")
+    present = many.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on]))
+    missing = stage(present.select(*on).distinct().join(lookup.select(*on), on, "left_anti"), "missing_keys")
+    return present.join(F.broadcast(missing) if fits(missing, broadcast_bytes) else missing, on, "left_anti")
+
+
 def _bit(on: list[str]) -> Column:
     return F.pmod(F.xxhash64(*on), F.lit(FILTER_BITS))
 

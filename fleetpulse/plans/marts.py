@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.functions import exact_mean, exact_round, ratio
-from fleetpulse.operators.joins import latest_per_key, lookup_join
+from fleetpulse.operators.joins import latest_per_key, lookup_join, with_known
 from fleetpulse.operators.quality import newest_run
 from fleetpulse.schema import FACT_KEYS
 from fleetpulse.session import RunContext
@@ -22,17 +22,17 @@ def latest_component_risk(
     """One row per component: its newest prediction with master data.
 
     Only predictions whose component, snapshot and aircraft exist compete for newest, so
-    the joins that can reject a row come first; the component's own attributes, the same
-    for all its rows, are added to the winners only.
+    the joins that can reject a row come first; the attributes of component and aircraft are
+    added to the winners only.
     """
     needed = predictions.select(
         "component_serial_number", *FACT_KEYS, "predicted_rul_days", "predicted_failure_prob_30d",
         "predicted_failure_prob_90d", "risk_tier", "scored_at",
     )
-    on_aircraft = needed.join(fact.select(*FACT_KEYS, "aircraft_tail_number"), FACT_KEYS)
     fleet = aircraft.select("aircraft_tail_number", "aircraft_model", "fleet_type", "operating_region")
-    known = lookup_join(on_aircraft, fleet, ["aircraft_tail_number"], **strategy)
+    known = needed.join(_on_aircraft(fact, aircraft, **strategy), FACT_KEYS)
     newest = latest_per_key(known, ["component_serial_number"], [F.desc_nulls_first(c) for c in NEWEST_PREDICTION])
+    newest = lookup_join(newest, fleet, ["aircraft_tail_number"], **strategy)
     parts = component.select("component_serial_number", "component_type", "component_subtype")
     return newest.join(parts, "component_serial_number").select(
         "component_serial_number", "component_type", "component_subtype", "aircraft_tail_number",
@@ -41,6 +41,11 @@ def latest_component_risk(
     )
 
 
+def _on_aircraft(fact: DataFrame, aircraft: DataFrame, **strategy) -> DataFrame:
+    """Keys and tail of the snapshots whose aircraft exists."""
+    return with_known(fact.select(*FACT_KEYS, "aircraft_tail_number"), aircraft, ["aircraft_tail_number"], **strategy)
+
+
 OUTPUTS = ["predicted_rul_days", "predicted_failure_prob_30d", "predicted_failure_prob_90d", "risk_tier"]
 RISK_VIEW = ["component_serial_number", *FACT_KEYS, "aircraft_tail_number", *OUTPUTS, "scored_at", "run_id"]
 
@@ -77,8 +82,7 @@ def _months_of(run: DataFrame, fact: DataFrame) -> DataFrame:
 
 def _candidates(predictions: DataFrame, fact: DataFrame, aircraft: DataFrame, **strategy) -> DataFrame:
     """Predictions whose snapshot and aircraft exist, as rows of the view."""
-    known = predictions.join(fact.select(*FACT_KEYS, "aircraft_tail_number"), FACT_KEYS)
-    return lookup_join(known, aircraft.select("aircraft_tail_number"), ["aircraft_tail_number"], **strategy).select(*RISK_VIEW)
+    return predictions.join(_on_aircraft(fact, aircraft, **strategy), FACT_KEYS).select(*RISK_VIEW)
 
 
 def component_risk(view: DataFrame, component: DataFrame, aircraft: DataFrame, **strategy) -> DataFrame:

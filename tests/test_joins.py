@@ -3,7 +3,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from fleetpulse.operators import joins
-from fleetpulse.operators.joins import UNPACKED, fits, key_filter, latest_per_key, lookup_join, member_flag, possible_members, stored_bytes
+from fleetpulse.operators.joins import UNPACKED, fits, key_filter, latest_per_key, lookup_join, member_flag, possible_members, stored_bytes, with_known
 from fleetpulse.session import stage
 
 
@@ -125,3 +125,13 @@ def test_lookup_of_middling_size_sorts_nothing(skewed):
     assert "ShuffledHashJoin" in plan and "Sort" not in plan.replace("ShuffledHashJoin", "")
     totals = [F.count(F.lit(1)), F.count("v"), F.sum("v")]
     assert joined.agg(*totals).first() == lookup_join(many, lookup, ["k"], "left").agg(*totals).first()
+
+
+def test_known_rows_stay_where_they_are(skewed):
+    many, _ = skewed
+    lookup = stage(many.select("k").distinct().filter("k != 8"), "lookup")
+    small, large = (with_known(many, lookup, ["k"], broadcast_bytes=b) for b in (1 << 30, stored_bytes(lookup) * UNPACKED - 1))
+    assert values(small.groupBy("k").count()) == values(large.groupBy("k").count())
+    assert large.filter("k = 8 or k is null").isEmpty() and not large.isEmpty()
+    none = stage(lookup.filter("k is null"), "none")
+    assert with_known(many, none, ["k"], broadcast_bytes=0).isEmpty()

@@ -133,3 +133,18 @@ def test_a_run_reads_its_own_partition_and_the_months_of_its_snapshots(spark, ta
     plan = refreshed._jdf.queryExecution().toString()
     assert "run=r1" not in plan
     assert "partition_name#" in plan.split("PartitionFilters: [")[-1] or "2024_06" in plan
+
+
+def test_predictions_are_not_shuffled_to_their_aircraft(spark, tables):
+    tables = {name: stage(df, name) for name, df in tables.items()}
+    lost = tables["aircraft"].filter("aircraft_tail_number != 'N2'")
+    log = scored(spark, NEW, (1, "C1", 0.1, 0.1), (3, "C2", 0.1, 0.6), (4, "C3", 0.9, 0.9))
+    small, large = (
+        marts.latest_component_risk(log, tables["component"], tables["fact"], stage(lost, "aircraft"), **strategy)
+        for strategy in ({}, {"broadcast_bytes": 0})
+    )
+    assert values(large) == values(small)
+    assert values(large, "component_serial_number") == [("C1",), ("C3",)]
+    # What shuffles by tail are the winners, after the pick of the newest.
+    plan = large._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner, (aircraft_tail_number") < plan.index("Window")
