@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from fleetpulse.functions import ratio, recency, weighted_sum
-from fleetpulse.operators.joins import lookup_join
+from fleetpulse.operators.joins import lookup_join, with_known
 from fleetpulse.schema import FEATURES, typed
 from fleetpulse.session import RunContext, stage
 from fleetpulse.sources import months
@@ -122,7 +122,14 @@ def build_features(
     joined = lookup_join(fact, parts, ["component_serial_number"], **strategy)
     joined = lookup_join(joined, fleet, ["aircraft_tail_number"], **strategy)
     cohort = ("component_type", "snapshot_date")
-    days = cohort_days(joined, *cohort, "failure_within_90_days") if days is None else days
+    if days is None:
+        # The rate needs no attribute of the aircraft, only that there is one.
+        labels = with_known(
+            fact.select("component_serial_number", "aircraft_tail_number", "snapshot_date", "failure_within_90_days"),
+            fleet, ["aircraft_tail_number"], **strategy,
+        )
+        kinds = parts.select("component_serial_number", "component_type")
+        days = cohort_days(lookup_join(labels, kinds, ["component_serial_number"], **strategy), *cohort, "failure_within_90_days")
     rates = stage(rate_of_days(days, *cohort, window_days, lagged), "cohort_rates")
     rated = lookup_join(joined, rates, ["component_type", "snapshot_date"], "left", **strategy)
     return rated.withColumns(derived(weights, decay_days)).select(

@@ -217,3 +217,15 @@ def test_build_reads_only_what_it_needs_and_broadcasts_small_dimensions(rows, ct
     fact_scan = next(line for line in plan.splitlines() if "FileScan" in line and "cumulative_flight_hours" in line)
     assert "inspection_technician_id" not in fact_scan and "partition_name" in fact_scan.split("PartitionFilters")[1].split("PushedFilters")[0]
     assert values(built, "record_id") == [(1,)]
+
+
+def test_rate_takes_no_attribute_of_the_aircraft(rows, ctx, monkeypatch):
+    plans, stage = {}, features.stage
+    monkeypatch.setattr(features, "stage", lambda df, name: plans.update({name: df._jdf.queryExecution().optimizedPlan().toString()}) or stage(df, name))
+    batch = rows({"record_id": 1}, {"record_id": 2, "aircraft_tail_number": None}, {"record_id": 3, "aircraft_tail_number": "N2", "failure_within_90_days": 1})
+    lost = dims.aircraft_rows(batch).filter("aircraft_tail_number != 'N2'")
+    built = features.build_features(
+        dims.fact_rows(batch), dims.component_rows(batch), lost, dims.supplier_rows(batch), ctx, broadcast_bytes=0
+    )
+    assert values(built, "record_id", features.RATE) == [(1, 0)]
+    assert "LeftAnti" in plans["cohort_rates"] and "Join Inner, (aircraft_tail_number" not in plans["cohort_rates"]
