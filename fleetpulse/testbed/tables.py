@@ -17,7 +17,7 @@ from fleetpulse.operators import features, quality
 from fleetpulse.operators.joins import lookup_join
 from fleetpulse.operators.scoring import prediction_rows
 from fleetpulse.schema import EXTRACT, typed
-from fleetpulse.session import RunContext, stage, work_dir
+from fleetpulse.session import RunContext, compiled, stage, work_dir
 from fleetpulse.sources import months
 from fleetpulse.testbed import mapping
 
@@ -123,6 +123,6 @@ _beds: dict[tuple[str, str], Bed] = {}
 def bed(spark: SparkSession, sf_dir: str) -> Bed:
     key = (spark.sparkContext.applicationId, str(sf_dir))
     if key not in _beds:
-        _beds[key] = Bed(spark, str(sf_dir))
+        _beds[key] = Bed(compiled(spark), str(sf_dir))
     return _beds[key]
 
