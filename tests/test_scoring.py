@@ -188,6 +188,34 @@ def test_validation_stops_the_boosting(trained, spark):
     assert scoring.rounds_used(scoring.train(train, scoring.FAILURE_90D, rounds=2, validation=nothing)) == 2
 
 
+def test_boosting_runs_a_task_per_core_and_not_per_file(trained, spark, monkeypatch):
+    layout, _ = trained
+    table = features.read_features(spark, layout.root).table
+    sc, files = spark.sparkContext, 24
+    many = stage(table.repartition(files), "many_files").repartition(files)
+
+    def tasks(name):
+        sc.setJobGroup(name, name)
+        model = scoring.train(many, scoring.FAILURE_90D, rounds=3)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        tracker = sc.statusTracker()
+        stages = [tracker.getStageInfo(i) for i in tracker.getJobInfo(max(tracker.getJobIdsForGroup(name))).stageIds]
+        return max(s.numTasks for s in stages if s and s.numCompletedTasks), model
+
+    assert tasks("few rows")[0] == 1
+    monkeypatch.setattr(scoring, "LEAST_ROWS", 10)
+    found, model = tasks("more rows")
+    assert found == sc.defaultParallelism < files
+    monkeypatch.setattr(scoring, "MOST_ROWS", 100)
+    found, again = tasks("many rows")
+    assert found == sc.defaultParallelism * 2 and table.count() == 720
+    # Every row is dealt once, in shares of one size.
+    dealt = scoring._dealt(many.select("record_id", "snapshot_date"), 720)
+    sizes = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r[1] for r in sizes) == 720 and max(r[1] for r in sizes) - min(r[1] for r in sizes) <= files
+    assert scoring.rounds_used(model) == scoring.rounds_used(again) == 3
+
+
 def test_card_names_the_rounds(trained, spark):
     layout, _ = trained
     cards = months.read_version(spark, layout.path("model_registry")).collect()
