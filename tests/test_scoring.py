@@ -1,6 +1,8 @@
 import json
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
+import numpy as np
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
@@ -220,3 +222,53 @@ def test_card_names_the_rounds(trained, spark):
     layout, _ = trained
     cards = months.read_version(spark, layout.path("model_registry")).collect()
     assert {json.loads(r.training_data_summary)["rounds_used"] for r in cards} == {ROUNDS}
+
+
+def test_boosting_moves_a_byte_per_input_and_finds_the_trees_of_mllib(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    from fleetpulse.operators import boosting
+
+    kinds = F.array(*[F.lit(k) for k in "abcde"])
+    table = stage(spark.range(3000).select(
+        (F.col("id") % 7).cast("double").alias("x"), ((F.col("id") * 31) % 30).cast("double").alias("z"),
+        F.element_at(kinds, (F.col("id") % 5 + 1).cast("int")).alias("kind"),
+    ).withColumn("y", F.col("x") * 10 + F.when(F.col("kind").isin("b", "d"), 40).otherwise(0) + F.when(F.col("z") > 14, 7).otherwise(0)), "boosted")
+    spec = replace(scoring.RUL, label="y", output="p", numeric=["x", "z"], categorical=["kind"], depth=3, rounds=4, rate=0.5)
+    before = set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+    model = scoring.train(table, spec)
+    assert set(spark.sparkContext._jsc.getPersistentRDDs().keySet()) == before
+
+    assembled = PipelineModel(model.stages[:-1]).transform(scoring._inputs(table, spec)).withColumn("label", F.col("y").cast("double"))
+    whole = scoring._estimator(spec, 4, 32, None, 1).fit(assembled)
+    for ours, theirs in zip(model.stages[-1].trees, whole.trees):
+        assert ours.numNodes == theirs.numNodes and ours.depth == theirs.depth
+    error = RegressionEvaluator()
+    assert error.evaluate(model.stages[-1].transform(assembled)) == pytest.approx(error.evaluate(whole.transform(assembled)), rel=1e-6)
+    assert list(model.stages[-1].featureImportances.toArray()) == pytest.approx(list(whole.featureImportances.toArray()), rel=1e-6)
+
+    model.write().save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m"))
+    assert values(scoring.predict(table, again, spec)) == values(scoring.predict(table, model, spec))
+    assert again.stages[-1].getMaxIter() == 4
+
+    inputs = [boosting.Input("x", np.array([0.5])), boosting.Input("z", np.array([3.5, 7.5])), boosting.Input("kind", categories=5)]
+    blocks = boosting._blocks(table.coalesce(1).withColumn("kind", F.lit(1.0)), inputs, False, "y", None, None)
+    assert [b.bins.shape for b in blocks.collect()] == [(3, 3000)] and blocks.first().bins.itemsize == 1
+    blocks.unpersist()
+
+
+def test_pure_nodes_are_leaves_and_empty_bins_stay_empty():
+    from fleetpulse.operators import boosting
+
+    inputs = [boosting.Input("x", np.array([1.0, 2.0])), boosting.Input("k", categories=3)]
+    same = np.array([[[3.0, 2.0, 1.0], [2.0, 2.0, 2.0]], [[0.3, 0.2, 0.1], [0.2, 0.2, 0.2]]])
+    apart = np.array([[[3.0, 2.0, 0.0], [2.0, 0.0, 3.0]], [[0.0, 8.0, 0.0], [8.0, 0.0, 0.0]]])
+    none, split = boosting._splits(np.stack([same, apart]), inputs)
+    assert none is None
+    i, goes_left, gain, left, right = split
+    assert (i, list(goes_left), list(left), list(right)) == (0, [True, False, False], [3, 0], [2, 8])
+    assert gain == pytest.approx(16 * 2 / 5 - (8 / 5) ** 2)
+    found = boosting._splits(apart[None, :, 1:].repeat(2, axis=2), inputs[1:] * 2)[0]
+    assert found[0] == 0 and list(np.flatnonzero(found[1])) in ([2], [0])
