@@ -130,6 +130,36 @@ def test_stored_merge_moves_no_new_rows(spark, held, monkeypatch):
     assert "FullOuter" not in kept.plans["merged_t"]
 
 
+@pytest.mark.parametrize("held", [0, 3])
+def test_reread_merge_stores_known_rows_only(spark, held, monkeypatch):
+    monkeypatch.setattr("fleetpulse.operators.merge.stage", kept := Stages())
+    target = stage(stamped(spark.createDataFrame([("x", "old", "f1"), ("y", "old", "f1"), (None, "old", "f1")][:held], COLUMNS), R1), "target")
+    source = stage(spark.createDataFrame([("x", None, "f2"), ("z", "new", "f2"), ("z", "two", "f2"), (None, "new", "f2")], COLUMNS), "source")
+    stamps = {"table": "t", "created": "created_at", "touch": "updated_at", "strict": False}
+    whole = upsert(target, source, ["k"], ["a"], R2, **stamps)
+    told = upsert(target, source, ["k"], ["a"], R2, stored=True, apart=True, reread=True, **stamps)
+    assert values(told.table) == values(whole.table)
+    assert values(told.changes) == values(whole.changes)
+    assert ("merged_t" in kept.plans) == bool(held) and "Union" not in kept.plans.get("merged_t", "")
+    # What a run's ledger says is joined to the source, which is not cheap to read again.
+    ledger = stage(spark.createDataFrame([("z", True)], "k string, existed boolean"), "ledger")
+    if not held:
+        upsert(target, source, ["k"], ["a"], R2, stored=True, apart=True, reread=True, before=ledger, **stamps)
+        assert "merged_t" in kept.plans
+
+
+def test_merge_sends_only_the_columns_that_are_read(spark):
+    wide = "k string, a string, frozen string, much string"
+    target = stage(stamped(spark.createDataFrame([("x", "1", "f", "m"), ("y", "1", "f", "m")], wide), R1), "target")
+    source = stage(spark.createDataFrame([("x", "2", "g", "n"), ("z", "2", "g", "n")], wide), "source")
+    merged = upsert(target, source, ["k"], ["a"], R2, table="t", created="created_at", touch="updated_at")
+    log = merged.changes.select("operation", "row_pk")
+    assert values(log) == [("INSERT", "z"), ("UPDATE", "x")]
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" in plan and "much" not in plan and "frozen" not in plan
+    assert "much" in merged.table._jdf.queryExecution().executedPlan().toString()
+
+
 class Stages:
     """``stage``, noting the plan of what it stores."""
 
