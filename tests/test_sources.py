@@ -169,3 +169,18 @@ def test_csv_files_stay_small(spark, tmp_path):
     extract.write_csv(spark.range(0, 25, 1, 1).toDF("id"), path, file_rows=10)
     assert len(list((tmp_path / "csv").glob("part-*.csv"))) == 3
     assert sorted(r.id for r in spark.read.schema("id bigint").csv(path, header=True).collect()) == list(range(25))
+
+
+def test_compressed_csv_round_trip(rows, spark, tmp_path):
+    batch = rows({"aircraft_model": ""}, {"record_id": 2, "route_type": None}, {"record_id": 3, "part_number": 'a,"b"\\c\nd'})
+    for compression in ("none", "gzip"):
+        extract.write_csv(batch.coalesce(1), str(tmp_path / compression), file_rows=2, compression=compression)
+        assert values(extract.read_extract(spark, str(tmp_path / compression), multi_line=True)) == values(batch)
+    assert len(list((tmp_path / "gzip").glob("part-*.csv.gz"))) == 2
+
+    many = batch.select(*[F.col(c) for c in batch.columns]).crossJoin(spark.range(2000)).drop("id")
+    size = {}
+    for compression in ("none", "gzip"):
+        extract.write_csv(many.coalesce(1), str(tmp_path / f"many_{compression}"), compression=compression)
+        size[compression] = sum(f.stat().st_size for f in (tmp_path / f"many_{compression}").glob("part-*"))
+    assert size["gzip"] * 3 < size["none"]
